@@ -14,7 +14,7 @@ SALES_COLUMNS = (
 SERIES = "region, chain_name, product_group"
 DOCUMENT_ORDER = (
     "date NULLS LAST, region NULLS LAST, chain_id NULLS LAST, chain_name NULLS LAST, "
-    "sku_id NULLS LAST, product_group NULLS LAST, qty NULLS LAST, revenue_byn NULLS LAST"
+    "product_group NULLS LAST, qty NULLS LAST, sku_id NULLS LAST, revenue_byn NULLS LAST"
 )
 MOVEMENT_ORDER = "date, operation_type, qty, unit_cost_byn, warehouse_name"
 
@@ -283,12 +283,11 @@ _FINALS = {
     ),
     "dup_documents": _DUP_DOCS,
     "dup_documents_quarantine": (
-        f"SELECT {_SALES_OUT.replace('customer_id, ', '')} FROM ranked WHERE rn > 1"
+        f"SELECT {_SALES_OUT} FROM ranked WHERE rn > 1"
     ),
     "sku_replace_asof": "SELECT doc_id, date, sku_id FROM stg_sales_asof",
     "sales_with_catalog": (
-        "SELECT doc_id, sku_id, CAST(qty AS DOUBLE) AS qty, "
-        "CAST(revenue_byn AS DOUBLE) AS revenue_byn, p_name AS sku_name, "
+        "SELECT doc_id, sku_id, CAST(qty AS DOUBLE) AS qty, p_name AS sku_name, "
         "p_retailprice AS base_price_byn FROM stg_sales "
         "LEFT JOIN part ON sku_id = 'SKU_' || CAST(p_partkey AS VARCHAR)"
     ),

@@ -15,9 +15,16 @@ SPACE_SEPARATORS = (
 
 
 def clean_str(column: Column | str) -> Column:
-    """Strip space separators from both ends."""
+    """Strip space separators from both ends.
+
+    Text of one-byte characters has no separator but U+0020, which the plain trim takes
+    off several times faster.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return F.btrim(column, F.lit(SPACE_SEPARATORS))
+    one_byte = F.octet_length(column) == F.char_length(column)
+    return F.when(one_byte, F.trim(column)).otherwise(
+        F.btrim(column, F.lit(SPACE_SEPARATORS))
+    )
 
 
 def empty_to_null(column: Column | str) -> Column:

@@ -21,8 +21,7 @@ def clean_sales(raw: DataFrame, empty_as_null: bool = False) -> DataFrame:
     """Typed sales with the descriptive columns stripped. Returns (qty < 0) stay.
 
     With ``empty_as_null`` empty strings become NULL, in the code columns too. Columns
-    that ``raw`` lacks are left out, so that a caller who needs no customer need not
-    join for one.
+    that ``raw`` lacks are left out.
     """
     strip = empty_to_null if empty_as_null else clean_str
     keep = (lambda c: F.nullif(F.col(c), F.lit(""))) if empty_as_null else F.col
@@ -48,10 +47,23 @@ def clean_sales(raw: DataFrame, empty_as_null: bool = False) -> DataFrame:
     return raw.select(*[columns[c].alias(c) for c in wanted if c in raw.columns])
 
 
+# Total order of the rows of one document: by date, then by all that remains. A caller
+# who drops columns from the end of this list keeps the same rows without them.
+DOCUMENT_ORDER = (
+    "date",
+    "region",
+    "chain_id",
+    "chain_name",
+    "product_group",
+    "qty",
+    "sku_id",
+    "revenue_byn",
+    "customer_id",
+)
+
+
 def document_order(sales: DataFrame) -> list[str]:
-    """Total order of the rows of one document: by date, then by all that remains."""
-    rest = [c for c in sales.columns if c not in ("doc_id", "date", "customer_id")]
-    return ["date", *rest, *[c for c in ("customer_id",) if c in sales.columns]]
+    return [c for c in DOCUMENT_ORDER if c in sales.columns]
 
 
 def first_documents(sales: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
@@ -157,8 +169,11 @@ def replace_sku_asof(
 
 
 def stg_sales(raw: DataFrame, links: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """One cleaned row per document, with the current product code."""
-    return replace_sku(first_documents(clean_sales(raw), order), links)
+    """One cleaned row per document, with the current product code.
+
+    Rows are ranked as they come and only the kept ones cleaned, after the shuffle.
+    """
+    return replace_sku(clean_sales(first_documents(raw, order)), links)
 
 
 def stg_sku_links(raw: DataFrame) -> DataFrame:

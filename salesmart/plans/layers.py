@@ -27,8 +27,9 @@ class Layers:
         return starschema.sales(self.spark, self.sf_dir)
 
     @cached_property
-    def raw_sales_without_customer(self) -> DataFrame:
-        return starschema.sales(self.spark, self.sf_dir, with_customer=False)
+    def raw_quantities(self) -> DataFrame:
+        """Sales without the last columns of the document order: customer and revenue."""
+        return starschema.sales(self.spark, self.sf_dir, with_customer=False).drop("revenue_byn")
 
     @cached_property
     def raw_plan(self) -> DataFrame:
@@ -60,14 +61,15 @@ class Layers:
         return staging.stg_sales(self.raw_sales, self.stg_sku_links)
 
     @cached_property
-    def stg_sales_without_customer(self) -> DataFrame:
-        return staging.stg_sales(self.raw_sales_without_customer, self.stg_sku_links)
+    def stg_quantities(self) -> DataFrame:
+        return staging.stg_sales(self.raw_quantities, self.stg_sku_links)
 
     @cached_property
     def stg_sales_asof(self) -> DataFrame:
-        cleaned = staging.clean_sales(self.raw_sales_without_customer)
         return staging.replace_sku_asof(
-            staging.first_documents(cleaned), self.stg_sku_link_history, cleaned
+            staging.clean_sales(staging.first_documents(self.raw_quantities)),
+            self.stg_sku_link_history,
+            staging.clean_sales(self.raw_quantities),
         )
 
     @cached_property
@@ -93,7 +95,7 @@ class Layers:
     # daily totals ------------------------------------------------------------------
     @cached_property
     def sales_daily(self) -> DataFrame:
-        return facts.sales_daily(self.stg_sales_without_customer)
+        return facts.sales_daily(self.stg_quantities)
 
     @cached_property
     def plan_daily_agg(self) -> DataFrame:
@@ -134,8 +136,8 @@ class Layers:
     @cached_property
     def check_report(self) -> DataFrame:
         return checks.check_report(
-            raw_sales=self.raw_sales_without_customer,
-            sales=self.stg_sales_without_customer,
+            raw_sales=self.raw_quantities,
+            sales=self.stg_quantities,
             links=self.stg_sku_links,
             plan=self.stg_plan,
             daily_plan=self.stg_plan_daily,
@@ -147,11 +149,11 @@ class Layers:
     def counted(self) -> dict[str, tuple[str, DataFrame]]:
         """What the row-count audit covers: table to layer and content."""
         return {
-            "raw_sales": ("raw", self.raw_sales_without_customer),
+            "raw_sales": ("raw", self.raw_quantities),
             "raw_plan": ("raw", self.raw_plan),
             "raw_sku_links": ("raw", self.raw_sku_links),
             "raw_stock_movements": ("raw", self.raw_stock_movements),
-            "stg_sales": ("stg", self.stg_sales_without_customer),
+            "stg_sales": ("stg", self.stg_quantities),
             "stg_plan_daily": ("stg", self.stg_plan_daily),
             "mart_sales_plan_daily": ("mart", self.mart_sales_plan_daily),
             "mart_last_customer_operation": ("mart", self.mart_last_customer_operation),

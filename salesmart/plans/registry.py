@@ -49,13 +49,13 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "stg_sku_links": lambda y: y.stg_sku_links,
     "stg_plan": lambda y: y.stg_plan,
     "stg_stock_movements": lambda y: y.stg_stock_movements,
-    "dup_documents": lambda y: checks.duplicate_doc_ids(y.raw_sales_without_customer),
-    "dup_documents_quarantine": lambda y: staging.duplicate_documents(
-        staging.clean_sales(y.raw_sales_without_customer)
+    "dup_documents": lambda y: checks.duplicate_doc_ids(y.raw_quantities),
+    "dup_documents_quarantine": lambda y: staging.clean_sales(
+        staging.duplicate_documents(y.raw_sales)
     ),
     "sku_replace_asof": lambda y: y.stg_sales_asof.select("doc_id", "date", "sku_id"),
     "sales_with_catalog": lambda y: marts.with_catalog(
-        y.stg_sales_without_customer.select("doc_id", "sku_id", "qty", "revenue_byn"), y.catalog
+        y.stg_quantities.select("doc_id", "sku_id", "qty"), y.catalog
     ),
     # plan spread over days
     "plan_daily": lambda y: rounded(y.stg_plan_daily, "plan_qty"),
@@ -103,14 +103,14 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
         places=4,
     ),
     "check_plan_sum_range": lambda y: checks.plan_days_in_range(y.stg_plan, y.stg_plan_daily),
-    "check_old_sku": lambda y: checks.old_sku_count(y.stg_sales_without_customer, y.stg_sku_links),
+    "check_old_sku": lambda y: checks.old_sku_count(y.stg_quantities, y.stg_sku_links),
     "old_skus_in_raw": lambda y: checks.old_skus(
-        staging.clean_sales(y.raw_sales_without_customer), y.stg_sku_links
+        staging.clean_sales(y.raw_quantities), y.stg_sku_links
     ),
     "old_skus_left_asof": lambda y: checks.old_skus(y.stg_sales_asof, y.stg_sku_link_history),
     "check_mart_keys": lambda y: checks.duplicate_mart_keys(y.mart_sales_plan_daily),
     "check_null_profile": lambda y: checks.null_profile(y.mart_sales_plan_daily),
-    "check_returns": lambda y: checks.returns_profile(y.stg_sales_without_customer),
+    "check_returns": lambda y: checks.returns_profile(y.stg_quantities),
     "check_negative_stock": lambda y: checks.negative_stock(y.mart_stock_daily),
     "check_mtd_first_day": lambda y: checks.mtd_first_day_breaks(y.mart_mtd),
     "check_report": lambda y: y.check_report,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # What the results rely on, whatever the cluster's defaults are: ANSI casts fail on
 # malformed values, and dates do not depend on the host's time zone.
@@ -38,9 +39,21 @@ def require(spark: SparkSession) -> None:
 
 
 def shuffle_partitions(input_bytes: int, floor: int) -> int:
-    """Shuffle tasks that hold about 128 MiB each of an input this large.
+    """Shuffle tasks that hold about 128 MiB each of an input this large."""
+    return max(floor, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+
 
-    A start value for AQE, which merges small partitions afterwards but never raises
-    their number.
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Let AQE start from as many shuffle partitions as the input's size calls for.
+
+    AQE merges small partitions afterwards but never raises their number. A number set
+    on the session stays. Only file lengths are read.
     """
-    return max(floor, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(key, None) is not None:
+        return
+    lengths = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n"))
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = shuffle_partitions(lengths.first().n or 0, floor)
+    if wanted > floor:
+        spark.conf.set(key, str(wanted))

@@ -18,8 +18,22 @@ WEEKDAY_WEIGHTS = (1.0, 1.0, 1.0, 1.0, 1.0, 0.55, 0.25)
 NBSP = "\u00a0"
 
 
+# The columns read, declared so that no job has to look into the files for them.
+TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _old_code(part_key: Column) -> Column:
@@ -37,20 +51,21 @@ RECODED_SIZE = 5
 def sales(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
     """Line items as sales documents, padded strings and all.
 
-    The customer comes from the orders by a left join on their unique key, which no
-    other column depends on; without it that join, the only one between two large
-    tables, is not made.
+    Tables are joined one after another to the line items: the planner knows the size of
+    a table and broadcasts it if that is below its limit, which it could not know of
+    tables joined among themselves first.
+
+    The customer comes from the orders by a left join on their unique key, which no other
+    column depends on; without it that join, the only one between two large tables, is
+    not made.
     """
-    line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    places = (
-        table(spark, sf_dir, "supplier")
+    joined = (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
     )
-    joined = line.join(part, F.col("p_partkey") == F.col("l_partkey")).join(
-        places, F.col("s_suppkey") == F.col("l_suppkey")
-    )
     customer = []
     if with_customer:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
