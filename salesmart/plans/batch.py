@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from salesmart import schemas
 from salesmart.operators import checks, facts, marts, plan, series, staging, stock
@@ -32,6 +36,12 @@ class Outcome:
     report: DataFrame
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Results of steps that submit their Spark jobs side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return list(pool.map(lambda step: step(), steps))
+
+
 def run(
     spark: SparkSession,
     in_dir: str,
@@ -50,7 +60,8 @@ def run(
 
     Each table is replaced as a whole, so a repeated run leaves the same tables. What
     several steps read is written once and read back, which also ends its lineage: a
-    lost executor costs the tasks of one step. The optional inputs may be missing.
+    lost executor costs the tasks of one step. Tables that do not depend on one another
+    are written at the same time. The optional inputs may be missing.
 
     ``quarantine`` puts sales that do not cast into a table of their own instead of
     failing; ``sku_by_date`` replaces old product codes only while their link is valid;
@@ -60,93 +71,96 @@ def run(
     require(spark)
     warehouse = Warehouse(spark, out_dir)
     save = warehouse.replace
+    month = "date" if marts_by_month else None
     source = in_dir.rstrip("/")
 
-    # raw
-    sales_path = f"{source}/{SALES_FILE}"
-    size_shuffles(spark, sales_path)
-    if quarantine:
-        text = files.read_text_columns(spark, sales_path, schemas.RAW_SALES)
+    def raw(table: str, file: str, schema: T.StructType) -> DataFrame:
+        return save("raw", table, files.read_csv(spark, f"{source}/{file}", schema))
+
+    def optional_raw(table: str, file: str, schema: T.StructType) -> DataFrame | None:
+        found = files.read_optional(spark, f"{source}/{file}", schema)
+        return None if found is None else save("raw", table, found)
+
+    def sales_input() -> DataFrame:
+        path = f"{source}/{SALES_FILE}"
+        size_shuffles(spark, path)
+        if not quarantine:
+            return raw("raw_sales_1c", SALES_FILE, schemas.RAW_SALES)
+        text = files.read_text_columns(spark, path, schemas.RAW_SALES)
         good, bad = files.split_castable(text, schemas.RAW_SALES)
         save("quarantine", "bad_sales", bad)
-    else:
-        good = files.read_csv(spark, sales_path, schemas.RAW_SALES)
-    raw_sales = save("raw", "raw_sales_1c", good)
-    raw_plan = save(
-        "raw", "raw_plan", files.read_csv(spark, f"{source}/{PLAN_FILE}", schemas.RAW_PLAN)
-    )
-    raw_links = save(
-        "raw",
-        "raw_sku_links",
-        files.read_csv(spark, f"{source}/{SKU_LINKS_FILE}", schemas.RAW_SKU_LINKS),
+        return save("raw", "raw_sales_1c", good)
+
+    raw_sales, raw_plan, raw_links, raw_catalog, raw_moves = together(
+        sales_input,
+        lambda: raw("raw_plan", PLAN_FILE, schemas.RAW_PLAN),
+        lambda: raw("raw_sku_links", SKU_LINKS_FILE, schemas.RAW_SKU_LINKS),
+        lambda: optional_raw("raw_product_catalog", CATALOG_FILE, schemas.RAW_CATALOG),
+        lambda: optional_raw("raw_stock_movements", STOCK_FILE, schemas.RAW_STOCK_MOVEMENTS),
     )
 
-    # staging
-    links = save("stg", "stg_sku_links", staging.stg_sku_links(raw_links))
-    once = staging.clean_sales(staging.first_documents(raw_sales), empty_as_null)
-    if sku_by_date:
-        named = staging.replace_sku_asof(
-            once, links, staging.clean_sales(raw_sales, empty_as_null)
-        )
-    else:
-        named = staging.replace_sku(once, links)
-    sales = save("stg", "stg_sales", named.to(schemas.STG_SALES))
-    save("quarantine", "dup_docs", staging.duplicate_documents(raw_sales))
-    stg_plan = staging.stg_plan(raw_plan, with_chain_name=fill_chain_name)
-    names = ["chain_name"] if fill_chain_name else []
-    stg_plan = save("stg", "stg_plan_raw", stg_plan)
-    daily_plan = plan.allocate_monthly(stg_plan, normalise, plan_storage, keep=names)
-    daily_plan = save("stg", "stg_plan_daily", daily_plan)
-
-    # daily totals and marts
-    sales_daily = save("mart", "sales_daily", facts.sales_daily(sales))
-    plan_daily = save(
-        "mart", "plan_daily_agg", facts.plan_daily_agg(daily_plan, with_chain_name=bool(names))
+    def stage_sales() -> tuple[DataFrame, DataFrame, DataFrame]:
+        links = save("stg", "stg_sku_links", staging.stg_sku_links(raw_links))
+        once = staging.clean_sales(staging.first_documents(raw_sales), empty_as_null)
+        if sku_by_date:
+            asked = staging.clean_sales(raw_sales, empty_as_null)
+            coded = staging.replace_sku_asof(once, links, asked)
+        else:
+            coded = staging.replace_sku(once, links)
+        sales = save("stg", "stg_sales", coded.to(schemas.STG_SALES))
+        return links, sales, save("mart", "sales_daily", facts.sales_daily(sales))
+
+    def stage_plan() -> tuple[DataFrame, DataFrame, DataFrame]:
+        names = ["chain_name"] if fill_chain_name else []
+        monthly = save("stg", "stg_plan_raw", staging.stg_plan(raw_plan, bool(names)))
+        spread = plan.allocate_monthly(monthly, normalise, plan_storage, keep=names)
+        daily = save("stg", "stg_plan_daily", spread)
+        total = save("mart", "plan_daily_agg", facts.plan_daily_agg(daily, bool(names)))
+        return monthly, daily, total
+
+    def stock_marts() -> DataFrame | None:
+        if raw_moves is None:
+            return None
+        moves = save("stg", "stg_stock_movements", staging.stg_stock_movements(raw_moves))
+        by_product = [*stock.STOCK_KEYS, "date"]
+        days = stock.stock_end_of_day(moves)
+        save("mart", "mart_stock_end_of_day", days, by_product, month)
+        return save("mart", "mart_stock_daily", stock.stock_per_movement(moves), by_product, month)
+
+    (links, sales, sales_daily), (monthly, daily_plan, plan_daily), stock_mart, _ = together(
+        stage_sales,
+        stage_plan,
+        stock_marts,
+        lambda: save("quarantine", "dup_docs", staging.duplicate_documents(raw_sales)),
     )
-    month = "date" if marts_by_month else None
-    mart = save(
-        "mart",
-        "mart_sales_plan_daily",
-        marts.sales_plan_daily(sales_daily, plan_daily, fill_chain_name),
-        order=["date", "region", "chain_id", "product_group"],
-        by_month_of=month,
+
+    def sales_marts() -> None:
+        last = marts.last_customer_operation(sales)
+        save("mart", "mart_last_customer_operation", last, ["customer_id"])
+        if raw_catalog is not None:
+            save("mart", "sales_with_catalog", marts.with_catalog(sales, raw_catalog))
+
+    by_key = ["date", "region", "chain_id", "product_group"]
+    by_series = [*series.SERIES, "date"]
+    compared = marts.sales_plan_daily(sales_daily, plan_daily, fill_chain_name)
+    rolling_rows = series.rolling_7_rows(sales_daily)
+    rolling_days = series.rolling_7_days(sales_daily)
+    to_date = series.month_to_date(sales_daily)
+    mart, mtd, *_ = together(
+        lambda: save("mart", "mart_sales_plan_daily", compared, by_key, month),
+        lambda: save("mart", "mart_mtd", to_date, by_series, month),
+        lambda: save("mart", "mart_rolling_7d", rolling_rows, by_series, month),
+        lambda: save("mart", "mart_rolling_7_days", rolling_days, by_series, month),
+        sales_marts,
     )
-    save(
-        "mart",
-        "mart_last_customer_operation",
-        marts.last_customer_operation(sales),
-        order=["customer_id"],
+
+    counted = row_counts(warehouse.read_counted())
+    checked = checks.check_report(
+        raw_sales, sales, links, monthly, daily_plan, mart, mtd, stock_mart
     )
-    by_series = [*series.SERIES, "date"]
-    save("mart", "mart_rolling_7d", series.rolling_7_rows(sales_daily), by_series, month)
-    save("mart", "mart_rolling_7_days", series.rolling_7_days(sales_daily), by_series, month)
-    mtd = save("mart", "mart_mtd", series.month_to_date(sales_daily), by_series, month)
-
-    # optional inputs
-    raw_catalog = files.read_optional(spark, f"{source}/{CATALOG_FILE}", schemas.RAW_CATALOG)
-    if raw_catalog is not None:
-        catalog = save("raw", "raw_product_catalog", raw_catalog)
-        save("mart", "sales_with_catalog", marts.with_catalog(sales, catalog))
-    stock_mart = None
-    raw_moves = files.read_optional(spark, f"{source}/{STOCK_FILE}", schemas.RAW_STOCK_MOVEMENTS)
-    if raw_moves is not None:
-        raw_moves = save("raw", "raw_stock_movements", raw_moves)
-        moves = save("stg", "stg_stock_movements", staging.stg_stock_movements(raw_moves))
-        by_product = [*stock.STOCK_KEYS, "date"]
-        stock_mart = save(
-            "mart", "mart_stock_daily", stock.stock_per_movement(moves), by_product, month
-        )
-        save("mart", "mart_stock_end_of_day", stock.stock_end_of_day(moves), by_product, month)
-
-    # audit
-    counted = {name: (layer, warehouse.read(name)) for name, layer in warehouse.tables.items()}
-    counts = save("audit", "layer_counts", row_counts(counted))
-    report = save(
-        "audit",
-        "check_report",
-        checks.check_report(
-            raw_sales, sales, links, stg_plan, daily_plan, mart, mtd, stock_mart
-        ),
+    counts, report = together(
+        lambda: save("audit", "layer_counts", counted),
+        lambda: save("audit", "check_report", checked),
     )
     for row in counts.orderBy("layer", "table").collect():
         log.info("%s.%s: %d rows", row.layer, row.table, row.n_rows)

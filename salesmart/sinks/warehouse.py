@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.ordering import ascending
 
@@ -15,11 +16,11 @@ MONTH = "month"
 
 @dataclass
 class Warehouse:
-    """Parquet tables at ``root/layer/name``."""
+    """Parquet tables at ``root/layer/name``; ``tables`` holds those of this run."""
 
     spark: SparkSession
     root: str
-    tables: dict[str, str] = field(default_factory=dict)
+    tables: dict[str, tuple[str, T.StructType]] = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -50,13 +51,16 @@ class Warehouse:
         if by_month_of:
             writer = writer.partitionBy(MONTH)
         writer.parquet(self.path(layer, name))
-        self.tables[name] = layer
-        stored = self.read(name)
-        return stored.select(*columns) if by_month_of else stored
+        self.tables[name] = (layer, df.schema)
+        return self.read(name).select(*columns)
 
-    def read(self, name: str, layer: str | None = None) -> DataFrame:
-        """The stored table; with a month partition it has the ``month`` column too."""
-        return self.spark.read.parquet(self.path(layer or self.tables[name], name))
+    def read(self, name: str) -> DataFrame:
+        """A table of this run; with a month partition it has the ``month`` column too."""
+        layer, schema = self.tables[name]
+        return self.spark.read.schema(schema).parquet(self.path(layer, name))
+
+    def read_counted(self) -> dict[str, tuple[str, DataFrame]]:
+        return {name: (self.tables[name][0], self.read(name)) for name in sorted(self.tables)}
 
     def register_views(self) -> None:
         """Make every table of this run known to ``spark.sql`` by its name."""

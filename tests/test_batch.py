@@ -110,7 +110,7 @@ def test_second_run_leaves_the_same_tables(spark, inputs, tmp_path):
     names = list(first.tables)
     run(spark, folder, str(tmp_path / "b"), marts_by_month=True)
     second = run(spark, folder, str(tmp_path / "b"), marts_by_month=True).warehouse
-    assert list(second.tables) == names
+    assert sorted(second.tables) == sorted(names)
     for name in names:
         assert differing_rows(first.read(name), second.read(name)).isEmpty(), name
     january = second.read("mart_mtd").filter("month = '2025-01'")
