@@ -113,20 +113,30 @@ def rolling_7_days(daily: DataFrame, days: int = 7) -> DataFrame:
     """Sum of the last 7 calendar days of a region, chain name and product group.
 
     Summed from one total per day, so the window holds a row per day of a series
-    however many chains share its name. Rows without a date form a day of their own.
+    however many chains share its name; each day's sum then goes to the day's rows as
+    one more row at their head. Rows without a date form a day of their own.
     """
     per_day = daily.groupBy(*SERIES, "date").agg(F.sum("actual_qty").alias("_day"))
-    window = (
+    last_days = (
         Window.partitionBy(*SERIES)
         .orderBy(F.unix_date("date").asc_nulls_last())
         .rangeBetween(-(days - 1), 0)
     )
-    summed = per_day.withColumn("rolling_7d_actual_qty", F.sum("_day").over(window)).drop("_day")
-    same_day = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*SERIES, "date"]]
-    joined = daily.alias("d").join(summed.alias("s"), same_day)
-    return _series_columns(
-        joined.select("d.*", "s.rolling_7d_actual_qty"), "rolling_7d_actual_qty"
+    sums = per_day.select(
+        *SERIES, "date", F.sum("_day").over(last_days).alias("_sum"), F.lit(0).alias("_own")
     )
+    so_far = (
+        Window.partitionBy(*SERIES, "date")
+        .orderBy("_own")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    summed = (
+        daily.withColumn("_own", F.lit(1))
+        .unionByName(sums, allowMissingColumns=True)
+        .withColumn("rolling_7d_actual_qty", F.max("_sum").over(so_far))
+        .filter(F.col("_own") == 1)
+    )
+    return _series_columns(summed, "rolling_7d_actual_qty")
 
 
 def month_to_date(

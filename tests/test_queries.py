@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from salesmart import schemas
+from salesmart.operators import series
 from tests.compare import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -65,10 +67,21 @@ def test_only_needed_columns_are_read(spark):
     assert "orders.parquet" not in plan_of(spark, "mart_sales_plan_daily")
 
 
-def test_region_filter_reaches_the_scan(spark):
-    plan = plan_of(spark, "mtd_first_week_region")
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "r_name" in line]
-    assert scans and all("= ASIA" in line.split("DataFilters")[1] for line in scans)
+@pytest.mark.parametrize("mart", [series.rolling_7_rows, series.rolling_7_days, series.month_to_date])
+def test_region_filter_reaches_the_scan_of_the_daily_table(spark, make, tmp_path, mart):
+    path = str(tmp_path / "sales_daily")
+    make(schemas.SALES_DAILY, {"region": "R", "actual_qty": 1}).write.parquet(path)
+    plan = mart(spark.read.parquet(path)).filter("region = 'R'")._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("EqualTo(region,R)" in line for line in scans)
+
+
+def test_days_wanted_of_month_to_date_reach_the_scan(spark, make, tmp_path):
+    path = str(tmp_path / "sales_daily")
+    make(schemas.SALES_DAILY, {"region": "R", "actual_qty": 1}).write.parquet(path)
+    mtd = series.month_to_date(spark.read.parquet(path), "2025-01-05", "2025-01-07")
+    scans = [x for x in mtd._jdf.queryExecution().toString().splitlines() if "FileScan" in x]
+    assert scans and all("GreaterThanOrEqual(date,2025-01-01)" in line for line in scans)
 
 
 def test_top_rows_are_taken_without_a_full_sort(spark):
