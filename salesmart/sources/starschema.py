@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.schemas import MONEY, WEIGHTS
 
@@ -18,22 +19,15 @@ WEEKDAY_WEIGHTS = (1.0, 1.0, 1.0, 1.0, 1.0, 0.55, 0.25)
 NBSP = "\u00a0"
 
 
-# The columns read, declared so that no job has to look into the files for them.
-TABLES = {
-    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, "
-    "l_shipdate timestamp_ntz",
-    "orders": "o_orderkey long, o_custkey long",
-    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
-    "p_retailprice double",
-    "supplier": "s_suppkey long, s_name string, s_nationkey int",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "region": "r_regionkey int, r_name string",
-}
+# Looking up a table's schema takes a job; each is looked up once.
+_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _old_code(part_key: Column) -> Column:
@@ -94,12 +88,12 @@ def sales(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataF
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each month's plan: the quantity sold a year before net of returns, at least 0."""
     sold = sales(spark, sf_dir, with_customer=False)
-    month = F.date_format(F.add_months("date", 12), "yyyy-MM").alias("month")
+    month = F.trunc("date", "month").alias("sold_in")
     return (
         sold.groupBy(month, "region", "chain_id", "chain_name", "product_group")
         .agg(F.sum("qty").cast("double").alias("net"))
         .select(
-            "month",
+            F.date_format(F.add_months("sold_in", 12), "yyyy-MM").alias("month"),
             "region",
             F.concat("chain_id", F.lit(" ")).alias("chain_id"),
             "chain_name",
