@@ -6,17 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.intervals import with_day_blocks, with_interval_blocks
 from salesmart.functions.ordering import ascending
 from salesmart.functions.text import clean_str, empty_to_null
-from salesmart.schemas import MONEY, WEIGHTS
+from salesmart.schemas import MONEY, STG_SALES, WEIGHTS
 
 SALES_CLEANED = ("region", "chain_name", "sku_id", "product_group")
 # The document, chain and customer codes are taken as they come.
 SALES_KEPT = ("doc_id", "chain_id", "customer_id")
 
 
+def cast_if_needed(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    """The column itself where it has the type already.
+
+    A cast that does nothing leaves an alias behind, which can keep Spark from seeing
+    that two branches of a plan compute the same exchange.
+    """
+    column = F.col(name)
+    return column if df.schema[name].dataType == kind else column.cast(kind).alias(name)
+
+
 def clean_sales(raw: DataFrame, empty_as_null: bool = False) -> DataFrame:
     """Typed sales with the descriptive columns stripped. Returns (qty < 0) stay.
 
@@ -24,27 +35,15 @@ def clean_sales(raw: DataFrame, empty_as_null: bool = False) -> DataFrame:
     that ``raw`` lacks are left out.
     """
     strip = empty_to_null if empty_as_null else clean_str
-    keep = (lambda c: F.nullif(F.col(c), F.lit(""))) if empty_as_null else F.col
-    columns: dict[str, Column] = {
-        **{c: strip(c) for c in SALES_CLEANED},
-        **{c: keep(c) for c in SALES_KEPT},
-        "date": F.col("date").cast("date"),
-        "qty": F.col("qty").cast(MONEY),
-        "revenue_byn": F.col("revenue_byn").cast(MONEY),
-    }
-    wanted = [
-        "doc_id",
-        "date",
-        "customer_id",
-        "region",
-        "chain_id",
-        "chain_name",
-        "sku_id",
-        "product_group",
-        "qty",
-        "revenue_byn",
-    ]
-    return raw.select(*[columns[c].alias(c) for c in wanted if c in raw.columns])
+
+    def column(name: str) -> Column:
+        if name in SALES_CLEANED:
+            return strip(name).alias(name)
+        if name in SALES_KEPT:
+            return F.nullif(F.col(name), F.lit("")).alias(name) if empty_as_null else F.col(name)
+        return cast_if_needed(raw, name, STG_SALES[name].dataType)
+
+    return raw.select(*[column(c) for c in STG_SALES.names if c in raw.columns])
 
 
 # Total order of the rows of one document: by date, then by all that remains. A caller
@@ -201,11 +200,11 @@ def stg_plan(raw: DataFrame, with_chain_name: bool = False) -> DataFrame:
 
 def stg_stock_movements(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col("date").cast("date").alias("date"),
+        cast_if_needed(raw, "date", T.DateType()),
         *[
             clean_str(c).alias(c)
             for c in ("warehouse_id", "warehouse_name", "sku_id", "operation_type")
         ],
-        F.col("qty").cast(MONEY).alias("qty"),
-        F.col("unit_cost_byn").cast(MONEY).alias("unit_cost_byn"),
+        cast_if_needed(raw, "qty", MONEY),
+        cast_if_needed(raw, "unit_cost_byn", MONEY),
     )
