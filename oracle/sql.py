@@ -142,40 +142,34 @@ plan_daily_agg AS (
   FROM plan_daily GROUP BY date, region, chain_id, product_group
 ),
 mart_full AS (
-  SELECT COALESCE(s.date, p.date) AS date, COALESCE(s.region, p.region) AS region,
-         COALESCE(s.chain_id, p.chain_id) AS chain_id, s.chain_name, p.plan_chain_name,
-         COALESCE(s.product_group, p.product_group) AS product_group,
-         CAST(COALESCE(s.actual_qty, 0) AS DOUBLE) AS actual_qty,
-         COALESCE(p.plan_qty, 0) AS plan_qty
-  FROM sales_daily s FULL OUTER JOIN plan_daily_agg p
-    ON s.date = p.date AND s.region = p.region AND s.chain_id = p.chain_id
-    AND s.product_group = p.product_group
+  SELECT date, region, chain_id, product_group, chain_name, plan_chain_name,
+         CAST(COALESCE(actual_qty, 0) AS DOUBLE) AS actual_qty, COALESCE(plan_qty, 0) AS plan_qty
+  FROM sales_daily FULL JOIN plan_daily_agg USING (date, region, chain_id, product_group)
 ),
 mart AS (
   SELECT *, actual_qty - plan_qty AS delta,
-         CASE WHEN plan_qty = 0 THEN NULL ELSE ROUND(actual_qty / plan_qty * 100, 2) END
-           AS completion_pct
+         ROUND(actual_qty / NULLIF(plan_qty, 0) * 100, 2) AS completion_pct
   FROM mart_full
 ),
 last_operation AS (
   SELECT customer_id, doc_id AS last_doc_id, date AS last_date, sku_id AS last_sku_id,
          CAST(qty AS DOUBLE) AS last_qty, CAST(revenue_byn AS DOUBLE) AS last_revenue_byn
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY date DESC NULLS LAST,
-          doc_id DESC NULLS LAST) AS rn FROM stg_sales) AS by_customer
-  WHERE rn = 1
+  FROM stg_sales
+  QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY customer_id ORDER BY date DESC NULLS LAST, doc_id DESC NULLS LAST) = 1
 ),
 rolling AS (
   SELECT date, {SERIES}, CAST(actual_qty AS DOUBLE) AS actual_qty,
-         CAST(SUM(actual_qty) OVER (PARTITION BY {SERIES} ORDER BY date, chain_id
-              ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_7d_actual_qty
+         CAST(SUM(actual_qty) OVER last_seven AS DOUBLE) AS rolling_7d_actual_qty
   FROM sales_daily
+  WINDOW last_seven AS (PARTITION BY {SERIES} ORDER BY date, chain_id ROWS 6 PRECEDING)
 ),
 mtd AS (
   SELECT date, {SERIES}, CAST(actual_qty AS DOUBLE) AS actual_qty,
-         CAST(SUM(actual_qty) OVER (PARTITION BY {SERIES}, date_trunc('month', date)
-              ORDER BY date, chain_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS mtd_actual_qty
+         CAST(SUM(actual_qty) OVER so_far AS DOUBLE) AS mtd_actual_qty
   FROM sales_daily
+  WINDOW so_far AS (PARTITION BY {SERIES}, year(date), month(date) ORDER BY date, chain_id
+                    ROWS UNBOUNDED PRECEDING)
 ),
 stg_stock AS (
   SELECT date, trim(warehouse_id) AS warehouse_id, trim(warehouse_name) AS warehouse_name,
@@ -183,17 +177,17 @@ stg_stock AS (
   FROM raw_stock
 ),
 stock_changes AS (
-  SELECT *, CASE WHEN operation_type = 'income' THEN qty WHEN operation_type = 'outcome' THEN -qty
-                 ELSE 0 END AS change
+  SELECT *, qty * CASE operation_type WHEN 'income' THEN 1 WHEN 'outcome' THEN -1 ELSE 0 END
+            AS change
   FROM stg_stock
 ),
 stock AS (
-  SELECT date, warehouse_id, warehouse_name, sku_id, CAST(stock_qty AS DOUBLE) AS stock_qty,
-         CAST(ROUND(stock_qty * unit_cost_byn, 2) AS DOUBLE) AS stock_value_byn
-  FROM (SELECT *, SUM(change) OVER (PARTITION BY warehouse_id, sku_id ORDER BY {MOVEMENT_ORDER}
-          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stock_qty
-        FROM stock_changes) AS balance
-  WHERE stock_qty <> 0
+  SELECT date, warehouse_id, warehouse_name, sku_id, CAST(balance AS DOUBLE) AS stock_qty,
+         CAST(ROUND(balance * unit_cost_byn, 2) AS DOUBLE) AS stock_value_byn
+  FROM (SELECT *, SUM(change) OVER moves AS balance FROM stock_changes
+        WINDOW moves AS (PARTITION BY warehouse_id, sku_id ORDER BY {MOVEMENT_ORDER}
+                         ROWS UNBOUNDED PRECEDING)) AS balances
+  WHERE balance <> 0
 ),
 stock_days AS (
   SELECT date, warehouse_id, warehouse_name, sku_id, CAST(stock_qty AS DOUBLE) AS stock_qty,
@@ -216,20 +210,21 @@ mtd_starts AS (
 """
 
 
-def _plan_totals(daily: str) -> str:
-    """Months beside their days, joined day by day on the truncated date."""
+def _plan_totals(daily: str, only_off_by: float | None = None) -> str:
+    """Months beside their days, joined day by day; optionally only those that differ."""
+    off = "" if only_off_by is None else f"HAVING ABS(SUM(day_qty) - month_qty) > {only_off_by}"
     return f"""
-SELECT p.plan_month, p.chain_id, p.region, p.product_group,
-       CAST(p.plan_qty AS DOUBLE) AS monthly_plan,
-       ROUND(SUM(CAST(d.plan_qty AS DOUBLE)), 4) AS sum_daily_plan,
-       ROUND(SUM(CAST(d.plan_qty AS DOUBLE)) - p.plan_qty, 4) AS diff
-FROM stg_plan p JOIN {daily} d
-  ON p.plan_month = date_trunc('month', d.date) AND p.chain_id = d.chain_id
-  AND p.region = d.region AND p.product_group = d.product_group
-GROUP BY p.plan_month, p.chain_id, p.region, p.product_group, p.plan_qty"""
+SELECT plan_month, chain_id, region, product_group, month_qty AS monthly_plan,
+       ROUND(SUM(day_qty), 4) AS sum_daily_plan, ROUND(SUM(day_qty) - month_qty, 4) AS diff
+FROM (SELECT plan_month, chain_id, region, product_group, CAST(plan_qty AS DOUBLE) AS month_qty
+      FROM stg_plan) AS months
+JOIN (SELECT CAST(date_trunc('month', date) AS DATE) AS plan_month, chain_id, region,
+             product_group, CAST(plan_qty AS DOUBLE) AS day_qty
+      FROM {daily}) AS days USING (plan_month, chain_id, region, product_group)
+GROUP BY plan_month, chain_id, region, product_group, month_qty {off}"""
 
 
-_MISMATCH = "HAVING ABS(SUM(CAST(d.plan_qty AS DOUBLE)) - p.plan_qty) > 0.01"
+_TOLERANCE = 0.01
 _SALES_OUT = SALES_COLUMNS.replace(
     "qty, revenue_byn", "CAST(qty AS DOUBLE) AS qty, CAST(revenue_byn AS DOUBLE) AS revenue_byn"
 )
@@ -346,17 +341,18 @@ _FINALS = {
         "SELECT * FROM stock ORDER BY warehouse_id, sku_id, date, stock_qty, stock_value_byn LIMIT 5"
     ),
     "plan_month_totals": _plan_totals("plan_daily"),
-    "check_plan_sum": f"{_plan_totals('plan_daily')} {_MISMATCH}",
-    "check_plan_sum_weekly_norm": f"{_plan_totals('plan_daily_week')} {_MISMATCH}",
+    "check_plan_sum": _plan_totals("plan_daily", _TOLERANCE),
+    "check_plan_sum_weekly_norm": _plan_totals("plan_daily_week", _TOLERANCE),
     "check_plan_sum_range": """
-SELECT p.chain_id, p.region, p.product_group, p.plan_month,
-       CAST(p.plan_qty AS DOUBLE) AS monthly_plan,
-       ROUND(SUM(CAST(d.plan_qty AS DOUBLE)), 2) AS sum_daily,
-       COUNT(d.date) AS days_in_plan, day(last_day(p.plan_month)) AS days_in_month
-FROM stg_plan p JOIN plan_daily d
-  ON d.date >= p.plan_month AND d.date < p.plan_month + INTERVAL '1 month'
-  AND d.chain_id = p.chain_id AND d.region = p.region AND d.product_group = p.product_group
-GROUP BY p.chain_id, p.region, p.product_group, p.plan_month, p.plan_qty""",
+SELECT chain_id, region, product_group, plan_month, monthly_plan,
+       ROUND(SUM(day_qty), 2) AS sum_daily, COUNT(date) AS days_in_plan,
+       day(last_day(plan_month)) AS days_in_month
+FROM (SELECT chain_id, region, product_group, plan_month, CAST(plan_qty AS DOUBLE) AS monthly_plan
+      FROM stg_plan) AS months
+JOIN (SELECT chain_id, region, product_group, date, CAST(plan_qty AS DOUBLE) AS day_qty
+      FROM plan_daily) AS days USING (chain_id, region, product_group)
+WHERE date BETWEEN plan_month AND last_day(plan_month)
+GROUP BY chain_id, region, product_group, plan_month, monthly_plan""",
     "check_old_sku": _OLD_LEFT.format(name="n_old_skus"),
     "old_skus_in_raw": (
         "SELECT DISTINCT sku_id FROM cleaned "
@@ -370,10 +366,10 @@ GROUP BY p.chain_id, p.region, p.product_group, p.plan_month, p.plan_qty""",
     "check_null_profile": (
         "SELECT COUNT(*) AS total, "
         + ", ".join(
-            f"CAST(SUM(CASE WHEN {k} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_{k}"
+            f"COUNT(*) FILTER (WHERE {k} IS NULL) AS null_{k}"
             for k in ("date", "region", "chain_id", "product_group")
         )
-        + f", CAST(SUM(CASE WHEN {_NULL_KEYS} THEN 1 ELSE 0 END) AS BIGINT) AS null_keys FROM mart"
+        + f", COUNT(*) FILTER (WHERE {_NULL_KEYS}) AS null_keys FROM mart"
     ),
     "check_returns": (
         "SELECT COUNT(*) AS n_returns, CAST(ROUND(SUM(qty), 0) AS DOUBLE) AS returned_qty "
@@ -384,7 +380,7 @@ GROUP BY p.chain_id, p.region, p.product_group, p.plan_month, p.plan_qty""",
     "check_report": " UNION ALL ".join(
         [
             _check("duplicate_documents", _count(_DUP_DOCS), informative=True),
-            _check("plan_sum", _count(f"{_plan_totals('plan_daily')} {_MISMATCH}")),
+            _check("plan_sum", _count(_plan_totals("plan_daily", _TOLERANCE))),
             _check("old_sku", _OLD_LEFT.format(name="n_bad")),
             _check("duplicate_mart_keys", _count(_DUP_KEYS)),
             _check("null_mart_keys", _count(f"SELECT 1 FROM mart WHERE {_NULL_KEYS}")),

@@ -142,26 +142,32 @@ def run(
 
     by_key = ["date", "region", "chain_id", "product_group"]
     by_series = [*series.SERIES, "date"]
-    compared = marts.sales_plan_daily(sales_daily, plan_daily, fill_chain_name)
-    rolling_rows = series.rolling_7_rows(sales_daily)
-    rolling_days = series.rolling_7_days(sales_daily)
-    to_date = series.month_to_date(sales_daily)
     mart, mtd, *_ = together(
-        lambda: save("mart", "mart_sales_plan_daily", compared, by_key, month),
-        lambda: save("mart", "mart_mtd", to_date, by_series, month),
-        lambda: save("mart", "mart_rolling_7d", rolling_rows, by_series, month),
-        lambda: save("mart", "mart_rolling_7_days", rolling_days, by_series, month),
+        lambda: save(
+            "mart",
+            "mart_sales_plan_daily",
+            marts.sales_plan_daily(sales_daily, plan_daily, fill_chain_name),
+            by_key,
+            month,
+        ),
+        lambda: save("mart", "mart_mtd", series.month_to_date(sales_daily), by_series, month),
+        lambda: save(
+            "mart", "mart_rolling_7d", series.rolling_7_rows(sales_daily), by_series, month
+        ),
+        lambda: save(
+            "mart", "mart_rolling_7_days", series.rolling_7_days(sales_daily), by_series, month
+        ),
         sales_marts,
     )
 
-    counted = row_counts(warehouse.read_counted())
-    checked = checks.check_report(
-        raw_sales, sales, links, monthly, daily_plan, mart, mtd, stock_mart
-    )
-    counts, report = together(
-        lambda: save("audit", "layer_counts", counted),
-        lambda: save("audit", "check_report", checked),
-    )
+    def check() -> DataFrame:
+        report = checks.check_report(
+            raw_sales, sales, links, monthly, daily_plan, mart, mtd, stock_mart
+        )
+        return save("audit", "check_report", report)
+
+    tables = warehouse.read_counted()
+    counts, report = together(lambda: save("audit", "layer_counts", row_counts(tables)), check)
     for row in counts.orderBy("layer", "table").collect():
         log.info("%s.%s: %d rows", row.layer, row.table, row.n_rows)
     for row in report.orderBy("check").collect():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 
 from pyspark.errors import AnalysisException
@@ -12,13 +13,15 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 SEPARATORS = (",", ";", "\t", "|")
+BYTE_ORDER_MARK = "\ufeff"
 
 
-def header_separator(spark: SparkSession, path: str) -> str:
-    """The separator that splits the header line into the most fields."""
+def read_header(spark: SparkSession, path: str, sep: str | None = None) -> tuple[str, list[str]]:
+    """Separator and column names by the first line: the separator that occurs most in it."""
     first = spark.read.text(path).first()
-    header = first.value if first else ""
-    return max(SEPARATORS, key=header.count)
+    line = first.value.removeprefix(BYTE_ORDER_MARK) if first else ""
+    sep = sep or max(SEPARATORS, key=line.count)
+    return sep, next(csv.reader([line], delimiter=sep), [])
 
 
 def read_text_columns(
@@ -29,13 +32,15 @@ def read_text_columns(
     Column order in the file is free and further columns are left out. A directory of
     files is read whole; files whose headers differ from one another raise.
     """
+    sep, names = read_header(spark, path, sep)
     raw = (
-        spark.read.option("header", True)
+        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        .option("header", True)
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
-        .option("sep", sep or header_separator(spark, path))
+        .option("sep", sep)
         .csv(path)
     )
     return raw.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) for f in schema])

@@ -171,12 +171,12 @@ def test_tables_can_be_asked_in_sql(spark, inputs, tmp_path):
     run(spark, inputs(), str(tmp_path / "out")).warehouse.register_views()
     found = spark.sql(
         """
-        SELECT p.plan_month, p.chain_id, SUM(d.plan_qty) - p.plan_qty AS diff
-        FROM stg_plan_raw p
-        JOIN stg_plan_daily d ON p.plan_month = DATE_TRUNC('month', d.date)
-          AND p.chain_id = d.chain_id AND p.region = d.region
-          AND p.product_group = d.product_group
-        GROUP BY 1, 2, p.plan_qty HAVING ABS(SUM(d.plan_qty) - p.plan_qty) <= 0.01
+        WITH days AS (
+          SELECT CAST(date_trunc('MONTH', date) AS DATE) AS plan_month, region, chain_id,
+                 product_group, SUM(plan_qty) AS spread
+          FROM stg_plan_daily GROUP BY 1, 2, 3, 4)
+        SELECT * FROM stg_plan_raw JOIN days USING (plan_month, region, chain_id, product_group)
+        WHERE abs(spread - plan_qty) <= 0.01
         """
     )
     assert found.count() == 2
