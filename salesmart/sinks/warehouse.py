@@ -36,7 +36,8 @@ class Warehouse:
         """Write ``df`` as the new content of the table and return the stored table.
 
         ``order`` gives range-partitioned, sorted files: rows in that order within a
-        file and no overlap between files, with no single-task global sort.
+        file and from file to file, with no single-task global sort. The other columns
+        only split the rows of a key that has very many of them.
         ``by_month_of`` names a date column to partition the directory by month; the
         range then starts with the month, so a task writes few directories.
         """
@@ -46,7 +47,9 @@ class Warehouse:
             df = df.withColumn(MONTH, F.date_format(by_month_of, "yyyy-MM"))
             keys = [MONTH, *keys]
         if keys:
-            df = df.repartitionByRange(*ascending(keys)).sortWithinPartitions(*ascending(keys))
+            rest = [c for c in columns if c not in keys]
+            df = df.repartitionByRange(*ascending([*keys, *rest]))
+            df = df.sortWithinPartitions(*ascending(keys))
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if by_month_of:
             writer = writer.partitionBy(MONTH)

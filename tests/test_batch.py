@@ -228,3 +228,15 @@ def test_shuffle_partitions_grow_with_the_input(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"abc")
     size_shuffles(spark, str(tmp_path / "x"))
     assert spark.conf.get(key, None) is None
+
+
+def test_rows_of_one_key_are_split_among_files(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    df = spark.range(200_000).selectExpr("if(id % 3 = 0, 'HOT', concat('k', id)) AS k", "id AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = store.replace("mart", "t", df, order=["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    of_hot = stored.filter("k = 'HOT'").selectExpr("input_file_name() AS f").distinct().count()
+    assert of_hot > 1 and stored.count() == 200_000

@@ -86,3 +86,17 @@ def test_days_wanted_of_month_to_date_reach_the_scan(spark, make, tmp_path):
 
 def test_top_rows_are_taken_without_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan_of(spark, "rolling_region_top5")
+
+
+@pytest.mark.parametrize(
+    "name, keys",
+    [
+        ("stock_per_movement", ("warehouse_id", "sku_id", "date")),
+        ("mtd", ("region", "chain_name", "product_group", "_month", "date")),
+    ],
+)
+def test_long_series_are_shuffled_by_day(spark, name, keys):
+    exchanges = [line for line in plan_of(spark, name).splitlines() if " Exchange hash" in line]
+    partitioned_by = exchanges[0].split("hashpartitioning(")[1]
+    found = [part.split("#")[0].strip() for part in partitioned_by.split(",")][: len(keys)]
+    assert tuple(found) == keys
