@@ -202,7 +202,8 @@ stock_days AS (
   WHERE from_last = 1 AND stock_qty <> 0
 ),
 mtd_starts AS (
-  SELECT {SERIES}, date_trunc('month', date) AS month, date, abs(mtd_actual_qty - actual_qty) AS gap,
+  SELECT {SERIES}, date_trunc('month', date) AS month, date,
+         abs(mtd_actual_qty - actual_qty) AS gap,
          ROW_NUMBER() OVER (PARTITION BY {SERIES}, date_trunc('month', date)
            ORDER BY date, abs(mtd_actual_qty - actual_qty)) AS rn
   FROM mtd
@@ -338,7 +339,8 @@ _FINALS = {
     "stock_per_movement": "SELECT * FROM stock",
     "stock_end_of_day": "SELECT * FROM stock_days",
     "stock_sample": (
-        "SELECT * FROM stock ORDER BY warehouse_id, sku_id, date, stock_qty, stock_value_byn LIMIT 5"
+        "SELECT * FROM stock "
+        "ORDER BY warehouse_id, sku_id, date, stock_qty, stock_value_byn LIMIT 5"
     ),
     "plan_month_totals": _plan_totals("plan_daily"),
     "check_plan_sum": _plan_totals("plan_daily", _TOLERANCE),

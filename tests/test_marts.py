@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from salesmart import schemas
@@ -124,3 +126,30 @@ def test_summary_and_sample(mart):
     )
     assert rows_of(marts.mart_summary(df)) == [("2025-01-10", "2025-01-12", 4.0, 4.0, 3)]
     assert rows_of(samples.mart_sample(df), "date") == [("2025-01-10",), ("2025-01-11",)]
+
+
+def test_mart_loses_and_invents_nothing(make):
+    pick = random.Random(5)
+    sales, plan = [], []
+    for region in ("A", "B", None):
+        for day in range(1, 29):
+            for group in "GH":
+                row = {**KEY, "region": region, "date": f"2025-01-{day:02}", "product_group": group}
+                if pick.random() < 0.6:
+                    sales.append({**row, "chain_name": "N", "actual_qty": pick.randint(-9, 9)})
+                if pick.random() < 0.6:
+                    plan.append({**row, "plan_qty": pick.choice([0, 2, 5])})
+    df = marts.sales_plan_daily(
+        make(schemas.SALES_DAILY, *sales), make(schemas.PLAN_DAILY_AGG, *plan)
+    )
+    total = marts.mart_summary(df).first()
+    assert float(total.total_actual) == sum(r["actual_qty"] for r in sales)
+    assert total.total_plan == sum(r["plan_qty"] for r in plan)
+
+    def keys(rows):
+        return {(r["date"], r["region"], r["product_group"]) for r in rows if r["region"]}
+
+    nulls = sum(r["region"] is None for r in [*sales, *plan])
+    assert total.n_rows == len(keys(sales) | keys(plan)) + nulls
+    assert df.filter("delta != cast(actual_qty as double) - plan_qty").isEmpty()
+    assert df.filter("(completion_pct is null) != (plan_qty = 0)").isEmpty()

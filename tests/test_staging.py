@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from salesmart import schemas
@@ -152,3 +154,45 @@ def test_empty_strings_become_null_on_request(sales):
     assert rows_of(staging.clean_sales(df, empty_as_null=True), "region", "chain_id") == [
         (None, None)
     ]
+
+
+def test_dated_links_agree_with_trying_each_link(spark, sales, links):
+    pick = random.Random(11)
+
+    def day(low, high):
+        n = pick.randint(low, high)
+        return f"20{n // 360:02}-{n % 360 // 30 + 1:02}-{n % 28 + 1:02}"
+
+    rules = []
+    for n in range(120):
+        start = pick.choice([None, *[day(0, 9000)] * 9])
+        rules.append(
+            {
+                "old_sku_id": "HOT" if n % 3 == 0 else f"O{pick.randint(0, 5)}",
+                "current_sku_id": f"N{n}",
+                "valid_from": start,
+                "valid_to": pick.choice([None, day(0, 9000), start]),
+            }
+        )
+    sold = [
+        {"doc_id": str(n), "sku_id": r["old_sku_id"], "date": day(0, 9000)}
+        for n, r in enumerate(pick.choices(rules, k=300))
+    ] + [{"doc_id": "x", "sku_id": "OTHER", "date": "2010-01-01"}]
+
+    def current(sale):
+        open_end = [{**r, "valid_to": r["valid_to"] or "9999-12-31"} for r in rules]
+        valid = [
+            r
+            for r in open_end
+            if r["old_sku_id"] == sale["sku_id"]
+            and r["valid_from"]
+            and r["valid_from"] <= sale["date"] <= r["valid_to"]
+        ]
+        order = ("valid_from", "valid_to", "current_sku_id")
+        best = max(valid, key=lambda r: tuple(r[c] for c in order), default=None)
+        return best["current_sku_id"] if best else sale["sku_id"]
+
+    found = staging.replace_sku_asof(sales(*sold), links(*rules))
+    expected = sorted((s["doc_id"], current(s)) for s in sold)
+    assert rows_of(found, "doc_id", "sku_id") == expected
+    assert any(code.startswith("N") for _, code in expected)
