@@ -123,9 +123,15 @@ def run(
             return None
         moves = save("stg", "stg_stock_movements", staging.stg_stock_movements(raw_moves))
         by_product = [*stock.STOCK_KEYS, "date"]
-        days = stock.stock_end_of_day(moves)
-        save("mart", "mart_stock_end_of_day", days, by_product, month)
-        return save("mart", "mart_stock_daily", stock.stock_per_movement(moves), by_product, month)
+        balance, _ = together(
+            lambda: save(
+                "mart", "mart_stock_daily", stock.stock_per_movement(moves), by_product, month
+            ),
+            lambda: save(
+                "mart", "mart_stock_end_of_day", stock.stock_end_of_day(moves), by_product, month
+            ),
+        )
+        return balance
 
     (links, sales, sales_daily), (monthly, daily_plan, plan_daily), stock_mart, _ = together(
         stage_sales,
