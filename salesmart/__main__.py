@@ -23,6 +23,7 @@ def main() -> None:
     parser.add_argument("--report-only", action="store_true", help="do not fail on checks")
     options = vars(parser.parse_args())
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session()
     try:
         run(

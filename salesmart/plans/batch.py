@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -38,8 +39,20 @@ class Outcome:
 
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Results of steps that submit their Spark jobs side by side."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        return list(pool.map(lambda step: step(), steps))
+    outcomes = [Future() for _ in steps]
+
+    def work(step: Callable[[], Any], outcome: Future) -> None:
+        try:
+            outcome.set_result(step())
+        except Exception as error:
+            outcome.set_exception(error)
+
+    threads = [InheritableThread(work, args=pair) for pair in zip(steps, outcomes, strict=True)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    return [outcome.result() for outcome in outcomes]
 
 
 def run(
