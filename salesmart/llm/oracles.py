@@ -2,4 +2,24 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# SHA-1 in base 32: eight times five hexadecimal digits give four characters each.
+WARC = """
+WITH digested AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+    FROM pages
+), named AS (
+    SELECT page_id, payload_bytes,
+        array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (k // 4)::INT, 5))::INT >> (15 - 5 * (k % 4))::INT) & 31), 1)),
+            '') AS payload_digest
+    FROM digested
+), best AS (
+    SELECT payload_digest, payload_bytes, max(page_id) AS page_id FROM named GROUP BY ALL
+)
+SELECT n.page_id, n.payload_bytes, n.payload_digest,
+    CASE WHEN n.page_id = b.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN n.page_id <> b.page_id THEN b.page_id END AS refers_to
+FROM named n JOIN best b USING (payload_digest, payload_bytes)
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": WARC}

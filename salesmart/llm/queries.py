@@ -13,6 +13,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.warc import archive_pages
+
+    return archive_pages(_table(spark, sf_dir, "pages"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.language import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.fingerprints import fingerprint_edits
 
@@ -28,6 +40,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_warc": op2_warc,
+    "op4_language": op4_language,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
 }

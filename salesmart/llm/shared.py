@@ -47,15 +47,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what lies at ``path`` in the shared folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target.getFileSystem(conf).delete(target, True)
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a table of ``stored`` that nothing reads any more."""
     path = getattr(df, "_stored_at", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    target.getFileSystem(conf).delete(target, True)
+    if path is not None:
+        remove(df.sparkSession, path)
 
 
 def bound_batches(spark: SparkSession) -> None:
