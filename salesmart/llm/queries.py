@@ -25,6 +25,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.licenses import scan, summarise
+
+    return summarise(scan(_table(spark, sf_dir, "documents")))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.fingerprints import fingerprint_edits
 
@@ -42,6 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op4_language": op4_language,
+    "op6_licenses": op6_licenses,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
 }
