@@ -22,4 +22,44 @@ SELECT n.page_id, n.payload_bytes, n.payload_digest,
 FROM named n JOIN best b USING (payload_digest, payload_bytes)
 """
 
-ORACLES: dict[str, str] = {"op2_warc": WARC}
+DECONTAMINATION = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), i AS (
+    SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), item_starts AS (
+    SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k
+    FROM i WHERE len(w) > 0
+), windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS passage FROM item_starts
+), doc_starts AS (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+    FROM d CROSS JOIN (SELECT DISTINCT n FROM windows)
+), found AS (
+    SELECT doc_id, k, s.n, passage
+    FROM (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS passage FROM doc_starts) s
+    JOIN (SELECT DISTINCT passage FROM windows) USING (passage)
+), hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found JOIN windows USING (passage))
+    GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontamination": DECONTAMINATION,
+    "op2_warc": WARC,
+}

@@ -19,6 +19,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.decontaminate import scan, summarise
+
+    return summarise(scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.language import identify
 
@@ -47,6 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
+    "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op6_licenses": op6_licenses,
     "op9_fingerprints": op9_fingerprints,
