@@ -59,7 +59,37 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+JACCARD = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * c >= 75 * (x.n + y.n - c)
+), twoway AS (
+    SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, b.b FROM reach r JOIN twoway b ON b.a = r.y
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach r ON r.x = d.doc_id
+GROUP BY ALL
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": JACCARD,
     "op3_decontamination": DECONTAMINATION,
     "op2_warc": WARC,
 }

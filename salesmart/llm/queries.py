@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.jaccard import join
+
+    return join(_table(spark, sf_dir, "documents")).drop("set_id")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.warc import archive_pages
 
@@ -52,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
