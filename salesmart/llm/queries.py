@@ -43,6 +43,12 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise(scan(_table(spark, sf_dir, "documents")))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.lines import repeated_lines, summarise
+
+    return summarise(repeated_lines(_table(spark, sf_dir, "documents")))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.fingerprints import fingerprint_edits
 
@@ -63,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op6_licenses": op6_licenses,
+    "op7_line_dedup": op7_line_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
 }
