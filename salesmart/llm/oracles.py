@@ -88,7 +88,30 @@ FROM d LEFT JOIN n USING (doc_id) JOIN reach r ON r.x = d.doc_id
 GROUP BY ALL
 """
 
+SUBSTRINGS = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, k, md5_number(array_to_string(w[k:k + 34], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS k FROM d WHERE len(w) >= 35)
+), repeated AS (
+    SELECT h FROM s GROUP BY h HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS p FROM s JOIN repeated USING (h)
+), listed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+    FROM listed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op8_substring_dedup": SUBSTRINGS,
     "op1_ngram_jaccard": JACCARD,
     "op3_decontamination": DECONTAMINATION,
     "op2_warc": WARC,

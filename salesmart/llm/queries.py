@@ -49,6 +49,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise(repeated_lines(_table(spark, sf_dir, "documents")))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.substrings import remove_repeats, summarise
+
+    return summarise(remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.fingerprints import fingerprint_edits
 
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_language": op4_language,
     "op6_licenses": op6_licenses,
     "op7_line_dedup": op7_line_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
 }
