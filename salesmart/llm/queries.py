@@ -37,6 +37,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from salesmart.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.licenses import scan, summarise
 
@@ -74,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
+    "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
