@@ -132,10 +132,10 @@ def scan(
     item_key: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """``key, n_words, n_hit, items`` of every document against every benchmark item.
+    """``key, version, n_words, n_hit, items`` of every document against every benchmark item.
 
     ``items`` has the ids, as sorted strings, of the items of which a window occurs; ``n_hit``
-    counts the document's words within such occurrences. NULL and wordless texts have no words
+    counts the document's words within such occurrences; ``version`` is a hash of the text. NULL and wordless texts have no words
     and no hits. Repeated rows each give a row; rows of one key with different texts are told
     apart. An empty table of either kind gives no hits. Other columns are not read.
 
@@ -149,7 +149,7 @@ def scan(
     counted = own.select("id", "version", F.size(words_of(F.lower("text"))).cast("long").alias("n_words"))
     if not lengths:
         return counted.select(
-            F.col("id").alias(key), "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")
+            F.col("id").alias(key), "version", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")
         )
     found = reduce(DataFrame.unionByName, [hits(own, windows, n) for n in lengths])
     by_doc = Window.partitionBy("id", "version").orderBy("at", "length")
@@ -172,6 +172,7 @@ def scan(
         result = result.join(side.alias("s"), same, "left").select("d.*", f"s.{column}").alias("d")
     return result.select(
         F.col("id").alias(key),
+        "version",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -181,7 +182,7 @@ def scan(
 def summarise(scanned: DataFrame) -> DataFrame:
     """Counts and a digest of the items in place of their list."""
     return scanned.select(
-        *[c for c in scanned.columns if c != "items"],
+        *[c for c in scanned.columns if c not in ("items", "version")],
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),

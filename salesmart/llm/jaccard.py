@@ -82,8 +82,8 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, size, id, sketch`` of each row: its set's size, name and parity bits."""
-    rows = _texts(docs, key, text)
+    """``key, version, size, id, sketch`` of each row: its set's size, name and parity bits."""
+    rows = _texts(docs, key, text).withColumn("version", F.coalesce(F.xxhash64("text"), F.lit(0)))
     kind = rows.schema["key"].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,14 +94,15 @@ def sets_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["key"],
+                        part["version"],
                         pa.array(sizes.astype(np.int64)),
                         pa.array(_keys(hashes, owner, sizes)),
                         pa.array([b.tobytes() for b in bits], pa.binary()),
                     ],
-                    ["key", "size", "id", "sketch"],
+                    ["key", "version", "size", "id", "sketch"],
                 )
 
-    return rows.mapInArrow(make, f"key {kind}, size long, id long, sketch binary")
+    return rows.mapInArrow(make, f"key {kind}, version long, size long, id long, sketch binary")
 
 
 def frequent_shingles(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray, float]:
@@ -269,11 +270,12 @@ def similar_sets(docs: DataFrame, sets: DataFrame, *, text: str = "text", percen
 
 
 def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``key, n_shingles, component_id, set_id`` of every row.
+    """``key, n_shingles, component_id, version, group_id`` of every row.
 
     Rows link when ``percent`` or more of their sets' union is common; ``component_id`` is the
     smallest ``key`` reachable by links. NULL and wordless texts have an empty set, no links and
-    their own key. Rows of equal texts link. A NULL key is never a component's name unless the
+    their own key. Rows of equal texts link. ``version`` is a hash of the row's text, ``group_id``
+    numbers the components (also where repeated keys give two of them one name). A NULL key is never a component's name unless the
     component has no other. An empty table gives an empty one. Other columns are not read.
 
     Equal sets are one node from the start; every link between different sets is found or
@@ -281,7 +283,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: i
     """
     sets = shared.stored(sets_of(docs, key=key, text=text), "sets")
     linked = similar_sets(docs, sets.filter("size > 0"), text=text, percent=percent)
-    rows = sets.select("key", "size", "id").join(linked, "id", "left")
+    rows = sets.select("key", "version", "size", "id").join(linked, "id", "left")
     grouped = rows.withColumn("grp", F.coalesce("component", "id"))
     smallest = grouped.filter("size > 0").groupBy("grp").agg(F.min("key").alias("component_id"))
     return (
@@ -290,6 +292,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: i
             F.col("key").alias(key),
             F.col("size").alias("n_shingles"),
             F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
-            F.col("id").alias("set_id"),
+            "version",
+            F.col("grp").alias("group_id"),
         )
     )

@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.jaccard import join
 
-    return join(_table(spark, sf_dir, "documents")).drop("set_id")
+    return join(_table(spark, sf_dir, "documents")).drop("version", "group_id")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
