@@ -20,15 +20,15 @@ import json
 import os
 import re
 from functools import lru_cache
+from struct import pack
 
-import numpy as np
-
-CACHED_WORDS = 300_000  # of each of two generations
+CACHED_WORDS = 500_000  # of each of two generations
 LONGEST_CACHED = 64
-JOINED = 2_000
+TOGETHER = 4_000
 
 _RUNS = re.compile("[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
+_TAIL = ".,;:!?*%&$#()[]{}|\"-_/\\+=~^@`"  # no apostrophe, which starts contractions; no <>
 _LETTER_GAP = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
@@ -46,13 +46,7 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.cut = self._cut_of(spec)
-        plain = [
-            t
-            for t in spec.get("added_tokens") or ()
-            if t["special"] and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])
-        ]
-        self.mark = plain[0] if plain else None
-        self.starts = {t["content"][:2] for t in spec.get("added_tokens") or ()}
+        self.starts = "".join({t["content"][0] for t in spec.get("added_tokens") or ()})
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -68,7 +62,7 @@ class Encoder:
             first.get("type") == "Split"
             and first.get("behavior") == "Removed"
             and first.get("invert")
-            and r"[^\s\p{L}\p{N}]+" in str(first.get("pattern"))
+            and r"[^\s\p{L}\p{N}]+" in (first.get("pattern") or {}).get("Regex", "")
         ):
             return "space"
         if len(steps) == 1 and first.get("type") == "ByteLevel" and spec.get("normalizer") is None:
@@ -92,48 +86,59 @@ class Encoder:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         missing = [w for w in set().union(*parts).difference(new)] if parts else []
-        unseen = []
+        long: dict[str, object] = {}
+        composed: list[tuple[str, str, str]] = []
+        unseen: dict[str, None] = {}
         for word in missing:
             if word in old:
                 new[word] = old[word]
-            else:
-                unseen.append(word)
-        long = {}
-        for word, value in zip(unseen, self._values(unseen), strict=True):
+                continue
+            base, tail = self._split(word)
+            if base != word:
+                composed.append((word, base, tail))
+            for piece in (base, tail):
+                if piece and piece not in new:
+                    if piece in old:
+                        new[piece] = old[piece]
+                    else:
+                        unseen[piece] = None
+        wanted = list(unseen)
+        for word, value in zip(wanted, self._values(wanted), strict=True):
             (new if len(word) <= LONGEST_CACHED else long)[word] = value
+        if "" in missing:
+            new[""] = self.value([])
+        for word, base, tail in composed:
+            value = long[base] if base in long else new[base]
+            new[word] = value + (long[tail] if tail in long else new[tail]) if tail else value
         if long:
             return [[new[w] if w in new else long[w] for w in p] for p in parts]
         return [list(map(new.__getitem__, p)) for p in parts]
 
-    def _values(self, words: list[str]) -> list:
-        """Words are joined by a special string, which the library never encodes across."""
-        if self.mark is None:
-            return [self.value(self._ids(w)) for w in words]
-        out: dict[int, object] = {}
-        joined, start = [], 0
-        for at, word in enumerate(words):
-            if not word:
-                out[at] = self.value(np.empty(0, "<u4"))
-            elif len(word) > LONGEST_CACHED or any(s in word for s in self.starts):
-                out[at] = self.value(self._ids(word))
-            else:
-                joined.append(at)
-        mark, mark_id = self.mark["content"], self.mark["id"]
-        for start in range(0, len(joined), JOINED):
-            group = joined[start : start + JOINED]
-            ids = self._ids("".join(words[at] + mark for at in group))
-            ends = np.flatnonzero(ids == mark_id)
-            if len(ends) != len(group):  # a word that yields the special id by itself
-                out.update((at, self.value(self._ids(words[at]))) for at in group)
-                continue
-            begin = 0
-            for at, end in zip(group, ends.tolist(), strict=True):
-                out[at] = self.value(ids[begin:end])
-                begin = end + 1
-        return [out[at] for at in range(len(words))]
+    def _split(self, word: str) -> tuple[str, str]:
+        """A word without the punctuation it ends in, and that, if the tokenizer parts them too.
+
+        Patterns of both kinds end a token between a letter or digit and punctuation. A tokenizer
+        that lower-cases gets ASCII words in lower case.
+        """
+        if self.cut == "whole":
+            return word, ""
+        for start in self.starts:
+            if start in word:
+                return word, ""
+        base = word.rstrip(_TAIL)
+        if not base or not base[-1].lower().isalnum():  # a letter, also in lower case
+            base = word
+        tail = word[len(base) :]
+        if self.cut == "space" and base.isascii() and not base.islower():
+            base = base.lower()
+        return base, tail
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def _values(self, words: list[str]) -> list:
+        out = []
+        for start in range(0, len(words), TOGETHER):
+            found = self.tokenizer.encode_batch_fast(words[start : start + TOGETHER], add_special_tokens=False)
+            out.extend([self.value(e.ids) for e in found])
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -144,7 +149,7 @@ def length_encoder(path: str) -> Encoder:
 @lru_cache(maxsize=4)
 def id_encoder(path: str) -> Encoder:
     """Values are the ids as little-endian unsigned 32-bit bytes."""
-    return Encoder(path, lambda ids: ids.astype("<u4").tobytes())
+    return Encoder(path, lambda ids: pack(f"<{len(ids)}I", *ids))
 
 
 @lru_cache(maxsize=4)
