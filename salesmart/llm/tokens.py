@@ -109,7 +109,8 @@ class Encoder:
             new[""] = self.value([])
         for word, base, tail in composed:
             value = long[base] if base in long else new[base]
-            new[word] = value + (long[tail] if tail in long else new[tail]) if tail else value
+            value = value + (long[tail] if tail in long else new[tail]) if tail else value
+            (new if len(word) <= LONGEST_CACHED else long)[word] = value
         if long:
             return [[new[w] if w in new else long[w] for w in p] for p in parts]
         return [list(map(new.__getitem__, p)) for p in parts]
