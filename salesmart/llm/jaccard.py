@@ -58,22 +58,33 @@ def boundary(list_length: float, percent: int = PERCENT) -> int:
     return size
 
 
-def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles by text and hash, their text numbers, and each set's size."""
+def _sets(texts: pa.Array) -> list[np.ndarray]:
+    """The distinct shingles of each text, sorted by hash."""
     hashes, owner = words.shingle_sets(words.split(texts, words.WHITE, lower=True), SIZE)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    hashes, owner = hashes[first], owner[first]
-    return hashes, owner, np.bincount(owner, minlength=len(texts))
+    if len(owner) and (owner[1:] < owner[:-1]).any():  # short texts come last
+        order = np.argsort(owner, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+    first = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+    out = []
+    for low, high in zip(first, first[1:]):
+        own = np.sort(hashes[low:high])
+        if high - low > 1 and not (fresh := own[1:] != own[:-1]).all():
+            own = own[np.concatenate([[True], fresh])]
+        out.append(own)
+    return out
 
 
-def _keys(hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each set: equal sets have equal names."""
-    total = np.zeros(len(sizes), np.uint64)
-    np.add.at(total, owner, words.mix(hashes ^ np.uint64(0x5851F42D4C957F2D)))
-    return words.mix(total + sizes.astype(np.uint64)).view(np.int64)
+def _name(own: np.ndarray) -> int:
+    """A 64-bit name of a set: equal sets have equal names."""
+    total = words.mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(own))
+    return int(words.mix(np.array([total]))[0].view(np.int64))
+
+
+def _sketch(own: np.ndarray) -> bytes:
+    """Parity bits of a set, at least two for each element."""
+    bits = max(links.SKETCH_BITS, 1 << (2 * len(own) - 1).bit_length()) if len(own) else links.SKETCH_BITS
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -82,47 +93,48 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, version, size, id, sketch`` of each row: its set's size, name and parity bits."""
+    """``key, version, size, id, sketch`` of each row: its set's size, name and parity bits.
+
+    One row of each batch also has the shingles ``often`` that the batch holds ``SEEN`` times or
+    more, and their ``times``.
+    """
     rows = _texts(docs, key, text).withColumn("version", F.coalesce(F.xxhash64("text"), F.lit(0)))
     kind = rows.schema["key"].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.by_bytes(batch, "text", 2 << 20):
-                hashes, owner, sizes = _sets(part["text"])
-                bits = links.sketches(hashes, owner, len(sizes))
+            for part in shared.by_bytes(batch, "text"):
+                sets = _sets(part["text"])
+                found, times = np.unique(np.concatenate(sets), return_counts=True)
+                often = times >= SEEN
+                none = [None] * (len(sets) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["key"],
                         part["version"],
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array(_keys(hashes, owner, sizes)),
-                        pa.array([b.tobytes() for b in bits], pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([_name(s) for s in sets], pa.int64()),
+                        pa.array([_sketch(s) for s in sets], pa.binary()),
+                        pa.array([found[often].view(np.int64), *none], pa.list_(pa.int64())),
+                        pa.array([times[often].astype(np.int64), *none], pa.list_(pa.int64())),
                     ],
-                    ["key", "version", "size", "id", "sketch"],
+                    ["key", "version", "size", "id", "sketch", "often", "times"],
                 )
 
-    return rows.mapInArrow(make, f"key {kind}, version long, size long, id long, sketch binary")
+    return rows.mapInArrow(
+        make,
+        f"key {kind}, version long, size long, id long, sketch binary, often array<long>, times array<long>",
+    )
 
 
-def frequent_shingles(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray, float]:
+def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, float]:
     """The most frequent shingles, sorted by hash, and the mean list length they make.
 
-    Batches of all texts report the shingles they see ``SEEN`` times; the sums order the
-    shingles, which bears on cost, not on results. ``FREQUENT`` bounds what the driver gets.
+    Sums what the batches of all texts report. They order the shingles, which bears on cost, not
+    on results. ``FREQUENT`` bounds what the driver gets.
     """
-    rows = _texts(docs, text, text).select("text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in shared.by_bytes(batch, "text"):
-                found, times = np.unique(_sets(part["text"])[0], return_counts=True)
-                often = times >= SEEN
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[often].view(np.int64)), pa.array(times[often].astype(np.int64))], ["token", "n"]
-                )
-
-    totals = rows.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    seen = sets.filter("often IS NOT NULL").select(F.explode(F.arrays_zip("often", "times")).alias("x"))
+    totals = seen.groupBy(F.col("x.often").alias("token")).agg(F.sum("x.times").alias("n"))
     top = totals.filter(F.col("n") >= LEAST_FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     counts = top["n"].to_numpy().astype(float)
     length = 1.0 + float((counts**2).sum() / max(1.0, counts.sum())) if len(counts) else 1.0
@@ -156,36 +168,48 @@ def postings(docs: DataFrame, frequent: np.ndarray, small: int, *, text: str = "
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
     least_listed = partner_sizes(small + 1, percent)[0] if small else 1
 
+    def entries(own: np.ndarray, often: np.ndarray, name: int) -> Iterator[tuple[np.ndarray, ...]]:
+        size = len(own)
+        if size >= least_listed:
+            length = prefix_length(size, percent)
+            rare = own[~often][:length]
+            common = own[often][: length - len(rare)]
+            salt = 1 + (name & (2**63 - 1)) % links.SALTS
+            yield rare, np.zeros(len(rare), np.int32), size
+            yield common, np.full(len(common), salt, np.int32), size
+        if size <= small:
+            names = list(_subsets(own, percent))
+            yield np.array([n for n, _ in names], np.int64).view(np.uint64), np.array([k for _, k in names], np.int32), size
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in shared.by_bytes(batch, "text"):
-                hashes, owner, sizes = _sets(part["text"])
-                ids = _keys(hashes, owner, sizes)
-                once = np.zeros(len(ids), bool)  # equal sets of a batch go out once
-                once[np.unique(ids, return_index=True)[1]] = True
-                often = _rank(hashes, sent.value)
-                order = np.lexsort((hashes, often, owner))
-                hashes, owner, often = hashes[order], owner[order], often[order]
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                place = np.arange(len(hashes)) - first[owner]
-                lengths = np.array([prefix_length(int(n), percent) for n in sizes])
-                taken = (place < lengths[owner]) & once[owner] & (sizes[owner] >= least_listed)
-                item = ids[owner[taken]]
-                salt = np.where(often[taken], 1 + (item.view(np.uint64) % np.uint64(links.SALTS)).astype(np.int64), 0)
-                token, size = hashes[taken].view(np.int64), sizes[owner[taken]]
-                extra = [
-                    (name, ids[i], sizes[i], kind)
-                    for i in np.flatnonzero(once & (sizes > 0) & (sizes <= small))
-                    for name, kind in _subsets(np.sort(hashes[first[i] : first[i + 1]]), percent)
-                ]
-                if extra:
-                    names, owners, counts, kinds = (np.array(c, np.int64) for c in zip(*extra))
-                    token, item, size = (np.concatenate(p) for p in ((token, names), (item, owners), (size, counts)))
-                    salt = np.concatenate([salt, kinds])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token), pa.array(item), pa.array(salt.astype(np.int32)), pa.array(size.astype(np.int64))],
-                    ["token", "id", "salt", "size"],
-                )
+                seen: set[int] = set()  # equal sets of a batch go out once
+                tokens, names, salts, sizes = [], [], [], []
+                sets = _sets(part["text"])
+                often = _rank(np.concatenate(sets), sent.value)
+                at = 0
+                for own in sets:
+                    at, begin = at + len(own), at
+                    name = _name(own)
+                    if not len(own) or name in seen:
+                        continue
+                    seen.add(name)
+                    for token, salt, size in entries(own, often[begin:at], name):
+                        tokens.append(token)
+                        salts.append(salt)
+                        names.append(np.full(len(token), name, np.int64))
+                        sizes.append(np.full(len(token), size, np.int64))
+                if tokens:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate(tokens).view(np.int64)),
+                            pa.array(np.concatenate(names)),
+                            pa.array(np.concatenate(salts)),
+                            pa.array(np.concatenate(sizes)),
+                        ],
+                        ["token", "id", "salt", "size"],
+                    )
 
     return rows.mapInArrow(make, "token long, id long, salt int, size long")
 
@@ -235,36 +259,33 @@ def _subset_links(subsets: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, sets: DataFrame, *, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id, component`` of the named sets that are linked with another."""
     spark = docs.sparkSession
-    frequent, length = frequent_shingles(docs, text=text)
+    frequent, length = frequent_shingles(sets)
     small = boundary(length, percent)
     rows = postings(docs, frequent, small, text=text, percent=percent)
     lists = shared.stored(links.shared_lists(rows.filter("salt >= 0")), "lists")
     certain = shared.stored(_subset_links(rows.filter("salt < 0")), "links") if small else None
-    items = sets.select("id", "size", "sketch").dropDuplicates(["id"])
+    own = sets.filter("size > 0")
+    items = own.select("id", "size", "sketch").dropDuplicates(["id"])
 
     def payload_of(ids: DataFrame) -> DataFrame:
-        wanted = links.id_filter(spark, ids)
-        found = _texts(docs, text, text).select("text")
+        # One text of each set; the filter of text hashes spares the others their shingles.
+        wanted = own.join(ids, "id", "left_semi").groupBy("id").agg(F.min("version").alias("version"))
+        versions = shared.stored(wanted.select(F.col("version").alias("id")).distinct(), "versions")
+        held = links.id_filter(spark, versions)
+        rows = _texts(docs, text, text).select(F.coalesce(F.xxhash64("text"), F.lit(0)).alias("version"), "text")
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in shared.by_bytes(batch, "text"):
-                    hashes, owner, sizes = _sets(part["text"])
-                    names = _keys(hashes, owner, sizes)
-                    hold = links.may_hold(wanted.value, names) & (sizes > 0)
-                    first = np.concatenate([[0], np.cumsum(sizes)])
-                    at = np.flatnonzero(hold)
-                    at = at[np.unique(names[at], return_index=True)[1]]
+                hold = links.may_hold(held.value, batch["version"].to_numpy())
+                for part in shared.by_bytes(batch.filter(pa.array(hold)), "text"):
+                    unique = np.unique(part["version"].to_numpy(), return_index=True)[1]
+                    sets = [s for s in _sets(part["text"].take(pa.array(unique))) if len(s)]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(names[at]),
-                            pa.array([hashes[first[i] : first[i + 1]].tobytes() for i in at], pa.binary()),
-                        ],
+                        [pa.array([_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                         ["id", "data"],
                     )
 
-        held = found.mapInArrow(make, "id long, data binary")
-        return held.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        return rows.mapInArrow(make, "id long, data binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
     return links.classes(lists, items, payload_of, _near(percent), _same(percent), certain)
 
@@ -282,7 +303,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: i
     follows from others, so components are exact.
     """
     sets = shared.stored(sets_of(docs, key=key, text=text), "sets")
-    linked = similar_sets(docs, sets.filter("size > 0"), text=text, percent=percent)
+    linked = similar_sets(docs, sets, text=text, percent=percent)
     rows = sets.select("key", "version", "size", "id").join(linked, "id", "left")
     grouped = rows.withColumn("grp", F.coalesce("component", "id"))
     smallest = grouped.filter("size > 0").groupBy("grp").agg(F.min("key").alias("component_id"))

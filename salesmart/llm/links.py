@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import shared
 
-SKETCH_BITS = 2048
+SKETCH_BITS = 2048  # at least; sketches of powers of two times as many bits mix with these
 SKETCH_BYTES = SKETCH_BITS // 8
 BLOCK = 2_048
 FILTER_BITS = 1 << 26  # of a Bloom filter, at most: 8 MB
 SALTS = 64
 
-#: Given sizes and differing parity bits of pairs, whether they may be similar.
+#: Given sizes and least differing features of pairs, whether they may be similar.
 Near = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -77,39 +77,59 @@ def shared_lists(rows: DataFrame) -> DataFrame:
     return dealt.select("token", "id", "salt").mapInArrow(keep, "token long, id long")
 
 
-def _distance(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(one ^ others).sum(axis=1, dtype=np.int64)
-
-
-def _forest(item, size, side, sketch, near: Near) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that may be similar, found breadth first."""
-    waiting = np.arange(len(item))
-    edges: list[tuple[int, int]] = []
-    while len(waiting) > 1:
-        queue, waiting = [waiting[0]], waiting[1:]
-        while queue and len(waiting):
-            u = queue.pop()
-            hit = near(size[u], size[waiting], _distance(sketch[u], sketch[waiting]))
-            if side is not None:
-                hit &= side[waiting] != side[u]
-            found = waiting[hit]
-            edges.extend((int(item[u]), int(item[v])) for v in found)
-            queue.extend(found)
-            waiting = waiting[~hit]
-    return edges
-
-
-def _across(item, group, size, side, sketch, near: Near) -> list[tuple[int, int]]:
-    """All pairs of different groups that may be similar."""
-    edges: list[tuple[int, int]] = []
-    for u in range(len(item) - 1):
-        rest = u + 1 + np.flatnonzero(group[u + 1 :] != group[u])
-        if side is not None:
-            rest = rest[side[rest] != side[u]]
-        if len(rest):
-            hit = near(size[u], size[rest], _distance(sketch[u], sketch[rest]))
-            edges.extend((int(item[u]), int(item[v])) for v in rest[hit])
-    return edges
+def folded(sketch: bytes, width: int) -> np.ndarray:
+    """A sketch's bits as those of a sketch of ``width`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, width // 8), axis=0)
+
+
+class Unit:
+    """The members of a list, or of two blocks of one, that a task compares."""
+
+    def __init__(self, data: dict, sketches_: list[bytes]):
+        self.id, self.size, self.group, self.side = (data[c] for c in ("id", "size", "grp", "side"))
+        self.across = data["low"][0] != data["high"][0]
+        self.width = np.array([len(s) for s in sketches_])
+        self.tables = {}
+        for width in np.unique(self.width):
+            table = np.zeros((len(sketches_), width // 8), np.uint64)
+            for row in np.flatnonzero(self.width >= width):
+                table[row] = folded(sketches_[row], width)
+            self.tables[width] = table
+
+    def near(self, u: int, others: np.ndarray, near: Near) -> np.ndarray:
+        """Which of ``others`` may be similar to ``u``."""
+        differing = np.zeros(len(others), np.int64)
+        widths = np.minimum(self.width[others], self.width[u])
+        for width in np.unique(widths):
+            at, table = widths == width, self.tables[width]
+            differing[at] = np.bitwise_count(table[u] ^ table[others[at]]).sum(axis=1, dtype=np.int64)
+        hit = near(self.size[u], self.size[others], differing)
+        return hit & (self.side[others] != self.side[u]) if self.across else hit
+
+    def forest(self, near: Near) -> list[tuple[int, int]]:
+        """A spanning forest of the pairs that may be similar, found breadth first."""
+        waiting = np.arange(len(self.id))
+        edges: list[tuple[int, int]] = []
+        while len(waiting) > 1:
+            queue, waiting = [waiting[0]], waiting[1:]
+            while queue and len(waiting):
+                u = queue.pop()
+                hit = self.near(u, waiting, near)
+                found = waiting[hit]
+                edges.extend((int(self.id[u]), int(self.id[v])) for v in found)
+                queue.extend(found)
+                waiting = waiting[~hit]
+        return edges
+
+    def between_groups(self, near: Near) -> list[tuple[int, int]]:
+        """All pairs of different groups that may be similar."""
+        edges: list[tuple[int, int]] = []
+        for u in range(len(self.id) - 1):
+            rest = u + 1 + np.flatnonzero(self.group[u + 1 :] != self.group[u])
+            if len(rest):
+                hit = self.near(u, rest, near)
+                edges.extend((int(self.id[u]), int(self.id[v])) for v in rest[hit])
+        return edges
 
 
 def candidates(lists: DataFrame, items: DataFrame, near: Near, groups: DataFrame | None = None) -> DataFrame:
@@ -151,12 +171,6 @@ def candidates(lists: DataFrame, items: DataFrame, near: Near, groups: DataFrame
     )
     forest = groups is None
 
-    def pairs_of(unit: dict) -> list[tuple[int, int]]:
-        side = None if unit["low"][0] == unit["high"][0] else unit["side"]
-        if forest:
-            return _forest(unit["id"], unit["size"], side, unit["sketch"], near)
-        return _across(unit["id"], unit["grp"], unit["size"], side, unit["sketch"], near)
-
     columns = ("token", "low", "high", "id", "grp", "size", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,27 +186,35 @@ def candidates(lists: DataFrame, items: DataFrame, near: Near, groups: DataFrame
                 a, b = np.array(list(fresh), np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-        def units_of(data: dict, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+        def units_of(data: dict, bits: list[bytes], starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
             found: list[tuple[int, int]] = []
+            plain = np.array([len(b) for b in bits]) == SKETCH_BYTES
             two = starts[ends - starts == 2]  # most lists, all at once
+            two = two[plain[two] & plain[two + 1]]
             if len(two):
-                distance = np.bitwise_count(data["sketch"][two] ^ data["sketch"][two + 1]).sum(axis=1, dtype=np.int64)
+                one, other = (
+                    np.frombuffer(b"".join([bits[i] for i in at]), np.uint64).reshape(len(two), -1)
+                    for at in (two, two + 1)
+                )
+                distance = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
                 hit = near(data["size"][two], data["size"][two + 1], distance)
                 hit &= data["grp"][two] != data["grp"][two + 1]
-                cross = data["low"][two] != data["high"][two]
-                hit &= ~cross | (data["side"][two] != data["side"][two + 1])
+                across = data["low"][two] != data["high"][two]
+                hit &= ~across | (data["side"][two] != data["side"][two + 1])
                 found.extend(zip(data["id"][two[hit]].tolist(), data["id"][two[hit] + 1].tolist()))
-            for s, e in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                found.extend(pairs_of({k: v[s:e] for k, v in data.items()}))
+            done = set(two.tolist())
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                if e - s > 1 and s not in done:
+                    unit = Unit({k: v[s:e] for k, v in data.items()}, bits[s:e])
+                    found.extend(unit.forest(near) if forest else unit.between_groups(near))
             return found
 
+        held_bits: list[bytes] = []
         for batch in batches:
             if not len(batch):
                 continue
             data = {c: batch[c].to_numpy() for c in columns}
-            data["sketch"] = np.frombuffer(
-                b"".join(batch["sketch"].to_pylist()), np.uint64
-            ).reshape(len(batch), SKETCH_BYTES // 8)
+            bits = held_bits + batch["sketch"].to_pylist()
             if held is not None:
                 data = {k: np.concatenate([held[k], v]) for k, v in data.items()}
             new = np.zeros(len(data["token"]), bool)
@@ -200,10 +222,11 @@ def candidates(lists: DataFrame, items: DataFrame, near: Near, groups: DataFrame
             for c in ("token", "low", "high"):
                 new[1:] |= data[c][1:] != data[c][:-1]
             starts = np.flatnonzero(new)
-            yield from out(units_of(data, starts[:-1], starts[1:]))
+            yield from out(units_of(data, bits, starts[:-1], starts[1:]))
             held = {k: v[starts[-1] :].copy() for k, v in data.items()}
+            held_bits = bits[starts[-1] :]
         if held is not None:
-            yield from out(units_of(held, np.array([0]), np.array([len(held["token"])])))
+            yield from out(units_of(held, held_bits, np.array([0]), np.array([len(held_bits)])))
 
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 

@@ -76,6 +76,12 @@ def pieces(
     )
 
 
+def _small(spark: SparkSession, rows: list[tuple[int, ...]], *columns: str) -> DataFrame:
+    """A table of numbers whose size the planner knows, so that it can broadcast it if small."""
+    values = zip(*rows) if rows else [()] * len(columns)
+    return spark.createDataFrame(pa.table({c: pa.array(v, pa.int64()) for c, v in zip(columns, values)}))
+
+
 def _ranked(rows: DataFrame, size: str, *ties: str) -> tuple[DataFrame, dict[int, int]]:
     """``rows`` with ``rank`` among rows of equal ``size``, and how many there are of each.
 
@@ -103,7 +109,7 @@ def _ranked(rows: DataFrame, size: str, *ties: str) -> tuple[DataFrame, dict[int
         before = totals.get(row.of, 0)
         bases.append((row.part, row.of, before - row.first))
         totals[row.of] = before + row.n
-    shift = spark.createDataFrame(bases, "part long, of long, shift long")
+    shift = _small(spark, bases, "part", "of", "shift")
     ranked = (
         sorted_.withColumn("part", part)
         .join(shift.withColumnRenamed("of", size), ["part", size])
@@ -164,13 +170,9 @@ def sweep(left: dict[int, int], placed: dict[int, int], gaps: dict[int, int], ca
     return out
 
 
-_INTO = "gap long, low long, high long, length long, each long, first long, stop long"
-_OPENED = "length long, each long, first long, stop long, base long"
-
-
 def _round(spark: SparkSession, found: Sweep, items: DataFrame, open_: DataFrame | None, capacity: int) -> DataFrame:
     """All sequences after the round, with what was put into them (``count`` 0: nothing)."""
-    opened = spark.createDataFrame(found.opened, _OPENED)
+    opened = _small(spark, found.opened, "length", "each", "first", "stop", "base")
     started = items.select("length", "rank").join(opened, "length").filter(
         (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("stop"))
         & ((F.col("rank") - F.col("first")) % F.col("each") == 0)
@@ -186,7 +188,7 @@ def _round(spark: SparkSession, found: Sweep, items: DataFrame, open_: DataFrame
     )
     if open_ is None:
         return after
-    into = spark.createDataFrame(found.into, _INTO)
+    into = _small(spark, found.into, "gap", "low", "high", "length", "each", "first", "stop")
     rows, match = open_.alias("o"), into.alias("m")
     fits = (F.col("o.gap") == F.col("m.gap")) & (F.col("o.rank") >= F.col("m.low")) & (F.col("o.rank") < F.col("m.high"))
     both = rows.join(match, fits, "left")

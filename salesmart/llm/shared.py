@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -62,7 +64,15 @@ def discard(df: DataFrame | None) -> None:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound what Spark hands to Python at once, unless the session bounds it tighter."""
+    """Bound what Spark hands to Python at once, unless the session bounds it tighter.
+
+    Python workers also get the place of this package; on other machines it must be installed.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     for key, most in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from salesmart.llm import lines, links
+from tests.llm.helpers import Classes, table
+
+
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+WORD = st.text(alphabet="abc", max_size=14)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(WORD, WORD, st.integers(0, 6))
+def test_distance_in_a_band(a, b, most):
+    assert lines.within(a, b, most) == (distance(a, b) <= most)
+
+
+def test_distance_of_long_lines():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = "".join(rng.choices("abcé ", k=rng.randrange(60, 90)))
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randrange(2)] = rng.choice(("", "x", "é"))
+        assert lines.within(a, "".join(b), 2) == (distance(a, "".join(b)) <= 2)
+
+
+def expected(rows: list[tuple], edits: int = 2, least: int = 20) -> dict:
+    places = [(k, n, line.strip(" \t\r\f\v")) for k, t in rows for n, line in enumerate((t or "").split("\n"))]
+    places = [p for p in places if len(p[2]) >= least]
+    distinct = sorted({p[2] for p in places})
+    classes = Classes(distinct)
+    for a, b in combinations(distinct, 2):
+        if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            classes.join(a, b)
+    first: dict = {}
+    removed: dict = {k: [] for k, _ in rows}
+    for key, number, line in sorted(places):
+        if first.setdefault(classes.find(line), (key, number)) != (key, number):
+            removed[key].append(number)
+    return removed
+
+
+def corpus(seed: int) -> list[tuple]:
+    rng = random.Random(seed)
+    bases = ["".join(rng.choices("abcdefé ", k=rng.randrange(17, 50))).strip() or "x" for _ in range(25)]
+    rows: list[tuple] = [(500, None), (501, ""), (502, "\n\n"), (503, "tiny\ntiny\ntiny")]
+    for key in range(60):
+        made = []
+        for _ in range(rng.randrange(6)):
+            line = list(rng.choice(bases))
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 3))):
+                at = rng.randrange(len(line))
+                line[at : at + rng.randrange(2)] = rng.choice(("", "x", "yé"))
+            made.append(rng.choice(("", " ", "\t")) + "".join(line) + rng.choice(("", " ", "\r")))
+        rows.append((key, "\n".join(made)))
+    return rows
+
+
+def test_repeated_lines_by_brute_force(spark, monkeypatch):
+    for seed in (1, 2):
+        if seed == 2:
+            monkeypatch.setattr(links, "BLOCK", 3)
+        rows = corpus(seed)
+        found = {r.key: r.removed for r in lines.repeated_lines(table(spark, rows)).collect()}
+        assert found == expected(rows)
+
+
+def test_lines_are_dropped_and_others_stay(spark):
+    long = "a line that is long enough"
+    rows = [(2, f"{long}\nshort\n{long}!\nend"), (1, f"x\n{long}"), (None, None), (3, "")]
+    docs = table(spark, rows)
+    repeated = lines.repeated_lines(docs)
+    kept = lines.drop_lines(docs, repeated)
+    assert kept.columns == docs.columns
+    assert {r.doc_id: r.text for r in kept.collect()} == {2: "short\nend", 1: f"x\n{long}", None: None, 3: ""}
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.removed_lines) for r in lines.summarise(repeated).collect()} == {
+        2: (4, 2, "0,2"), 1: (2, 0, ""), None: (0, 0, ""), 3: (1, 0, ""),
+    }
+
+
+def test_no_rows_and_repeated_rows(spark):
+    assert lines.repeated_lines(table(spark, [])).collect() == []
+    docs = table(spark, [(1, "the very same line of text")] * 2)
+    repeated = lines.repeated_lines(docs)
+    assert [r.removed for r in repeated.collect()] == [[]]
+    assert lines.drop_lines(docs, repeated).count() == 2

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from salesmart.llm import packing
+from tests.llm.helpers import table
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def best_fit_decreasing(lengths: list[int], capacity: int) -> int:
+    gaps: list[int] = []
+    for length in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= length]
+        gap = min(fits) if fits else capacity
+        if fits:
+            gaps.remove(gap)
+        gaps.append(gap - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_placement(spark, seed):
+    rng = random.Random(seed)
+    capacity = 64
+    kinds = (lambda: rng.randint(1, 64), lambda: rng.choice((64, 33, 32, 31)), lambda: rng.randint(1, 9), lambda: 20)
+    lengths = [kinds[seed]() for _ in range(400)]
+    counts = Counter(lengths)
+    seen: Counter = Counter()
+    rows = []
+    for length in lengths:
+        rows.append((length, seen[length]))
+        seen[length] += 1
+    items = spark.createDataFrame(rows, "length long, rank long")
+    placed = packing.place(items, dict(counts), capacity).collect()
+    assert Counter((r.length, r.rank) for r in placed) == Counter(rows)
+    sequences = defaultdict(list)
+    for r in placed:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for held in sequences.values():
+        end = 0
+        for offset, length in sorted(held):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    least = -(-sum(lengths) // capacity)
+    assert least <= len(sequences) <= max(1.05 * best_fit_decreasing(lengths, capacity), least + 1)
+
+
+def test_pack(spark):
+    rng = random.Random(9)
+    texts = [None, "", "word", "a " * 2047, "a " * 2048, "a " * 5000, "<|endoftext|> x", "é" * 3000]
+    texts += ["w " * rng.randrange(1500) for _ in range(40)]
+    rows = list(enumerate(texts)) + [(None, "nobody")]
+    library = Tokenizer.from_file(PATH)
+    found = defaultdict(list)
+    sequences = defaultdict(int)
+    for r in packing.pack(table(spark, rows), PATH).collect():
+        found[r.doc_id].append(r)
+        sequences[r.sequence_id] += r.length
+    assert max(sequences.values()) <= 2048
+    for key, text in rows:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        at = 0
+        for number, r in enumerate(sorted(found[key], key=lambda r: r.piece)):
+            assert (r.piece, r.start) == (number, at) and (number == 0 or r.length == 2048)
+            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    total = sum(sequences.values())
+    assert len(sequences) <= 1.05 * -(-total // 2048) + 1
+
+
+def test_repeated_rows_and_no_rows(spark):
+    assert packing.pack(table(spark, [(1, "x y")] * 3), PATH).count() == 3
+    assert packing.pack(table(spark, []), PATH).collect() == []
