@@ -77,35 +77,32 @@ def item_windows(items: DataFrame, *, window: int, key: str, text: str) -> DataF
 def hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
     """``id, version, at, length, passage``: where documents hold a window of ``length`` words.
 
-    ``docs`` has ``id, version, text``. Fingerprints are of fully lower-cased words, which
-    equal passages share as well; the passages themselves are compared as they are.
+    ``docs`` has ``id, version, text``. Passages with equal fingerprints are compared as text.
     """
     passages = windows.filter(F.col("length") == length).select("passage").distinct()
+    # The outer explode keeps Spark from filtering by the arrays' sizes beforehand, for which it
+    # would put each array's expression into the next one's and compute it for each element.
     known = (
-        _minima(
-            passages.select(F.split(F.lower("passage"), " ").alias("words")), "words", length
-        )
+        _minima(passages.select(F.split("passage", " ").alias("words")), "words", length)
         .select(F.explode_outer("minima").alias("mark"))
         .filter("mark IS NOT NULL")
         .distinct()
     )
-    lowered = docs.select("id", "version", words_of(F.lower("text")).alias("words"))
-    # The outer explode keeps Spark from filtering by the arrays' sizes beforehand, for which it
-    # would put each array's expression into the next one's and compute it for each element.
-    marks = _minima(lowered, "words", length, "id", "version").select(
-        "id", "version", F.explode_outer(F.array_distinct("minima")).alias("mark")
-    ).filter("mark IS NOT NULL")
+    listed = docs.select("id", "version", words_of(ascii_lower(F.col("text"))).alias("words"))
+    marks = (
+        _minima(listed, "words", length, "id", "version")
+        .select("id", "version", F.explode_outer(F.array_distinct("minima")).alias("mark"))
+        .filter("mark IS NOT NULL")
+    )
     suspects = (
         marks.join(known, "mark").groupBy("id", "version").agg(F.collect_set("mark").alias("marks"))
     )
     same = F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.version") == F.col("s.version"))
-    near = docs.alias("d").join(suspects.alias("s"), same).select("d.id", "d.version", "d.text", "s.marks")
-    texts = near.select("*", words_of(F.lower("text")).alias("lowered"))
-    minima = _minima(texts, "lowered", length, "id", "version", "text", "marks")
-    # ``words`` and ``minima`` are each read twice, so that Spark keeps them as columns.
-    exact = minima.select(
-        "id", "version", "marks", "minima", words_of(ascii_lower(F.col("text"))).alias("words")
+    near = docs.alias("d").join(suspects.alias("s"), same).select(
+        "d.id", "d.version", "s.marks", words_of(ascii_lower(F.col("d.text"))).alias("words")
     )
+    # ``words`` and ``minima`` are each read twice, so that Spark keeps them as columns.
+    exact = _minima(near, "words", length, "id", "version", "marks", "words")
     places = F.sequence(F.lit(0), F.least(F.size("minima"), F.size("words")) - 1)
     shared = F.filter(
         F.when(F.size("minima") > 0, places).otherwise(F.array().cast("array<int>")),
@@ -146,7 +143,7 @@ def scan(
     )
     windows = item_windows(items, window=window, key=item_key, text=item_text)
     lengths = sorted(r.length for r in windows.select("length").distinct().collect())
-    counted = own.select("id", "version", F.size(words_of(F.lower("text"))).cast("long").alias("n_words"))
+    counted = own.select("id", "version", F.size(words_of(ascii_lower(F.col("text")))).cast("long").alias("n_words"))
     if not lengths:
         return counted.select(
             F.col("id").alias(key), "version", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")

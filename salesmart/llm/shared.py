@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
 
+_meanwhile: list[list[str]] = []
+
 
 def folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it.
@@ -26,9 +29,8 @@ def folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local")) or (
-        spark.sparkContext.master.startswith("local-cluster")
-    ):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="salesmart-")
     spark.sparkContext.setCheckpointDir(own)
@@ -43,12 +45,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _meanwhile:
+        _meanwhile[-1].append(path)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stored_at = path
     return back
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that are stored meanwhile; what is kept must have been written before."""
+    _meanwhile.append([])
+    try:
+        yield
+    finally:
+        for path in _meanwhile.pop():
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what lies at ``path`` in the shared folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
