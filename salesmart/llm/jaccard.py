@@ -29,7 +29,7 @@ FREQUENT = 32_768  # shingles put last in the order, at most
 LEAST_FREQUENT = 48
 SEEN = 3  # times in a batch, from which on a shingle is reported as frequent
 LARGEST_SMALL = 12
-EQUAL, UNEQUAL = -1, -2  # in place of a salt: an entry is a subset
+EQUAL, UNEQUAL = 0, 1  # whether a subset's two sizes are one
 
 
 def overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -95,8 +95,9 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 def sets_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, version, size, id, sketch`` of each row: its set's size, name and parity bits.
 
-    One row of each batch also has the shingles ``often`` that the batch holds ``SEEN`` times or
-    more, and their ``times``.
+    Sets of ``LARGEST_SMALL`` shingles or fewer come along whole, as ``small``. One row of each
+    batch also has the shingles ``often`` that the batch holds ``SEEN`` times or more, and their
+    ``times``.
     """
     rows = _texts(docs, key, text).withColumn("version", F.coalesce(F.xxhash64("text"), F.lit(0)))
     kind = rows.schema["key"].dataType.simpleString()
@@ -115,15 +116,17 @@ def sets_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Data
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_name(s) for s in sets], pa.int64()),
                         pa.array([_sketch(s) for s in sets], pa.binary()),
+                        pa.array([s.view(np.int64) if 0 < len(s) <= LARGEST_SMALL else None for s in sets], pa.list_(pa.int64())),
                         pa.array([found[often].view(np.int64), *none], pa.list_(pa.int64())),
                         pa.array([times[often].astype(np.int64), *none], pa.list_(pa.int64())),
                     ],
-                    ["key", "version", "size", "id", "sketch", "often", "times"],
+                    ["key", "version", "size", "id", "sketch", "small", "often", "times"],
                 )
 
     return rows.mapInArrow(
         make,
-        f"key {kind}, version long, size long, id long, sketch binary, often array<long>, times array<long>",
+        f"key {kind}, version long, size long, id long, sketch binary, small array<long>, "
+        "often array<long>, times array<long>",
     )
 
 
@@ -163,76 +166,64 @@ def _subsets(elements: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
 
 
 def postings(docs: DataFrame, frequent: np.ndarray, small: int, *, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``token, id, salt, size`` of every set: its list entries (salt >= 0) and subsets (< 0)."""
+    """``token, id, salt`` of every set that may be similar to one of more than ``small``."""
     rows = _texts(docs, text, text).select("text")
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
-    least_listed = partner_sizes(small + 1, percent)[0] if small else 1
-
-    def entries(own: np.ndarray, often: np.ndarray, name: int) -> Iterator[tuple[np.ndarray, ...]]:
-        size = len(own)
-        if size >= least_listed:
-            length = prefix_length(size, percent)
-            rare = own[~often][:length]
-            common = own[often][: length - len(rare)]
-            salt = 1 + (name & (2**63 - 1)) % links.SALTS
-            yield rare, np.zeros(len(rare), np.int32), size
-            yield common, np.full(len(common), salt, np.int32), size
-        if size <= small:
-            names = list(_subsets(own, percent))
-            yield np.array([n for n, _ in names], np.int64).view(np.uint64), np.array([k for _, k in names], np.int32), size
+    least_listed = partner_sizes(small + 1, percent)[0]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in shared.by_bytes(batch, "text"):
                 seen: set[int] = set()  # equal sets of a batch go out once
-                tokens, names, salts, sizes = [], [], [], []
+                tokens, names, salts = [], [], []
                 sets = _sets(part["text"])
                 often = _rank(np.concatenate(sets), sent.value)
                 at = 0
                 for own in sets:
                     at, begin = at + len(own), at
                     name = _name(own)
-                    if not len(own) or name in seen:
+                    if len(own) < least_listed or name in seen:
                         continue
                     seen.add(name)
-                    for token, salt, size in entries(own, often[begin:at], name):
-                        tokens.append(token)
-                        salts.append(salt)
-                        names.append(np.full(len(token), name, np.int64))
-                        sizes.append(np.full(len(token), size, np.int64))
-                if tokens:
+                    common = often[begin:at]
+                    length = prefix_length(len(own), percent)
+                    rare = own[~common][:length]
+                    tokens += [rare, own[common][: length - len(rare)]]
+                    names.append(np.full(length, name, np.int64))
+                    salts.append(np.zeros(length, np.int32))
+                    salts[-1][len(rare) :] = 1 + (name & (2**63 - 1)) % links.SALTS
+                if names:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(tokens).view(np.int64)),
                             pa.array(np.concatenate(names)),
                             pa.array(np.concatenate(salts)),
-                            pa.array(np.concatenate(sizes)),
                         ],
-                        ["token", "id", "salt", "size"],
+                        ["token", "id", "salt"],
                     )
 
-    return rows.mapInArrow(make, "token long, id long, salt int, size long")
+    return rows.mapInArrow(make, "token long, id long, salt int")
 
 
-def _near(percent: int) -> links.Near:
-    def near(a, b, differing):
-        # Similar sets differ in at most (100 - p) / (100 + p) of their elements together.
-        return ((100 + percent) * differing <= (100 - percent) * (a + b)) & (
-            100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-        )
+def subsets(sets: DataFrame, small: int, percent: int = PERCENT) -> DataFrame:
+    """``token, salt, id, size``: the subsets of each set of ``small`` shingles or fewer."""
 
-    return near
-
-
-def _same(percent: int):
-    def same(a: bytes, b: bytes) -> bool:
-        left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        both = np.concatenate([left, right])
-        both.sort()
-        common = int((both[1:] == both[:-1]).sum())
-        return 100 * common >= percent * (len(both) - common)
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                named = list(_subsets(np.array(row["small"]), percent))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([n for n, _ in named], pa.int64()),
+                        pa.array([k for _, k in named], pa.int32()),
+                        pa.array([row["id"]] * len(named), pa.int64()),
+                        pa.array([row["size"]] * len(named), pa.int64()),
+                    ],
+                    ["token", "salt", "id", "size"],
+                )
 
-    return same
+    rows = sets.filter((F.col("size") > 0) & (F.col("size") <= small)).select("id", "size", "small")
+    return rows.dropDuplicates(["id"]).mapInArrow(make, "token long, salt int, id long, size long")
 
 
 def _subset_links(subsets: DataFrame) -> DataFrame:
@@ -256,14 +247,35 @@ def _subset_links(subsets: DataFrame) -> DataFrame:
     )
 
 
+def _near(percent: int) -> links.Near:
+    def near(a, b, differing):
+        # Similar sets differ in at most (100 - p) / (100 + p) of their elements together.
+        return ((100 + percent) * differing <= (100 - percent) * (a + b)) & (
+            100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        )
+
+    return near
+
+
+def _same(percent: int):
+    def same(a: bytes, b: bytes) -> bool:
+        left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        both = np.concatenate([left, right])
+        both.sort()
+        common = int((both[1:] == both[:-1]).sum())
+        return 100 * common >= percent * (len(both) - common)
+
+    return same
+
+
 def similar_sets(docs: DataFrame, sets: DataFrame, *, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id, component`` of the named sets that are linked with another."""
     spark = docs.sparkSession
     frequent, length = frequent_shingles(sets)
     small = boundary(length, percent)
     rows = postings(docs, frequent, small, text=text, percent=percent)
-    lists = shared.stored(links.shared_lists(rows.filter("salt >= 0")), "lists")
-    certain = shared.stored(_subset_links(rows.filter("salt < 0")), "links") if small else None
+    lists = shared.stored(links.shared_lists(rows), "lists")
+    certain = shared.stored(_subset_links(subsets(sets, small, percent)), "links") if small else None
     own = sets.filter("size > 0")
     items = own.select("id", "size", "sketch").dropDuplicates(["id"])
 

@@ -91,6 +91,9 @@ class Unit:
         self.width = np.array([len(s) for s in sketches_])
         self.tables = {}
         for width in np.unique(self.width):
+            if (self.width == width).all():
+                self.tables[width] = np.frombuffer(b"".join(sketches_), np.uint64).reshape(len(sketches_), -1)
+                continue
             table = np.zeros((len(sketches_), width // 8), np.uint64)
             for row in np.flatnonzero(self.width >= width):
                 table[row] = folded(sketches_[row], width)
@@ -143,15 +146,13 @@ def candidates(lists: DataFrame, items: DataFrame, near: Near, groups: DataFrame
         members = lists.join(groups, "id", "left").select(
             "token", "id", F.coalesce("component", "id").alias("grp")
         )
-        counts = (
-            members.groupBy("token")
-            .agg(F.count("*").alias("n"), F.min("grp").alias("low"), F.max("grp").alias("high"))
-            .filter("low < high")
-            .select("token", "n")
-        )
     else:
         members = lists.select("token", "id", F.col("id").alias("grp"))
-        counts = lists.groupBy("token").agg(F.count("*").alias("n"))
+    same = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"sum{seed}") for seed in (0, 1)]
+    ends = [F.min("grp").alias("low"), F.max("grp").alias("high")]
+    counts = members.groupBy("token").agg(F.count("*").alias("n"), *same, *ends).filter("low < high")
+    # Similar items share many tokens: of lists with the same members one is compared.
+    counts = counts.groupBy("n", "sum0", "sum1").agg(F.min("token").alias("token")).select("token", "n")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = (
         members.join(counts, "token")
