@@ -255,8 +255,10 @@ def pack(
     is a piece's place in its sequence, gapless from 0. An empty table gives an empty one.
     Other columns are not read.
     """
-    cut = pieces(docs, tokenizer, key=key, text=text, capacity=capacity)
+    # Stored first: a range sort reads its input twice, and this one is all the encoding.
+    cut = shared.stored(pieces(docs, tokenizer, key=key, text=text, capacity=capacity), "pieces")
     items, counts = _ranked(cut, "length", "key", "piece", "ids_crc32")
+    shared.discard(cut)
     where = place(items.select("length", "rank"), counts, capacity)
     return items.join(where, ["length", "rank"]).select(
         F.col("key").alias(key), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
