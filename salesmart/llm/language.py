@@ -28,7 +28,8 @@ ORDERS = (2, 3, 4)
 SAMPLE = 3_000  # training documents of each language, at most about
 MIN_SHARE = 0.01  # of a language's documents, that contain an n-gram
 MIN_RATIO = 0.2  # of the largest such share in any language
-MIN_DOCS = 2
+MIN_DOCS = 2  # that contain an n-gram, unless that is this share of the language's:
+FEW = 0.05
 CELLS_PER_GRAM = 16
 PROBES = 3
 
@@ -154,9 +155,12 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
                 found = list(gram_hashes(part["text"].to_pylist()))
                 for name in sorted(set(langs)):
                     mine = langs == name
-                    pairs = [
-                        np.unique(np.stack([h[mine[o]], o[mine[o]].astype(np.uint64)]), axis=1)[0] for h, o in found
-                    ]
+                    pairs = [np.empty(0, np.uint64)]
+                    for hashes, owner in found:
+                        own = mine[owner]
+                        if own.any():  # an n-gram counts once a document
+                            both = np.stack([hashes[own], owner[own].astype(np.uint64)])
+                            pairs.append(np.unique(both, axis=1)[0])
                     grams, docs = np.unique(np.concatenate(pairs), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -175,9 +179,8 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
         drawn.mapInArrow(count, "lang string, gram long, docs long")
         .groupBy("lang", "gram")
         .agg(F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= MIN_DOCS)
         .withColumn("share", share)
-        .filter(F.col("share") >= MIN_SHARE)
+        .filter((F.col("share") >= MIN_SHARE) & ((F.col("docs") >= MIN_DOCS) | (F.col("share") >= FEW)))
     )
     table = shares.select("lang", "gram", "share").toPandas()
     table = table[table["share"] >= MIN_RATIO * table.groupby("gram")["share"].transform("max")]
