@@ -3,7 +3,8 @@
 A line within ``EDITS`` edits of another keeps one of the other's ``EDITS + 1`` segments
 unbroken. So the segments of every line are indexed by line length, number and content, and
 every line probes, for each length it may match, the substrings at the places where an
-unbroken segment can lie. Lines that meet in a list are sifted by sketches of their letter
+unbroken segment can lie. Short lines are allowed fewer edits, in proportion to their length,
+and so have fewer segments; where none is allowed, equal ids are all. Lines that meet in a list are sifted by sketches of their letter
 pairs and verified by an edit distance computed in a band of bits.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from salesmart.llm import links, shared, words
 
 EDITS = 2
-MIN_CHARS = 20  # shorter lines are never duplicates: too many are equal by chance
+MIN_CHARS = 20  # shorter lines are compared only where ``short`` is set, by fewer edits
 _SALT = np.uint64(0xA24BAED4963EE407)
 _BLANK = np.array([9, 11, 12, 13, 32], np.uint32)
 
@@ -79,6 +80,18 @@ def within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
+def allowance(edits: int, min_chars: int, short: bool) -> np.ndarray:
+    """Edits that the shorter line of a pair is allowed, by its length up to ``min_chars``.
+
+    Below that, ``short`` lines are allowed their share of ``edits`` (one from 10 characters and
+    none under these, by default), and always a segment of a character or more.
+    """
+    size = np.arange(min_chars + 1)
+    most = np.minimum(edits * size // max(min_chars, 1), size - 1).clip(0) if short else np.zeros_like(size)
+    most[min_chars] = edits
+    return most
+
+
 class _Lines:
     """The lines of a batch of texts: where they are, and which are long enough."""
 
@@ -110,22 +123,23 @@ class _Lines:
         total = self.prefix[start + size] - self.prefix[start]
         return words.mix(total * self.undo[start] + words.mix(salt * np.uint64(2) + np.uint64(1)))
 
-    def chosen(self, min_chars: int) -> np.ndarray:
-        """The first of each distinct line that is long enough."""
-        long = np.flatnonzero(self.size >= min_chars)
+    def chosen(self, most: np.ndarray) -> np.ndarray:
+        """The first of each distinct line that is long enough to be allowed an edit."""
+        long = np.flatnonzero(most[np.minimum(self.size, len(most) - 1)] > 0)
         return long[np.unique(self.id[long], return_index=True)[1]]
 
-    def tokens(self, at: np.ndarray, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def tokens(self, at: np.ndarray, most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Index and probe tokens of lines ``at``, with their ids."""
-        start, size, name = self.start[at], self.size[at], self.id[at]
-        for less in range(edits + 1):  # the other line is so much shorter
-            other = size - less
+        for edits, less in ((e, n) for e in np.unique(most[most > 0]).tolist() for n in range(e + 1)):
+            other = self.size[at] - less  # the other line is so much shorter, and allowed ``edits``
+            fit = (other >= 0) & (most[np.clip(other, 0, len(most) - 1)] == edits)
+            start, size, name, other = self.start[at[fit]], self.size[at[fit]], self.id[at[fit]], other[fit]
             base, longer = other // (edits + 1), other % (edits + 1)
             for i in range(edits + 1):
                 extra = np.maximum(0, i - (edits + 1 - longer))
                 place = i * base + extra
                 length = base + (i >= edits + 1 - longer)
-                salt = (other * (edits + 1) + i).astype(np.uint64)
+                salt = (other * (int(most.max()) + 1) + i).astype(np.uint64)
                 for move in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
                     first = place + move
                     fits = (first >= 0) & (first + length <= size) & (length > 0)
@@ -183,16 +197,17 @@ def lines_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_ch
 
 
 def similar_lines(
-    docs: DataFrame, *, text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, *, text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
 ) -> DataFrame:
-    """``id, component`` of distinct long lines within ``edits`` edits of another, or by way of others."""
+    """``id, component`` of distinct lines within their allowed edits of another, or by way of others."""
     spark = docs.sparkSession
+    most = allowance(edits, min_chars, short)
     shared.bound_batches(spark)
     rows = docs.select(F.col(text).alias("text"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _batches(batches):
-            for token, name in found.tokens(found.chosen(min_chars), edits):
+            for token, name in found.tokens(found.chosen(most), most):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token), pa.array(name), pa.array(np.zeros(len(name), np.int32))],
                     ["token", "id", "salt"],
@@ -205,7 +220,7 @@ def similar_lines(
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, found in _batches(batches):
-                at = found.chosen(min_chars)
+                at = found.chosen(most)
                 yield columns(found, at[links.may_hold(wanted.value, found.id[at])])
 
         return rows.mapInArrow(make, schema).join(ids, "id", "left_semi").dropDuplicates(["id"])
@@ -227,27 +242,37 @@ def similar_lines(
 
     def near(a, b, differing):
         # An edit takes away and brings in two letter pairs at most.
-        return (differing <= 4 * edits) & (np.abs(a - b) <= edits)
+        allowed = most[np.minimum(np.minimum(a, b), min_chars)]
+        return (differing <= 4 * allowed) & (np.abs(a - b) <= allowed)
 
     def same(a: bytes, b: bytes) -> bool:
-        return within(a.decode("utf-8", "surrogatepass"), b.decode("utf-8", "surrogatepass"), edits)
+        one, other = a.decode("utf-8", "surrogatepass"), b.decode("utf-8", "surrogatepass")
+        return within(one, other, int(most[min(len(one), len(other), min_chars)]))
 
     return links.classes(lists, items, lambda ids: held(ids, "id long, data binary", text_columns), near, same)
 
 
 def repeated_lines(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """``key, version, n_lines, removed`` of every distinct row: numbers of its repeated lines.
 
     Lines end at line feeds and are compared without the blanks around them. Lines of
     ``min_chars`` characters or more are of one class if ``edits`` or fewer edits make one of the
-    other, directly or by way of others. Of a class the first line stays, by key (NULL first),
+    other, directly or by way of others. With ``short`` so are all shorter ones but empty lines, a
+    pair by the edits that ``allowance`` gives its shorter line: where these are 0 if equal. Of a class the first line stays, by key (NULL first),
     text and number; all others are repeated. Rows equal in key and text are one document.
     ``version`` is a hash of the text. NULL texts have no lines, empty ones one, none repeated.
     """
-    found = shared.stored(lines_of(docs, key=key, text=text, min_chars=min_chars).dropDuplicates(["key", "version"]), "lines")
-    alike = similar_lines(docs, text=text, edits=edits, min_chars=min_chars)
+    least = min(1, min_chars) if short else min_chars
+    found = shared.stored(lines_of(docs, key=key, text=text, min_chars=least).dropDuplicates(["key", "version"]), "lines")
+    alike = similar_lines(docs, text=text, edits=edits, min_chars=min_chars, short=short)
     places = found.select("key", "version", F.explode("lines").alias("line")).select(
         "key", "version", F.col("line.number").alias("number"), F.col("line.id").alias("id")
     )

@@ -53,7 +53,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesmart.llm.lines import repeated_lines, summarise
 
-    return summarise(repeated_lines(_table(spark, sf_dir, "documents")))
+    return summarise(repeated_lines(_table(spark, sf_dir, "documents"), short=True))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

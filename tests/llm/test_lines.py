@@ -6,7 +6,7 @@ from itertools import combinations
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from salesmart.llm import lines, links
+from salesmart.llm import lines, links, queries
 from tests.llm.helpers import Classes, table
 
 
@@ -100,3 +100,39 @@ def test_no_rows_and_repeated_rows(spark):
     repeated = lines.repeated_lines(docs)
     assert [r.removed for r in repeated.collect()] == [[]]
     assert lines.drop_lines(docs, repeated).count() == 2
+
+
+def expected_of_all_lengths(rows: list[tuple]) -> dict:
+    """As ``expected``, of every line but empty ones, by one edit in ten characters, two at most."""
+    places = [(k, n, line.strip(" \t\r\f\v")) for k, t in rows for n, line in enumerate((t or "").split("\n"))]
+    places = [p for p in places if p[2]]
+    distinct = sorted({p[2] for p in places})
+    classes = Classes(distinct)
+    for a, b in combinations(distinct, 2):
+        most = min(2, min(len(a), len(b)) // 10)
+        if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
+            classes.join(a, b)
+    first: dict = {}
+    removed: dict = {k: [] for k, _ in rows}
+    for key, number, line in sorted(places):
+        if first.setdefault(classes.find(line), (key, number)) != (key, number):
+            removed[key].append(number)
+    return removed
+
+
+def test_query_takes_lines_of_all_lengths_by_brute_force(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(k + 1000, t) for k, t in corpus(3)]
+    bases = ["".join(rng.choices("abcdefghé", k=n)) for n in range(1, 24) for _ in range(2)]
+    for key in range(80):
+        made = []
+        for _ in range(rng.randrange(7)):
+            line = list(rng.choice(bases))
+            for _ in range(rng.choice((0, 0, 1, 2))):
+                at = rng.randrange(len(line) + 1)
+                line[at : at + rng.randrange(2)] = rng.choice(("", "x", "yé"))
+            made.append(rng.choice(("", " ", "\t")) + "".join(line))
+        rows.append((key, "\n".join(made)))
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.removed_lines for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {k: ",".join(map(str, v)) for k, v in expected_of_all_lengths(rows).items()}
