@@ -3,7 +3,8 @@
 A text is lower-cased and cut into words of letters and digits, which are joined by single
 spaces; patterns see that. Names are expanded by the notice forms below into one rule each;
 sentences and addresses stand for themselves. A rule is tried only where its keyword, one or
-more whole words, occurs.
+more whole words, occurs, or another of its keywords (parted by ``|``): every text that a
+pattern matches holds one of them.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from dataclasses import dataclass
 
 # Label, keyword, pattern of the name. Versions are words of their own.
 NAMES = (
-    ("0bsd", "bsd", r"(?:0bsd|bsd zero clause(?: license)?|zero clause bsd(?: license)?)"),
+    ("0bsd", "bsd|0bsd", r"(?:0bsd|bsd zero clause(?: license)?|zero clause bsd(?: license)?)"),
     ("aal", "attribution assurance", r"attribution assurance license"),
     ("afl-2.1", "academic free", r"academic free license(?: v| version)? ?2 1"),
     ("afl-3", "academic free", r"academic free license(?: v| version)? ?3(?: 0)?"),
     ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: v| version)? ?3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e"),
-    ("agpl-3", "agpl", r"(?:gnu )?agpl ?v?3(?: 0)?"),
+    ("agpl-3", "agpl|agpl3|agplv3", r"(?:gnu )?agpl ?v?3(?: 0)?"),
     ("agpl-3", "agplv3", r"(?:gnu )?agplv3(?: 0)?"),
     ("apache-1.1", "apache", r"apache(?: software)? licen[cs]e(?: v| version)? ?1 1"),
     ("apache-2", "apache", r"apache(?: software)? licen[cs]e(?: v| version)? ?2(?: 0)?"),
@@ -31,13 +32,13 @@ NAMES = (
     ("artistic", "artistic", r"artistic licen[cs]e"),
     ("beerware", "beerware", r"beerware(?: licen[cs]e)?"),
     ("beerware", "beer ware", r"beer ware licen[cs]e"),
-    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)(?: licen[cs]e)?"),
     ("bsd", "bsd", r"bsd(?: style)? licen[cs]e"),
     ("bsl-1.0", "boost", r"boost software licen[cs]e(?:(?: v| version)? ?1(?: 0)?)?"),
     ("busl-1.1", "business source", r"business source licen[cs]e(?:(?: v| version)? ?1 1)?"),
-    ("cc0-1.0", "cc0", r"(?:creative commons )?cc0(?:(?: v| version)? ?1(?: 0)?)?(?: universal)?"),
+    ("cc0-1.0", "cc0|cc01", r"(?:creative commons )?cc0(?:(?: v| version)? ?1(?: 0)?)?(?: universal)?"),
     ("cc-by", "creative commons", r"creative commons attribution(?: licen[cs]e)?"),
     ("cc-by-1.0", "creative commons", r"creative commons attribution 1 0(?: [a-z]+)?(?: licen[cs]e)?"),
     ("cc-by-2.0", "creative commons", r"creative commons attribution 2 0(?: [a-z]+)?(?: licen[cs]e)?"),
@@ -70,7 +71,7 @@ NAMES = (
     ("cddl-1.0", "common development", r"common development and distribution licen[cs]e(?:(?: v| version)? ?1 0)?"),
     ("cddl-1.1", "common development", r"common development and distribution licen[cs]e(?: v| version)? ?1 1"),
     ("cddl-1.0", "cddl", r"cddl(?: 1 0)?"),
-    ("cecill-2.1", "cecill", r"cecill(?: free software licen[cs]e)?(?: agreement)?(?: v| version)? ?2 1"),
+    ("cecill-2.1", "cecill|cecill2", r"cecill(?: free software licen[cs]e)?(?: agreement)?(?: v| version)? ?2 1"),
     ("cecill", "cecill", r"cecill(?: [bc])?(?: licen[cs]e)?"),
     ("cpl-1.0", "common public", r"common public licen[cs]e(?:(?: v| version)? ?1 0)?"),
     ("cpal-1.0", "common public attribution", r"common public attribution licen[cs]e(?:(?: v| version)? ?1 0)?"),
@@ -93,8 +94,8 @@ NAMES = (
     ("gpl-3", "general public", r"(?:gnu )?general public licen[cs]e(?: gpl)?(?: as published by the free software foundation)?(?: either)?(?: v| version)? ?3(?: 0)?"),
     ("gpl-3-or-later", "general public", r"(?:gnu )?general public licen[cs]e(?: gpl)?(?: as published by the free software foundation)?(?: either)? version 3(?: 0)?(?: of the licen[cs]e)? or (?:at your option )?any later version"),
     ("gpl", "general public", r"(?:gnu )?general public licen[cs]e"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl(?: v| version)? ?2(?: 0)?"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl(?: v| version)? ?3(?: 0)?"),
+    ("gpl-2", "gpl|gpl2", r"(?:gnu )?gpl(?: v| version)? ?2(?: 0)?"),
+    ("gpl-3", "gpl|gpl3", r"(?:gnu )?gpl(?: v| version)? ?3(?: 0)?"),
     ("gpl-2", "gplv2", r"(?:gnu )?gplv2"),
     ("gpl-3", "gplv3", r"(?:gnu )?gplv3"),
     ("gpl", "gnu gpl", r"gnu gpl"),
@@ -109,9 +110,9 @@ NAMES = (
     ("lgpl-2.1", "lesser general public", r"(?:gnu )?lesser general public licen[cs]e(?: lgpl)?(?: as published by the free software foundation)?(?: either)?(?: v| version)? ?2 1"),
     ("lgpl-3", "lesser general public", r"(?:gnu )?lesser general public licen[cs]e(?: lgpl)?(?: as published by the free software foundation)?(?: either)?(?: v| version)? ?3(?: 0)?"),
     ("lgpl", "lesser general public", r"(?:gnu )?lesser general public licen[cs]e"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl(?: v| version)? ?2 1"),
-    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl(?: v| version)? ?3(?: 0)?"),
-    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?:v2|v3)?"),
+    ("lgpl-2.1", "lgpl|lgpl2", r"(?:gnu )?lgpl(?: v| version)? ?2 1"),
+    ("lgpl-3", "lgpl|lgpl3", r"(?:gnu )?lgpl(?: v| version)? ?3(?: 0)?"),
+    ("lgpl", "lgpl|lgplv2|lgplv3", r"(?:gnu )?lgpl(?:v2|v3)?"),
     ("libpng", "libpng", r"libpng licen[cs]e"),
     ("llama-2", "llama", r"llama 2(?: community)? licen[cs]e"),
     ("llama-3", "llama", r"llama 3(?: [0-9])?(?: community)? licen[cs]e"),
@@ -124,10 +125,10 @@ NAMES = (
     ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e(?: v| version)? ?1 1"),
     ("mpl-2.0", "mozilla", r"mozilla public licen[cs]e(?: v| version)? ?2(?: 0)?"),
     ("mpl", "mozilla", r"mozilla public licen[cs]e"),
-    ("mpl-2.0", "mpl", r"mpl(?: v| version)? ?2(?: 0)?"),
+    ("mpl-2.0", "mpl|mpl2", r"mpl(?: v| version)? ?2(?: 0)?"),
     ("ms-pl", "microsoft public", r"microsoft public licen[cs]e(?: ms pl)?"),
     ("ms-rl", "microsoft reciprocal", r"microsoft reciprocal licen[cs]e(?: ms rl)?"),
-    ("mulanpsl-2.0", "mulan", r"mulan ?(?:psl|permissive software licen[cs]e)(?: v| version)? ?2"),
+    ("mulanpsl-2.0", "mulan|mulanpsl|mulanpsl2|mulanpermissive", r"mulan ?(?:psl|permissive software licen[cs]e)(?: v| version)? ?2"),
     ("naist-2003", "naist", r"naist licen[cs]e"),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[cs]e"),
     ("nposl-3.0", "non profit open", r"non profit open software licen[cs]e(?:(?: v| version)? ?3 0)?"),
@@ -142,7 +143,7 @@ NAMES = (
     ("postgresql", "postgresql", r"postgresql licen[cs]e"),
     ("psf-2.0", "python software", r"python software foundation licen[cs]e(?:(?: v| version)? ?2)?"),
     ("qpl-1.0", "q public", r"q public licen[cs]e(?:(?: v| version)? ?1 0)?"),
-    ("openrail-m", "rail", r"(?:bigscience |creativeml )?open ?rail(?: [m]| m)? licen[cs]e"),
+    ("openrail-m", "rail|openrail", r"(?:bigscience |creativeml )?open ?rail(?: [m]| m)? licen[cs]e"),
     ("rpl-1.5", "reciprocal public", r"reciprocal public licen[cs]e(?:(?: v| version)? ?1 5)?"),
     ("ruby", "ruby", r"ruby licen[cs]e"),
     ("sissl", "sun industry", r"sun industry standards source licen[cs]e"),
@@ -181,11 +182,11 @@ SENTENCES = (
     ("mpl-1.1", "contents of this file", r"the contents of this file are subject to the mozilla public license version 1 1", 1.0),
     ("epl-1.0", "accompanying materials", r"this program and the accompanying materials are made available under the terms of the eclipse public license v1 0", 1.0),
     ("epl-2.0", "accompanying materials", r"this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", 1.0),
-    ("bsl-1.0", "boost software", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 0.95),
+    ("bsl-1.0", "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", 0.95),
     ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain", 1.0),
     ("zlib", "as is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", 0.95),
     ("public-domain", "public domain", r"(?:released|placed|dedicated|is) (?:in|into|to) the public domain", 0.8),
-    ("cc0-1.0", "public domain", r"no copyright reserved|waived all copyright and related or neighboring rights", 0.8),
+    ("cc0-1.0", "no copyright reserved|waived all copyright", r"no copyright reserved|waived all copyright and related or neighboring rights", 0.8),
     ("proprietary", "all rights reserved", r"all rights reserved", 0.5),
     ("proprietary", "proprietary and confidential", r"proprietary and confidential", 0.8),
     ("proprietary", "unauthorized copying", r"unauthorized copying of this file via any medium is strictly prohibited", 0.95),
@@ -254,11 +255,13 @@ class Rule:
     pattern: re.Pattern[bytes]
     priority: int  # lower goes before
     certainty: float
+    more_keywords: tuple[bytes, ...] = ()  # any of them will do
 
 
 def _rule(label: str | None, keyword: str, pattern: str, priority: int, certainty: float) -> Rule:
     whole = rf"(?<= )(?:{pattern})(?= )"
-    return Rule(label, f" {keyword} ".encode(), re.compile(whole.encode()), priority, certainty)
+    first, *more = (f" {k} ".encode() for k in keyword.split("|"))
+    return Rule(label, first, re.compile(whole.encode()), priority, certainty, tuple(more))
 
 
 def _words(name: str) -> str:

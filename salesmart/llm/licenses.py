@@ -48,7 +48,8 @@ def _matcher():
     known = rules()
     by_keyword: dict[bytes, list[int]] = {}
     for number, rule in enumerate(known):
-        by_keyword.setdefault(rule.keyword, []).append(number)
+        for keyword in (rule.keyword, *rule.more_keywords):
+            by_keyword.setdefault(keyword, []).append(number)
     automaton = ahocorasick.Automaton()
     for keyword, numbers in by_keyword.items():
         automaton.add_word(keyword.decode("latin-1"), numbers)
@@ -56,12 +57,18 @@ def _matcher():
     return known, automaton
 
 
-def detections(text: bytes) -> list[tuple[int, int, Rule]]:
-    """Start, end and rule of what stays, in ``text`` of words between single spaces."""
-    known, automaton = _matcher()
+def gated(text: bytes) -> set[int]:
+    """Numbers of the rules that have a keyword in ``text`` of words between single spaces."""
+    _, automaton = _matcher()
     wanted: set[int] = set()
     for _, numbers in automaton.iter(text.decode("latin-1")):
         wanted.update(numbers)
+    return wanted
+
+
+def detections(text: bytes) -> list[tuple[int, int, Rule]]:
+    """Start, end and rule of what stays, in ``text`` of words between single spaces."""
+    known, wanted = _matcher()[0], gated(text)
     found = [
         (m.start(), m.end(), known[number]) for number in wanted for m in known[number].pattern.finditer(text)
     ]
