@@ -25,7 +25,7 @@ from salesmart.llm.words import mix
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
-SAMPLE = 3_000  # training documents of each language, at most about
+SAMPLE = 3_000  # distinct training texts of each language, at most about
 MIN_SHARE = 0.01  # of a language's documents, that contain an n-gram
 MIN_RATIO = 0.2  # of the largest such share in any language
 MIN_DOCS = 2  # that contain an n-gram, unless that is this share of the language's:
@@ -128,10 +128,10 @@ def build(contained: dict[str, np.ndarray]) -> Model:
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model of the rows' languages, from about ``sample`` rows of each at most.
+    """A model of the rows' languages, from about ``sample`` distinct texts of each at most.
 
-    Rows with NULL text or language are not used. The rows of a language are sampled by a hash
-    of their text; n-grams are counted per batch before they are shuffled. What the driver
+    Rows with NULL text or language are not used. The distinct texts of a language are counted
+    and sampled by their hash, however many rows have them, and each is used once; n-grams are counted per batch before they are shuffled. What the driver
     gets is the n-grams that enough documents have: for each language at most the n-grams of a
     document over ``MIN_SHARE``.
     """
@@ -139,14 +139,17 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
     shared.bound_batches(spark)
     rows = labelled.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
-    ).filter("lang IS NOT NULL AND text IS NOT NULL")
-    known = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    ).filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("hash", F.xxhash64("text"))
+    texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("rows"))
+    counts = texts.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("texts")).collect()
+    known = {r.lang: r["rows"] for r in counts}
     if not known:
         return build({})
     most = F.lit(0)
-    for name, count in known.items():
-        most = F.when(F.col("lang") == name, F.lit(min(1.0, sample / count))).otherwise(most)
-    drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < most * 1_000_003)
+    for r in counts:
+        most = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample / r["texts"]))).otherwise(most)
+    few = rows.filter(F.pmod("hash", F.lit(1_000_003)) < most * 1_000_003)
+    drawn = few.groupBy("lang", "hash").agg(F.first("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +174,9 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
                         ["lang", "gram", "docs"],
                     )
 
-    used = {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()}
+    used = {
+        r.lang: r["texts"] for r in few.groupBy("lang").agg(F.count_distinct("hash").alias("texts")).collect()
+    }
     share = F.lit(0.0)
     for name, number in used.items():
         share = F.when(F.col("lang") == name, F.col("docs") / number).otherwise(share)

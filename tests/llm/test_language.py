@@ -63,3 +63,12 @@ def test_grams_do_not_cross_words_or_texts():
     one = [set(h.tolist()) for h, _ in language.gram_hashes(["ab"])]
     two = [set(h[o == 1].tolist()) for h, o in language.gram_hashes(["zq", "ab", "zq"])]
     assert one == two
+
+
+def test_copies_count_once_in_the_sample(spark):
+    copied = [(i, f"{word} und nichts sonst", word) for i, word in enumerate(["abcd", "efgh", "ijkl", "mnop", "qrst"])]
+    docs = table(spark, copied * 300, LABELLED)
+    assert language.train(docs, sample=3).languages == ["abcd", "efgh", "ijkl", "mnop", "qrst"]
+    others = [(k, f"seltene worte {k}", "de") for k in range(3)]
+    model = language.train(table(spark, copied[:1] * 400 + [(9, "ganz viele kopien", "de")] * 400 + others, LABELLED))
+    assert model.predict(["seltene worte"])[1][0] > 0.9
