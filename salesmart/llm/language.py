@@ -235,6 +235,24 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     return out.withColumnsRenamed({f"c{i}": c for i, c in enumerate(carried)} | {"text": text})
 
 
+def usual_scores(
+    labelled: DataFrame, model: Model, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE
+) -> dict[str, float]:
+    """The median score of each language's own texts, of ``sample`` distinct ones at most about."""
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter(
+        "lang IS NOT NULL AND text IS NOT NULL"
+    ).withColumn("hash", F.xxhash64("text"))
+    counts = rows.groupBy("lang").agg(F.count_distinct("hash").alias("texts")).collect()
+    most = F.lit(0)
+    for r in counts:
+        most = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample / r["texts"]))).otherwise(most)
+    few = rows.filter(F.pmod("hash", F.lit(1_000_003)) < most * 1_000_003)
+    drawn = few.groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    found = predict(drawn, model, key="lang").filter("lang = lang_pred")
+    medians = found.groupBy("lang").agg(F.percentile_approx("score", 0.5).alias("score"))
+    return {r.lang: r.score for r in medians.collect()}
+
+
 def held_out(key: Column) -> Column:
     """Documents that the model never learns from; NULL keys count as held out."""
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(True))
