@@ -110,7 +110,105 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(n, 0))::BIGIN
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+def _crc_step(code: int) -> int:
+    for _ in range(8):
+        code = code >> 1 ^ (0xEDB88320 if code & 1 else 0)
+    return code
+
+
+# CRC-32 of a column of hexadecimal digits, byte by byte with the table of all bytes.
+_CRC_TABLE = str([_crc_step(byte) for byte in range(256)])
+
+
+def _crc32(hexadecimal: str) -> str:
+    step = f"xor(c >> 8, {_CRC_TABLE}[1 + (xor(c, b) & 255)])"
+    pairs = f"list_transform(regexp_extract_all({hexadecimal}, '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce({pairs}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+# The walk is a recursion: numbers that a pass carries beyond the rows are passed on again.
+def _one_pass(number: str, rounds: int = 6) -> str:
+    """Columns ``lo`` and ``hi`` after every round, as nested selects over ``number``."""
+    digest = "(('0x' || substr(sha256('2024:{k}:' || {digit}), 1, 15))::BIGINT)"
+    select = f"SELECT *, {number} % w AS lo, {number} // w AS hi FROM {{source}}"
+    for k in range(rounds):
+        if k % 2 == 0:
+            moved = f"(lo + {digest.format(k=k, digit='hi')}) % w AS lo, hi"
+        else:
+            moved = f"lo, (hi + {digest.format(k=k, digit='lo')}) % h AS hi"
+        select = f"SELECT * EXCLUDE (lo, hi), {moved} FROM ({select})"
+    return select
+
+
+SHARDING = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS text FROM documents
+), crc AS (
+    SELECT *, {_crc32('hex(text)')} AS text_crc32 FROM d
+), ranked AS (
+    SELECT doc_id, size, text_crc32, count(*) OVER () AS n,
+        row_number() OVER (ORDER BY doc_id NULLS LAST, text_crc32, size) - 1 AS number
+    FROM crc
+), sides AS (
+    SELECT *, ceil(sqrt(n))::BIGINT AS w, ceil(n / ceil(sqrt(n)))::BIGINT AS h FROM ranked
+), walk AS (
+    SELECT * EXCLUDE (lo, hi), hi * w + lo AS place FROM ({_one_pass('number').format(source='sides')})
+    UNION ALL
+    SELECT * EXCLUDE (lo, hi, place), hi * w + lo AS place
+    FROM ({_one_pass('place').format(source='(SELECT * FROM walk WHERE place >= n)')})
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law,
+    (place % 8)::INT AS shard, (place // 8)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM walk WHERE place < n
+"""
+
+RESAMPLING = rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), dw AS (
+    SELECT doc_id, unnest(w) AS word FROM d
+), bw AS (
+    SELECT unnest(w) AS word FROM b
+), hashed AS (
+    SELECT word, {_crc32('hex(word)')} % 10000 AS bucket
+    FROM (SELECT word FROM dw UNION SELECT word FROM bw)
+), s AS (
+    SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (word) GROUP BY bucket
+), t AS (
+    SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (word) GROUP BY bucket
+), gain AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000))))::BIGINT AS gain
+    FROM s FULL JOIN t USING (bucket)
+), summed AS (
+    SELECT doc_id, sum(gain)::BIGINT AS total
+    FROM dw JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, len(w)::BIGINT AS n_features,
+        coalesce(floor(total::DOUBLE / nullif(len(w), 0)), 0)::BIGINT AS weight,
+        (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE AS h
+    FROM d LEFT JOIN summed USING (doc_id)
+), ranked AS (
+    SELECT *, weight + floor(-1000 * ln(-ln(h / 4294967296)))::BIGINT AS score FROM scored
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+        count(*) OVER (PARTITION BY n_features >= 20) AS n
+    FROM ranked
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_sharding": SHARDING,
+    "op13_resampling": RESAMPLING,
     "op8_substring_dedup": SUBSTRINGS,
     "op1_ngram_jaccard": JACCARD,
     "op3_decontamination": DECONTAMINATION,

@@ -76,6 +76,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.runs import find_runs, summarise, with_periods
+
+    return summarise(find_runs(with_periods(_table(spark, sf_dir, "documents"))))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.sharding import assign, summarise
+
+    return summarise(assign(_table(spark, sf_dir, "documents")))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesmart.llm.resampling import resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_warc": op2_warc,
@@ -87,4 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
+    "op11_runs": op11_runs,
+    "op12_sharding": op12_sharding,
+    "op13_resampling": op13_resampling,
 }
