@@ -2,7 +2,8 @@
 
 A document's set is its distinct five-word shingles. Sets that must share ``c`` shingles to be
 similar share a subset of ``c``. For two small sets all such subsets are enumerated: an equal
-one makes the pair similar, nothing is left to compare. Larger sets have too many. Of them, the
+one makes the pair similar, which is looked up in the sets themselves, as subsets go by hashes.
+Larger sets have too many. Of them, the
 ``n - ceil(t * n) + 1`` shingles that come first in one order of all shingles are put into
 inverted lists; similar sets share one of these. The order has the shingles known to be frequent
 last, so that common passages seldom make lists. The boundary between small and large is the
@@ -222,29 +223,45 @@ def subsets(sets: DataFrame, small: int, percent: int = PERCENT) -> DataFrame:
                     ["token", "salt", "id", "size"],
                 )
 
-    rows = sets.filter((F.col("size") > 0) & (F.col("size") <= small)).select("id", "size", "small")
-    return rows.dropDuplicates(["id"]).mapInArrow(make, "token long, salt int, id long, size long")
+    rows = _small(sets, small).dropDuplicates(["id"])
+    return rows.mapInArrow(make, "token long, salt int, id long, size long")
 
 
-def _subset_links(subsets: DataFrame) -> DataFrame:
+def _small(sets: DataFrame, most: int) -> DataFrame:
+    return sets.filter((F.col("size") > 0) & (F.col("size") <= most)).select("id", "size", "small")
+
+
+def _subset_links(subsets: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` that connect the sets of equal subsets.
 
     Sets of one size that share such a subset are similar. Of two sizes, every set of the one is
-    similar to every set of the other, so all are connected if both sizes are there. Each token
-    gives a star, not all pairs.
+    similar to every set of the other: each is linked to the first of the other size, which
+    connects all. Each token gives stars, not all pairs. Of every pair the sets are compared.
     """
     stars = (
         subsets.groupBy("token", "salt")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("high"), F.min("size").alias("s"), F.max("size").alias("t"))
-        .filter((F.col("hub") < F.col("high")) & ((F.col("salt") == EQUAL) | (F.col("s") < F.col("t"))))
-        .select("token", "salt", "hub")
+        .agg(
+            F.min(F.struct("size", "id")).alias("low"),
+            F.min(F.struct((-F.col("size")).alias("less"), "id")).alias("high"),
+            F.min("id").alias("first"),
+            F.max("id").alias("last"),
+        )
+        .filter((F.col("first") < F.col("last")) & ((F.col("salt") == EQUAL) | (F.col("low.size") < -F.col("high.less"))))
+        .select("token", "salt", F.col("low.id").alias("low"), F.col("low.size").alias("least"), F.col("high.id").alias("high"))
     )
-    return (
+    hub = F.when((F.col("size") == F.col("least")) & (F.col("salt") != EQUAL), F.col("high")).otherwise(F.col("low"))
+    pairs = (
         subsets.join(stars, ["token", "salt"])
+        .withColumn("hub", hub)
         .filter("id != hub")
         .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
         .distinct()
     )
+    held = sets.select("id", "small").dropDuplicates(["id"])
+    left, right = (held.select(F.col("id").alias(c), F.col("small").alias(f"set_{c}")) for c in ("a", "b"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    similar = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
+    return pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b")
 
 
 def _near(percent: int) -> links.Near:
@@ -275,7 +292,9 @@ def similar_sets(docs: DataFrame, sets: DataFrame, *, text: str = "text", percen
     small = boundary(length, percent)
     rows = postings(docs, frequent, small, text=text, percent=percent)
     lists = shared.stored(links.shared_lists(rows), "lists")
-    certain = shared.stored(_subset_links(subsets(sets, small, percent)), "links") if small else None
+    certain = None
+    if small:
+        certain = shared.stored(_subset_links(subsets(sets, small, percent), _small(sets, small), percent), "links")
     own = sets.filter("size > 0")
     items = own.select("id", "size", "sketch").dropDuplicates(["id"])
 

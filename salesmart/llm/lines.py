@@ -14,15 +14,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm import links, shared, words
 
 EDITS = 2
-MIN_CHARS = 20  # shorter lines are compared only where ``short`` is set, by fewer edits
+MIN_CHARS = 20  # shorter lines are allowed fewer edits; left out altogether without ``short``
 _SALT = np.uint64(0xA24BAED4963EE407)
 _BLANK = np.array([9, 11, 12, 13, 32], np.uint32)
+_BASE = 0x9E3779B97F4A7C15
+_KEPT = 1 << 21  # powers that a worker keeps; those of longer texts are made anew
+PIECE = 1 << 20  # characters of a text whose lines are worked on at once, or one line's
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(count: int, base: int = _BASE) -> np.ndarray:
+    """Powers of ``base`` modulo 2**64."""
+    made = _powers.get(base)
+    if made is None or len(made) < count:
+        made = np.multiply.accumulate(np.full(max(count, min(_KEPT, 2 * count)), np.uint64(base)))
+        if len(made) <= _KEPT:
+            _powers[base] = made
+    return made[:count]
+
+
+def _inverse_power(count: int) -> np.ndarray:
+    return _power(count, pow(_BASE, -1, 2**64))
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -93,11 +112,16 @@ def allowance(edits: int, min_chars: int, short: bool) -> np.ndarray:
 
 
 class _Lines:
-    """The lines of a batch of texts: where they are, and which are long enough."""
+    """The lines of a batch of texts: where they are, and which are long enough.
+
+    A line's id is the XXH3 hash of its characters. Its parts, which only suggest pairs that are
+    then compared, have polynomial hashes.
+    """
 
     def __init__(self, texts: list[str]):
         joined = "\n".join(texts)
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        data = joined.encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(data, np.uint32)
         breaks = np.flatnonzero(codes == 10)
         begin = np.concatenate([[0], breaks + 1])
         end = np.append(breaks, len(codes))
@@ -112,11 +136,16 @@ class _Lines:
         self.start = np.where(some, solid[np.minimum(low, len(solid) - 1)], begin)
         self.size = np.where(some, solid[high - 1] + 1 - self.start, 0)
         self.codes, self.joined = codes, joined
-        letters = words.mix(codes.astype(np.uint64) + _SALT)
-        self.prefix = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(letters * words._power(len(codes) + 1)[: len(codes)], out=self.prefix[1:])
-        self.undo = words._inverse_power(len(codes) + 1)
-        self.id = self.part(self.start, self.size, self.size.astype(np.uint64)).view(np.int64)
+        self.id = np.zeros(len(begin), np.int64)
+        at = np.flatnonzero(self.size)
+        bounds = zip((4 * self.start[at]).tolist(), (4 * (self.start[at] + self.size[at])).tolist())
+        self.id[at] = np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in bounds], np.uint64).view(np.int64)
+
+    def _prepare_parts(self) -> None:
+        letters = words.mix(self.codes.astype(np.uint64) + _SALT)
+        self.prefix = np.zeros(len(letters) + 1, np.uint64)
+        np.cumsum(letters * _power(len(letters)), out=self.prefix[1:])
+        self.undo = _inverse_power(len(letters) + 1)
 
     def part(self, start: np.ndarray, size: np.ndarray, salt: np.ndarray) -> np.ndarray:
         """Hashes of substrings, the same for the same content wherever it stands."""
@@ -130,6 +159,7 @@ class _Lines:
 
     def tokens(self, at: np.ndarray, most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Index and probe tokens of lines ``at``, with their ids."""
+        self._prepare_parts()
         for edits, less in ((e, n) for e in np.unique(most[most > 0]).tolist() for n in range(e + 1)):
             other = self.size[at] - less  # the other line is so much shorter, and allowed ``edits``
             fit = (other >= 0) & (most[np.clip(other, 0, len(most) - 1)] == edits)
@@ -162,6 +192,27 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             yield part, _Lines([t or "" for t in part["text"].to_pylist()])
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE) -> Iterator[_Lines]:
+    """The lines of all texts, whichever text they are of; long texts in pieces, cut between lines."""
+    for batch in batches:
+        for part in shared.by_bytes(batch, "text", 2 << 20):
+            texts = [t for t in part["text"].to_pylist() if t]
+            for text in texts:
+                if len(text) <= 2 * most:
+                    continue
+                start = 0
+                while len(text) - start > most:
+                    cut = text.rfind("\n", start, start + most)
+                    cut = text.find("\n", start + most) if cut < 0 else cut
+                    if cut < 0:
+                        break
+                    yield _Lines([text[start:cut]])
+                    start = cut + 1
+                yield _Lines([text[start:]])
+            if texts := [t for t in texts if len(t) <= 2 * most]:
+                yield _Lines(texts)
+
+
 def _version(text: str):
     return F.coalesce(F.xxhash64(text), F.lit(0))
 
@@ -197,7 +248,7 @@ def lines_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_ch
 
 
 def similar_lines(
-    docs: DataFrame, *, text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
+    docs: DataFrame, *, text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = True
 ) -> DataFrame:
     """``id, component`` of distinct lines within their allowed edits of another, or by way of others."""
     spark = docs.sparkSession
@@ -206,7 +257,7 @@ def similar_lines(
     rows = docs.select(F.col(text).alias("text"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, found in _batches(batches):
+        for found in _pieces(batches):
             for token, name in found.tokens(found.chosen(most), most):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token), pa.array(name), pa.array(np.zeros(len(name), np.int32))],
@@ -219,7 +270,7 @@ def similar_lines(
         wanted = links.id_filter(spark, ids)
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, found in _batches(batches):
+            for found in _pieces(batches):
                 at = found.chosen(most)
                 yield columns(found, at[links.may_hold(wanted.value, found.id[at])])
 
@@ -259,16 +310,18 @@ def repeated_lines(
     text: str = "text",
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
-    short: bool = False,
+    short: bool = True,
 ) -> DataFrame:
     """``key, version, n_lines, removed`` of every distinct row: numbers of its repeated lines.
 
     Lines end at line feeds and are compared without the blanks around them. Lines of
     ``min_chars`` characters or more are of one class if ``edits`` or fewer edits make one of the
-    other, directly or by way of others. With ``short`` so are all shorter ones but empty lines, a
-    pair by the edits that ``allowance`` gives its shorter line: where these are 0 if equal. Of a class the first line stays, by key (NULL first),
-    text and number; all others are repeated. Rows equal in key and text are one document.
+    other, directly or by way of others. So are shorter ones but empty lines, a pair by the edits
+    that ``allowance`` gives its shorter line: by default 2 from 20 characters, 1 from 10, and
+    below that only equal lines. Without ``short`` these are left alone. Of a class the first
+    line stays, by key (NULL first), text and number; all others are repeated. Rows equal in key and text are one document.
     ``version`` is a hash of the text. NULL texts have no lines, empty ones one, none repeated.
+    Very long texts are worked on in pieces of whole lines; a line is one task's work however long.
     """
     least = min(1, min_chars) if short else min_chars
     found = shared.stored(lines_of(docs, key=key, text=text, min_chars=least).dropDuplicates(["key", "version"]), "lines")

@@ -75,19 +75,6 @@ class Symbols:
         self.begin = self.begin[kept]
 
 
-class Spans:
-    """Hashes of stretches of words, the same wherever they stand."""
-
-    def __init__(self, names: np.ndarray):
-        self.undo = words._inverse_power(len(names) + 1)
-        self.prefix = np.zeros(len(names) + 1, np.uint64)
-        np.cumsum(names * words._power(len(names) + 1)[: len(names)], out=self.prefix[1:])
-
-    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        total = (self.prefix[end] - self.prefix[begin]) * self.undo[begin]
-        return words.mix(total + (end - begin).astype(np.uint64) * _B)
-
-
 def _lowest(rank: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The place of the least of ``rank[begin:end]``, the first of equals; ranges are not empty."""
     table = [np.arange(len(rank))]
@@ -125,7 +112,7 @@ class Blocks:
             return
         owner = np.repeat(np.arange(len(counts)), starts)
         at = np.arange(total) - np.repeat(np.cumsum(starts) - starts, starts) + np.repeat(found.first[:-1], starts)
-        spans, symbols = Spans(names), Symbols(names)
+        spans, symbols = words.Spans(names), Symbols(names)
         low = np.searchsorted(symbols.low, at)
         high = np.searchsorted(symbols.high, at + window, side="right")
         some = low < high

@@ -1,21 +1,20 @@
-"""Words of UTF-8 texts and their 64-bit hashes, for a whole Arrow batch at once.
+"""Words of UTF-8 texts and their 64-bit names, for a whole Arrow batch at once.
 
-A hash is a polynomial over a word's bytes with random coefficients, modulo 2**64, then
-mixed. It depends on the bytes alone, so tasks and runs agree.
+A word's name is 64 bits of its BLAKE2b digest, worked out once for each distinct word of a
+batch. Sequences of words are named from halves: two names, the first and the last so many words,
+are mixed into one, which no arithmetic pattern of words can cancel out. Names depend on the bytes
+alone, so tasks and runs agree.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
-_random = np.random.Generator(np.random.PCG64(20_240_601))
-_LETTER = _random.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_STEPS = _random.integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = np.ones(1, np.uint64)
+_FIRST, _LAST, _SIZE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -30,14 +29,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
-def _power(count: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < count:
-        size = max(count, 2 * len(_powers), 256)
-        _powers = np.multiply.accumulate(np.full(size, _BASE, np.uint64))
-    return _powers
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0xD6E8FEB86659FD93)
@@ -89,49 +80,57 @@ def split(texts: pa.Array, separators: np.ndarray = WHITE, lower: bool = False)
     ends[edges - 1] = inside[edges - 1]
     start = np.flatnonzero(begins)
     end = np.flatnonzero(ends) + 1
-    return Words(data, start, end, hash_spans(data, start, end), np.searchsorted(start, offsets))
+    names = named(data[inside[:size]], end - start)  # the words' bytes alone
+    return Words(data, start, end, names, np.searchsorted(start, offsets))
 
 
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    if not len(start):
+def named(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Names of words that stand one after the other, without gaps, in ``letters``."""
+    if not len(length):
         return np.empty(0, np.uint64)
-    length = end - start
-    total = int(length.sum())
-    first = np.cumsum(length) - length
-    place = np.arange(total) - np.repeat(first, length)
-    letters = data[place + np.repeat(start, length)]
-    terms = _LETTER[letters] * _power(int(length.max()))[place]
-    return mix(np.add.reduceat(terms, first) + length.astype(np.uint64) * _STEPS[63])
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    listed = pa.Array.from_buffers(
+        pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))]
+    ).dictionary_encode()
+    digests = b"".join([blake2b(word, digest_size=8).digest() for word in listed.dictionary.to_pylist()])
+    return np.frombuffer(digests, np.uint64)[listed.indices.to_numpy()]
+
+
+def joined(first: np.ndarray, last: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Names of sequences of ``size`` words from those of two parts that cover them."""
+    return mix(first * _FIRST + last * _LAST + size * _SIZE)
 
 
 def grams(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
-    """A hash of every ``size`` consecutive words, texts' edges not regarded."""
-    count = len(hashes) - size + 1
-    if count <= 0:
+    """A name of every ``size`` consecutive words, texts' edges not regarded."""
+    if len(hashes) < size:
         return np.empty(0, np.uint64)
-    if size <= 8:
-        out = np.full(count, np.uint64(salt), np.uint64)
-        for j in range(size):
-            out += hashes[j : j + count] * _STEPS[j]
-        return mix(out)
-    powers = _power(len(hashes) + 1)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[: len(hashes)])])
-    raw = prefix[size:] - prefix[:count]
-    return mix(raw * _inverse_power(count) + np.uint64(salt))
-
-
-_inverse = np.ones(1, np.uint64)
-
-
-def _inverse_power(count: int) -> np.ndarray:
-    """The inverses of ``_power``, so that equal windows hash alike wherever they stand."""
-    global _inverse
-    if len(_inverse) < count:
-        size = max(count, 2 * len(_inverse), 256)
-        _inverse = np.multiply.accumulate(
-            np.full(size, np.uint64(pow(int(_BASE), -1, 2**64)), np.uint64)
-        )
-    return _inverse[:count]
+    held, reach = hashes, 1
+    while reach < size:
+        step = min(reach, size - reach)
+        reach += step
+        held = joined(held[: len(held) - step], held[step:], np.full(1, reach, np.uint64))
+    return mix(held ^ np.uint64(salt))
+
+
+class Spans:
+    """Names of stretches of words of any size, the same wherever they stand."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.levels = [hashes]  # of 1, 2, 4 and so on words
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = end - begin
+        level = np.frexp(size.astype(float))[1] - 1
+        for k in range(len(self.levels), int(level.max(initial=0)) + 1):
+            half = self.levels[-1]
+            self.levels.append(joined(half[: -(1 << (k - 1))], half[1 << (k - 1) :], np.full(1, 1 << k, np.uint64)))
+        out = np.empty(len(size), np.uint64)
+        for k, held in enumerate(self.levels):
+            at = np.flatnonzero(level == k)
+            if len(at):
+                out[at] = joined(held[begin[at]], held[end[at] - (1 << k)], size[at].astype(np.uint64))
+        return out
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -54,3 +54,12 @@ class Classes:
 
 def prose(rng: random.Random, count: int, vocabulary: int = 4000) -> list[str]:
     return [f"w{rng.randrange(vocabulary)}" for _ in range(count)]
+
+
+def thue_morse(length: int, zero: str = "a", one: str = "b") -> tuple[str, str]:
+    """A sequence of two letters, and the same with the letters swapped.
+
+    Hashes that are polynomials modulo a power of two cannot tell them apart.
+    """
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join((zero, one)[b] for b in bits), "".join((one, zero)[b] for b in bits)

@@ -6,7 +6,7 @@ from itertools import combinations
 import pytest
 
 from salesmart.llm import jaccard, links
-from tests.llm.helpers import Classes, ascii_lower, by_key, prose, table, white_words
+from tests.llm.helpers import Classes, ascii_lower, by_key, prose, table, thue_morse, white_words
 
 
 def shingles(text: str | None) -> set:
@@ -67,7 +67,7 @@ def test_boundary_follows_cost():
             assert common >= n - jaccard.prefix_length(n) + 1
 
 
-def test_equal_small_subsets_link_without_comparison(spark):
+def test_equal_small_subsets_link(spark):
     rows = [(i, " ".join(f"a{j}" for j in range(9 + i % 2))) for i in range(6)]
     assert got(jaccard.join(table(spark, rows))) == expected(rows)
 
@@ -84,3 +84,25 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 90)], "a long, b long")
     found = {r.id: r.component for r in links.components(edges).collect()}
     assert found == {i: 0 for i in range(51)} | {90: 90, 100: 90}
+
+
+def test_words_of_two_letters_in_patterns_differ(spark):
+    one, other = thue_morse(1024)
+    rows = [(1, one), (2, other), (3, f"{other} "), (4, " ".join(thue_morse(1024, "w ", "v ")))]
+    rows += [(5 + i, t) for i, t in enumerate(thue_morse(1024, "w ", "v "))]
+    assert got(jaccard.join(table(spark, rows))) == expected(rows)
+
+
+def test_subsets_of_equal_names_are_compared(spark):
+    sets = [(1, [1, 2, 3, 4]), (2, [1, 2, 3, 5]), (3, [7, 8, 9, 10]), (4, [1, 2, 3, 4, 6]), (5, [1, 2, 3, 4, 9])]
+    small = spark.createDataFrame([(i, len(s), s) for i, s in sets], "id long, size long, small array<long>")
+    # One name for subsets that are equal and for one, of set 3, that is not.
+    named = [(77, jaccard.UNEQUAL, i, len(s)) for i, s in sets if i != 2]
+    found = jaccard._subset_links(spark.createDataFrame(named, "token long, salt int, id long, size long"), small)
+    assert sorted((r.a, r.b) for r in found.collect()) == [(1, 4), (1, 5)]
+
+
+def test_a_text_of_20_mb(spark):
+    long = " ".join(f"n{i}" for i in range(2_500_000))
+    rows = [(1, long), (2, long + " and a little more"), (3, "n1 n2 n3 n4 n5")]
+    assert got(jaccard.join(table(spark, rows))) == {1: (2_499_996, 1), 2: (2_500_000, 1), 3: (1, 3)}

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from salesmart.llm import lines, links, queries
-from tests.llm.helpers import Classes, table
+from tests.llm.helpers import Classes, table, thue_morse
 
 
 def distance(a: str, b: str) -> int:
@@ -77,7 +79,7 @@ def test_repeated_lines_by_brute_force(spark, monkeypatch):
         if seed == 2:
             monkeypatch.setattr(links, "BLOCK", 3)
         rows = corpus(seed)
-        found = {r.key: r.removed for r in lines.repeated_lines(table(spark, rows)).collect()}
+        found = {r.key: r.removed for r in lines.repeated_lines(table(spark, rows), short=False).collect()}
         assert found == expected(rows)
 
 
@@ -136,3 +138,27 @@ def test_query_takes_lines_of_all_lengths_by_brute_force(spark, tmp_path):
     table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r.doc_id: r.removed_lines for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
     assert found == {k: ",".join(map(str, v)) for k, v in expected_of_all_lengths(rows).items()}
+
+
+def test_lines_of_few_letters_in_patterns_differ(spark):
+    one, other = thue_morse(2048)
+    rows = [(1, one), (2, other), (3, f"x\n{one}"), (4, "ab"), (5, "ba"), (6, " ab")]
+    found = {r.key: r.removed for r in lines.repeated_lines(table(spark, rows)).collect()}
+    assert found == {1: [], 2: [], 3: [1], 4: [], 5: [], 6: [0]}
+
+
+def test_a_text_of_20_mb(spark):
+    rng = random.Random(2)
+    body = [f"{rng.getrandbits(160):040x}" for i in range(400_000)]
+    rows = [(1, "\n".join([*body, body[7], "z" * 3_000_000, body[300_000] + "!"])), (2, "z" * 3_000_000 + "\n" + body[250_000])]
+    found = {r.key: (r.n_lines, r.removed) for r in lines.repeated_lines(table(spark, rows)).collect()}
+    assert found == {1: (400_003, [400_000, 400_002]), 2: (2, [0, 1])}
+
+
+def test_pieces_hold_every_line():
+    texts = ["\n".join("ab" * (i % 7) for i in range(300)), "x" * 900, "", "\n" * 500, "y\n" + "z" * 400 + "\nw"]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])
+    pieces = list(lines._pieces(iter([batch]), 50))
+    got = Counter(p.text(i) for p in pieces for i in range(len(p.size)) if p.size[i])
+    assert got == Counter(line.encode() for t in texts for line in t.split("\n") if line)
+    assert len(pieces) > 5

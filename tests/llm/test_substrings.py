@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from salesmart.llm import substrings, words
-from tests.llm.helpers import by_key, prose, table, white_words
+from tests.llm.helpers import by_key, prose, table, thue_morse, white_words
 
 
 def expected(rows: list[tuple], window: int) -> dict:
@@ -85,3 +85,20 @@ def test_symbols_are_the_same_wherever_their_context_stands():
         own = set(zip((symbols.begin - before)[inside].tolist(), (symbols.end - before)[inside].tolist(), symbols.name[inside].tolist()))
         names[before] = own
     assert names[3] == names[17] and len(names[3]) > 10 and names[0] <= names[3]
+
+
+def test_words_of_two_letters_in_patterns_differ(spark):
+    one, other = thue_morse(1024)
+    shared_words = prose(random.Random(1), 34)
+    rows = [(1, " ".join([one, *shared_words])), (2, " ".join([other, *shared_words]))]
+    assert got(substrings.remove_repeats(table(spark, rows))) == expected(rows, 35)
+    patterns = [(i, t) for i, t in enumerate(thue_morse(4096, "w ", "v "))]
+    assert got(substrings.remove_repeats(table(spark, patterns))) == expected(patterns, 35)
+
+
+def test_a_text_of_20_mb(spark):
+    passage = " ".join(prose(random.Random(3), 60))
+    long = " ".join(f"n{i}" for i in range(2_500_000))
+    rows = [(1, f"{long} {passage}"), (2, f"before {passage} after")]
+    found = got(substrings.remove_repeats(table(spark, rows)))
+    assert found == {1: (2_500_060, 60, long), 2: (62, 60, "before after")}

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from salesmart.llm import words
-from tests.llm.helpers import ascii_lower, white_words
+from tests.llm.helpers import ascii_lower, thue_morse, white_words
 
 TEXT = st.text(alphabet="ab \t\n\x0b\x1cé中A.", max_size=30)
 
@@ -41,3 +42,25 @@ def test_long_grams_are_the_same_wherever_they_stand():
     one = words.split(pa.array([" ".join(listed)]))
     other = words.split(pa.array(["x y " + " ".join(listed)]))
     assert words.grams(one.hashes, 35).tolist() == words.grams(other.hashes, 35)[2:].tolist()
+
+
+def test_patterns_of_two_letters_or_words_have_names_of_their_own():
+    one, other = thue_morse(1024)
+    found = words.split(pa.array([one, other, one]))
+    assert found.hashes[0] == found.hashes[2] != found.hashes[1]
+    for size in (35, 64, 1024, 1500):
+        names = [words.split(pa.array([t])).hashes for t in thue_morse(2048, "w ", "v ")]
+        whole = [words.Spans(n)(np.array([0]), np.array([size]))[0] for n in names]
+        assert whole[0] != whole[1]
+        if size < 100:
+            assert words.grams(names[0], size)[0] != words.grams(names[1], size)[0]
+
+
+def test_spans_are_the_same_wherever_they_stand():
+    listed = [f"w{i % 9}" for i in range(50)]
+    one, other = (words.Spans(words.split(pa.array([p + " ".join(listed)])).hashes) for p in ("", "x y z "))
+    begin, size = np.arange(40), np.arange(1, 41) % 11
+    size[size == 0] = 5
+    assert one(begin, begin + size).tolist() == other(begin + 3, begin + size + 3).tolist()
+    names = one(np.zeros(50, int), np.arange(1, 51))
+    assert len(set(names.tolist())) == 50
