@@ -266,6 +266,16 @@ _MTD_BREAKS = (
     "WHERE rn = 1 AND gap <> 0"
 )
 
+_PLAN_COVERAGE = """
+SELECT plan_month, chain_id, region, product_group, SUM(p)::BIGINT AS n_plan_rows,
+       SUM(d)::BIGINT AS n_day_rows, (SUM(p) * day(last_day(plan_month)))::BIGINT AS n_expected
+FROM (SELECT plan_month, chain_id, region, product_group, 1 AS p, 0 AS d FROM stg_plan
+      UNION ALL
+      SELECT CAST(date_trunc('month', date) AS DATE), chain_id, region, product_group, 0, 1
+      FROM plan_daily WHERE {days}) AS sides
+GROUP BY plan_month, chain_id, region, product_group
+HAVING n_day_rows <> n_expected OR n_plan_rows = 0"""
+
 _FINALS = {
     "stg_sales": f"SELECT {_SALES_OUT} FROM stg_sales",
     "stg_sku_links": (
@@ -318,6 +328,7 @@ _FINALS = {
         "SELECT * FROM last_operation ORDER BY customer_id NULLS LAST LIMIT 5"
     ),
     "rolling_7_rows": "SELECT * FROM rolling",
+    "rolling_7_rows_by_ranges": "SELECT * FROM rolling",
     "rolling_7_days": (
         f"SELECT date, {SERIES}, CAST(actual_qty AS DOUBLE) AS actual_qty, "
         f"CAST(SUM(actual_qty) OVER (PARTITION BY {SERIES} ORDER BY date "
@@ -329,6 +340,7 @@ _FINALS = {
         "ORDER BY date, chain_name, product_group, actual_qty, rolling_7d_actual_qty LIMIT 5"
     ),
     "mtd": "SELECT * FROM mtd",
+    "mtd_by_ranges": "SELECT * FROM mtd",
     "mtd_region_top5": (
         "SELECT * FROM mtd WHERE region = 'ASIA' "
         "ORDER BY date, chain_name, product_group, actual_qty, mtd_actual_qty LIMIT 5"
@@ -337,6 +349,7 @@ _FINALS = {
         "SELECT * FROM mtd WHERE region = 'ASIA' AND date BETWEEN '1997-01-01' AND '1997-01-07'"
     ),
     "stock_per_movement": "SELECT * FROM stock",
+    "stock_per_movement_by_ranges": "SELECT * FROM stock",
     "stock_end_of_day": "SELECT * FROM stock_days",
     "stock_sample": (
         "SELECT * FROM stock "
@@ -344,6 +357,8 @@ _FINALS = {
     ),
     "plan_month_totals": _plan_totals("plan_daily"),
     "check_plan_sum": _plan_totals("plan_daily", _TOLERANCE),
+    "plan_days_of_months": _PLAN_COVERAGE.format(days="day(date) <> 31"),
+    "check_plan_days": _PLAN_COVERAGE.format(days="TRUE"),
     "check_plan_sum_weekly_norm": _plan_totals("plan_daily_week", _TOLERANCE),
     "check_plan_sum_range": """
 SELECT chain_id, region, product_group, plan_month, monthly_plan,
@@ -383,6 +398,7 @@ GROUP BY chain_id, region, product_group, plan_month, monthly_plan""",
         [
             _check("duplicate_documents", _count(_DUP_DOCS), informative=True),
             _check("plan_sum", _count(_plan_totals("plan_daily", _TOLERANCE))),
+            _check("plan_days", _count(_PLAN_COVERAGE.format(days="TRUE"))),
             _check("old_sku", _OLD_LEFT.format(name="n_bad")),
             _check("duplicate_mart_keys", _count(_DUP_KEYS)),
             _check("null_mart_keys", _count(f"SELECT 1 FROM mart WHERE {_NULL_KEYS}")),

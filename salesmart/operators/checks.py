@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.numbers import round_double
+from salesmart.functions.numbers import exact_sum, round_double
 from salesmart.operators.facts import MART_KEYS
 from salesmart.operators.series import SERIES
 from salesmart.schemas import TOTAL
@@ -34,12 +34,12 @@ def plan_month_totals(plan: DataFrame, daily_plan: DataFrame) -> DataFrame:
     """
     month = F.trunc("date", "month").alias("plan_month")
     per_month = daily_plan.groupBy(month, *PLAN_KEYS).agg(
-        F.sum(F.col("plan_qty").cast("double")).alias("_daily")
+        exact_sum(F.col("plan_qty")).alias("_daily")
     )
     return (
         plan.join(per_month, ["plan_month", *PLAN_KEYS])
         .groupBy("plan_month", *PLAN_KEYS, F.col("plan_qty").alias("monthly_plan"))
-        .agg(F.sum("_daily").alias("sum_daily_plan"))
+        .agg(exact_sum(F.col("_daily")).alias("sum_daily_plan"))
         .withColumn("monthly_plan", F.col("monthly_plan").cast("double"))
         .withColumn("diff", F.col("sum_daily_plan") - F.col("monthly_plan"))
     )
@@ -69,7 +69,7 @@ def plan_days_in_range(plan: DataFrame, daily_plan: DataFrame) -> DataFrame:
         p.join(d, [*same_keys, same_month, in_range])
         .groupBy(*[F.col(f"p.{c}") for c in (*PLAN_KEYS, "plan_month", "monthly_plan")])
         .agg(
-            round_double(F.sum(F.col("d.plan_qty").cast("double")), 2).alias("sum_daily"),
+            round_double(exact_sum(F.col("d.plan_qty")), 2).alias("sum_daily"),
             F.count("d.date").alias("days_in_plan"),
         )
         .withColumn("monthly_plan", F.col("monthly_plan").cast("double"))
@@ -77,6 +77,29 @@ def plan_days_in_range(plan: DataFrame, daily_plan: DataFrame) -> DataFrame:
     )
 
 
+def plan_coverage(plan: DataFrame, daily_plan: DataFrame) -> DataFrame:
+    """Months and keys whose days are not those of the month, seen from both sides.
+
+    ``n_plan_rows`` and ``n_day_rows`` are 0 where one side has no row at all: a plan that
+    lost all its days, or days without a plan. ``n_expected`` is the days that the plan
+    rows should have given. NULL keys are keys like others.
+    """
+    month = F.trunc("date", "month").alias("plan_month")
+    given = plan.groupBy("plan_month", *PLAN_KEYS).agg(F.count(F.lit(1)).alias("_plans"))
+    spread = daily_plan.groupBy(month, *PLAN_KEYS).agg(F.count(F.lit(1)).alias("_days"))
+    # Sides of unique keys are put one under the other: no join, and NULL keys meet.
+    both = given.withColumn("_days", F.lit(0).cast("long")).unionByName(
+        spread.withColumn("_plans", F.lit(0).cast("long"))
+    )
+    expected = F.col("n_plan_rows") * F.coalesce(F.dayofmonth(F.last_day("plan_month")), F.lit(0))
+    return (
+        both.groupBy("plan_month", *PLAN_KEYS)
+        .agg(F.sum("_plans").alias("n_plan_rows"), F.sum("_days").alias("n_day_rows"))
+        .withColumn("n_expected", expected.cast("long"))
+        .filter((F.col("n_day_rows") != F.col("n_expected")) | (F.col("n_plan_rows") == 0))
+    )
+
+
 def old_skus(sales: DataFrame, links: DataFrame) -> DataFrame:
     """Distinct old product codes that occur in the sales."""
     old = links.select(F.col("old_sku_id").alias("sku_id"))
@@ -174,6 +197,7 @@ def check_report(
     checks = [
         rows("duplicate_documents", duplicate_doc_ids(raw_sales), informative=True),
         rows("plan_sum", plan_sum_mismatches(plan, daily_plan)),
+        rows("plan_days", plan_coverage(plan, daily_plan)),
         figure("old_sku", old_sku_count(sales, links), "n_old_skus"),
         rows("duplicate_mart_keys", duplicate_mart_keys(mart)),
         figure("null_mart_keys", null_profile(mart), "null_keys"),

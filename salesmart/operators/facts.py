@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.functions.numbers import exact_sum
 from salesmart.schemas import TOTAL
 
 MART_KEYS = ["date", "region", "chain_id", "product_group"]
@@ -18,8 +19,11 @@ def sales_daily(sales: DataFrame) -> DataFrame:
 
 
 def plan_daily_agg(daily_plan: DataFrame, with_chain_name: bool = False) -> DataFrame:
-    """Plan per day, region, chain and product group; repeated plan rows add up."""
+    """Plan per day, region, chain and product group; repeated plan rows add up.
+
+    The sum is the same to the last bit however the rows are dealt out.
+    """
     names = [F.min("chain_name").alias("chain_name")] if with_chain_name else []
     return daily_plan.groupBy(*MART_KEYS).agg(
-        F.sum(F.col("plan_qty").cast("double")).alias("plan_qty"), *names
+        exact_sum(F.col("plan_qty")).alias("plan_qty"), *names
     )

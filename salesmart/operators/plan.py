@@ -13,6 +13,39 @@ NORMALISE = ("month", "week")
 STORAGE = ("double", "float")
 
 
+def _weight_on(day: Column) -> Column:
+    return F.col("_weights")[F.weekday(day)]
+
+
+def _totalled(plan: DataFrame, normalise: str) -> DataFrame:
+    """The plan with its weights by weekday, the days of its month and their total weight."""
+    weights = F.array(*[F.col(w).cast("double") for w in WEIGHTS])
+    counted = F.col("_days") if normalise == "month" else F.slice("_days", 1, 7)
+    total = F.aggregate(counted, F.lit(0.0), lambda so_far, day: so_far + _weight_on(day))
+    return (
+        plan.withColumn("_weights", weights)
+        .withColumn("_days", F.sequence("plan_month", F.last_day("plan_month")))
+        .withColumn("_total", total)
+    )
+
+
+def _unusable() -> Column:
+    return F.col("plan_qty").isNull() | F.col("_total").isNull() | (F.col("_total") == 0)
+
+
+def split_usable(plan: DataFrame, normalise: str = "month") -> tuple[DataFrame, DataFrame]:
+    """Plan rows that can be spread, and the others with the ``reason`` why not."""
+    reason = (
+        F.when(F.col("plan_qty").isNull(), F.lit("no quantity"))
+        .when(F.col("plan_month").isNull(), F.lit("no month"))
+        .when(F.col("_total").isNull(), F.lit("a weight is missing"))
+        .otherwise(F.lit("weights add up to 0"))
+    )
+    totalled = _totalled(plan, normalise)
+    good = totalled.filter(~_unusable()).select(*plan.columns)
+    return good, totalled.filter(_unusable()).select(*plan.columns, reason.alias("reason"))
+
+
 def allocate_monthly(
     plan: DataFrame,
     normalise: str = "month",
@@ -31,23 +64,13 @@ def allocate_monthly(
     """
     if normalise not in NORMALISE or storage not in STORAGE:
         raise ValueError(f"normalise is one of {NORMALISE}, storage one of {STORAGE}")
-    weights = F.array(*[F.col(w).cast("double") for w in WEIGHTS])
-
-    def weight_on(day: Column) -> Column:
-        return F.col("_weights")[F.weekday(day)]
-
-    counted = F.col("_days") if normalise == "month" else F.slice("_days", 1, 7)
-    total = F.aggregate(counted, F.lit(0.0), lambda so_far, day: so_far + weight_on(day))
-    unusable = F.col("plan_qty").isNull() | F.col("_total").isNull() | (F.col("_total") == 0)
-    share = F.col("plan_qty").cast("double") * (weight_on(F.col("date")) / F.col("_total"))
+    share = F.col("plan_qty").cast("double") * (_weight_on(F.col("date")) / F.col("_total"))
     return (
-        plan.withColumn("_weights", weights)
-        .withColumn("_days", F.sequence("plan_month", F.last_day("plan_month")))
-        .withColumn("_total", total)
+        _totalled(plan, normalise)
         .withColumn(
             "_total",
             F.when(
-                unusable,
+                _unusable(),
                 F.raise_error(
                     F.concat(
                         F.lit("plan without quantity or weights: "),

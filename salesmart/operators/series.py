@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.ordering import ascending
+from salesmart.operators.ranges import RANGE, TIE, ranged
 from salesmart.schemas import TOTAL
 
 SERIES = ["region", "chain_name", "product_group"]
@@ -58,6 +59,20 @@ def running_sum(
     )
 
 
+def ranged_running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
+) -> DataFrame:
+    """As ``running_sum``, by ranges of rows instead of values of columns.
+
+    The rows of all keys are sorted into ranges of about equal size. A range sums its own
+    rows; what came before it in the key is the exclusive sum over the totals of earlier
+    ranges, handed on as one row. So even a single day of one key, or rows that are equal in
+    everything, are worked on by as many tasks as their number calls for.
+    """
+    cut = ranged(df, [*keys, *order])
+    return running_sum(cut, keys, [*order, TIE], value, out, [[RANGE]]).drop(RANGE, TIE)
+
+
 def rolling_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -97,14 +112,19 @@ def rolling_sum(
     )
 
 
-def rolling_7_rows(daily: DataFrame, rows: int = 7) -> DataFrame:
+def rolling_7_rows(daily: DataFrame, rows: int = 7, by_ranges: bool = False) -> DataFrame:
     """Sum of the last 7 sales rows of a region, chain name and product group.
 
     Rows, not days: days without sales are not rows. Chains that share a name are one
-    series, ordered within a day by chain_id.
+    series, ordered within a day by chain_id. ``by_ranges`` also splits days that very many
+    chains share.
     """
+    parts, order = [["date"]], ["chain_id"]
+    if by_ranges:
+        daily = ranged(daily, [*SERIES, "date", "chain_id"])
+        parts, order = [[RANGE]], ["date", "chain_id", TIE]
     summed = rolling_sum(
-        daily, SERIES, ["chain_id"], "actual_qty", "rolling_7d_actual_qty", rows, [["date"]]
+        daily, SERIES, order, "actual_qty", "rolling_7d_actual_qty", rows, parts
     )
     return _series_columns(summed, "rolling_7d_actual_qty")
 
@@ -140,25 +160,27 @@ def rolling_7_days(daily: DataFrame, days: int = 7) -> DataFrame:
 
 
 def month_to_date(
-    daily: DataFrame, first: str | None = None, last: str | None = None
+    daily: DataFrame, first: str | None = None, last: str | None = None, by_ranges: bool = False
 ) -> DataFrame:
     """Sum since the first of the month, per region, chain name and product group.
 
     ``first`` and ``last`` bound the days wanted (ISO dates, inclusive). A sum depends on
     its own month only, so the input is cut to the months concerned before the shuffle.
+    ``by_ranges`` also splits days that very many chains share.
     """
     if first is not None:
         daily = daily.filter(F.col("date") >= F.trunc(F.lit(first).cast("date"), "month"))
     if last is not None:
         daily = daily.filter(F.col("date") <= F.lit(last).cast("date"))
-    summed = running_sum(
-        daily.withColumn("_month", F.trunc("date", "month")),
-        [*SERIES, "_month"],
-        ["chain_id"],
-        "actual_qty",
-        "mtd_actual_qty",
-        [["date"]],
-    )
+    keys, of_month = [*SERIES, "_month"], daily.withColumn("_month", F.trunc("date", "month"))
+    if by_ranges:
+        summed = ranged_running_sum(
+            of_month, keys, ["date", "chain_id"], "actual_qty", "mtd_actual_qty"
+        )
+    else:
+        summed = running_sum(
+            of_month, keys, ["chain_id"], "actual_qty", "mtd_actual_qty", [["date"]]
+        )
     if first is not None:
         summed = summed.filter(F.col("date") >= F.lit(first).cast("date"))
     return _series_columns(summed, "mtd_actual_qty")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.ordering import ascending
-from salesmart.operators.series import running_sum
+from salesmart.operators.series import ranged_running_sum, running_sum
 from salesmart.schemas import MART_STOCK, TOTAL
 
 STOCK_KEYS = ["warehouse_id", "sku_id"]
@@ -30,20 +30,20 @@ def stock_per_movement(
     movements: DataFrame,
     within_day: Sequence[str] = WITHIN_DAY,
     parts: Sequence[Sequence[str]] = (("date",),),
+    by_ranges: bool = False,
 ) -> DataFrame:
     """Balance after each movement, valued at that movement's unit cost.
 
     A product that moves very often in one warehouse is worked on day by day; give
-    finer ``parts`` where single days are that large.
+    finer ``parts`` where single days are that large. ``by_ranges`` splits the movements by
+    their number instead, also those of one day, at the price of storing them once.
     """
-    balance = running_sum(
-        movements.withColumn("_change", stock_change()),
-        STOCK_KEYS,
-        within_day,
-        "_change",
-        "stock_qty",
-        parts,
-    )
+    changes = movements.withColumn("_change", stock_change())
+    if by_ranges:
+        order = ["date", *within_day]
+        balance = ranged_running_sum(changes, STOCK_KEYS, order, "_change", "stock_qty")
+    else:
+        balance = running_sum(changes, STOCK_KEYS, within_day, "_change", "stock_qty", parts)
     return _valued(balance)
 
 

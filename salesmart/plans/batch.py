@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import Future
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart import schemas
 from salesmart.operators import checks, facts, marts, plan, series, staging, stock
 from salesmart.session import require, size_shuffles
-from salesmart.sinks.warehouse import Warehouse, row_counts
+from salesmart.sinks.warehouse import Warehouse
 from salesmart.sources import files
 
 log = logging.getLogger(__name__)
 
+# Where rows of a raw table go that do not fit its schema.
+QUARANTINE = {
+    "raw_sales_1c": "bad_sales",
+    "raw_plan": "bad_plan",
+    "raw_sku_links": "bad_sku_links",
+    "raw_product_catalog": "bad_product_catalog",
+    "raw_stock_movements": "bad_stock_movements",
+}
+# Negative stock is a finding, not a fault.
+TOLERATED = ("negative_stock",)
+
 # The file names of the inputs.
 SALES_FILE = "sales_1c.csv"
 PLAN_FILE = "plan.csv"
@@ -67,42 +79,58 @@ def run(
     normalise: str = "month",
     plan_storage: str = "float",
     marts_by_month: bool = False,
+    months: Sequence[str] | None = None,
     fail_on_checks: bool = True,
 ) -> Outcome:
     """Load, stage, spread the plan, build every mart, count and check.
 
-    Each table is replaced as a whole, so a repeated run leaves the same tables. What
+    Each table is replaced as a whole, once its new content is complete, so a repeated run
+    leaves the same tables and a stopped one the old. What
     several steps read is written once and read back, which also ends its lineage: a
     lost executor costs the tasks of one step. Tables that do not depend on one another
     are written at the same time. The optional inputs may be missing.
 
-    ``quarantine`` puts sales that do not cast into a table of their own instead of
-    failing; ``sku_by_date`` replaces old product codes only while their link is valid;
+    ``quarantine`` puts rows of any input that do not cast, and plan rows that cannot be
+    spread, into tables of their own instead of failing; ``sku_by_date`` replaces old product codes only while their link is valid;
     ``empty_as_null``, ``fill_chain_name``, ``normalise`` and ``plan_storage`` are those
-    of the operators; ``marts_by_month`` partitions the daily marts by month.
+    of the operators; ``marts_by_month`` partitions the daily marts by month, and ``months``
+    ("2025-01") then writes only these months of them, leaving the files of all others.
     """
     require(spark)
+    if months is not None and not marts_by_month:
+        raise ValueError("months can be replaced where the marts are kept by month")
     warehouse = Warehouse(spark, out_dir)
+    warehouse.recover()
     save = warehouse.replace
-    month = "date" if marts_by_month else None
+
+    def save_daily(name: str, df: DataFrame, order: Sequence[str]) -> DataFrame:
+        if months is not None:
+            return warehouse.replace_months("mart", name, df, months, "date", order)
+        return save("mart", name, df, order, "date" if marts_by_month else None)
+
     source = in_dir.rstrip("/")
 
     def raw(table: str, file: str, schema: T.StructType) -> DataFrame:
-        return save("raw", table, files.read_csv(spark, f"{source}/{file}", schema))
+        path = f"{source}/{file}"
+        if not quarantine:
+            return save("raw", table, files.read_csv(spark, path, schema))
+        text = files.read_text_columns(spark, path, schema)
+        good, bad = files.split_castable(text, schema)
+        if "month" in schema.names:  # text, but of which a date is made
+            first = F.concat("month", F.lit("-01")).try_cast("date")
+            wrong = good.filter(F.col("month").isNotNull() & first.isNull())
+            marked = wrong.select(*[F.col(f.name).cast("string") for f in schema])
+            bad = bad.unionByName(marked.withColumn("bad_columns", F.array(F.lit("month"))))
+            good = good.filter(F.col("month").isNull() | first.isNotNull())
+        save("quarantine", QUARANTINE[table], bad)
+        return save("raw", table, good)
 
     def optional_raw(table: str, file: str, schema: T.StructType) -> DataFrame | None:
-        found = files.read_optional(spark, f"{source}/{file}", schema)
-        return None if found is None else save("raw", table, found)
+        return files.if_present(lambda: raw(table, file, schema), f"{source}/{file}")
 
     def sales_input() -> DataFrame:
-        path = f"{source}/{SALES_FILE}"
-        size_shuffles(spark, path)
-        if not quarantine:
-            return raw("raw_sales_1c", SALES_FILE, schemas.RAW_SALES)
-        text = files.read_text_columns(spark, path, schemas.RAW_SALES)
-        good, bad = files.split_castable(text, schemas.RAW_SALES)
-        save("quarantine", "bad_sales", bad)
-        return save("raw", "raw_sales_1c", good)
+        size_shuffles(spark, f"{source}/{SALES_FILE}")
+        return raw("raw_sales_1c", SALES_FILE, schemas.RAW_SALES)
 
     raw_sales, raw_plan, raw_links, raw_catalog, raw_moves = together(
         sales_input,
@@ -125,7 +153,11 @@ def run(
 
     def stage_plan() -> tuple[DataFrame, DataFrame, DataFrame]:
         names = ["chain_name"] if fill_chain_name else []
-        monthly = save("stg", "stg_plan_raw", staging.stg_plan(raw_plan, bool(names)))
+        staged = staging.stg_plan(raw_plan, bool(names))
+        if quarantine:
+            staged, unusable = plan.split_usable(staged, normalise)
+            save("quarantine", "plan_not_spread", unusable)
+        monthly = save("stg", "stg_plan_raw", staged)
         spread = plan.allocate_monthly(monthly, normalise, plan_storage, keep=names)
         daily = save("stg", "stg_plan_daily", spread)
         total = save("mart", "plan_daily_agg", facts.plan_daily_agg(daily, bool(names)))
@@ -137,12 +169,10 @@ def run(
         moves = save("stg", "stg_stock_movements", staging.stg_stock_movements(raw_moves))
         by_product = [*stock.STOCK_KEYS, "date"]
         balance, _ = together(
-            lambda: save(
-                "mart", "mart_stock_daily", stock.stock_per_movement(moves), by_product, month
-            ),
-            lambda: save(
-                "mart", "mart_stock_end_of_day", stock.stock_end_of_day(moves), by_product, month
+            lambda: save_daily(
+                "mart_stock_daily", stock.stock_per_movement(moves, by_ranges=True), by_product
             ),
+            lambda: save_daily("mart_stock_end_of_day", stock.stock_end_of_day(moves), by_product),
         )
         return balance
 
@@ -162,20 +192,14 @@ def run(
     by_key = ["date", "region", "chain_id", "product_group"]
     by_series = [*series.SERIES, "date"]
     mart, mtd, *_ = together(
-        lambda: save(
-            "mart",
+        lambda: save_daily(
             "mart_sales_plan_daily",
             marts.sales_plan_daily(sales_daily, plan_daily, fill_chain_name),
             by_key,
-            month,
-        ),
-        lambda: save("mart", "mart_mtd", series.month_to_date(sales_daily), by_series, month),
-        lambda: save(
-            "mart", "mart_rolling_7d", series.rolling_7_rows(sales_daily), by_series, month
-        ),
-        lambda: save(
-            "mart", "mart_rolling_7_days", series.rolling_7_days(sales_daily), by_series, month
         ),
+        lambda: save_daily("mart_mtd", series.month_to_date(sales_daily), by_series),
+        lambda: save_daily("mart_rolling_7d", series.rolling_7_rows(sales_daily), by_series),
+        lambda: save_daily("mart_rolling_7_days", series.rolling_7_days(sales_daily), by_series),
         sales_marts,
     )
 
@@ -185,14 +209,30 @@ def run(
         )
         return save("audit", "check_report", report)
 
-    tables = warehouse.read_counted()
-    counts, report = together(lambda: save("audit", "layer_counts", row_counts(tables)), check)
+    counts, report = together(lambda: save("audit", "layer_counts", warehouse.counts()), check)
     for row in counts.orderBy("layer", "table").collect():
         log.info("%s.%s: %d rows", row.layer, row.table, row.n_rows)
     for row in report.orderBy("check").collect():
         log.info("%s: %d, %s", row.check, row.n_bad, "passed" if row.passed else "FAILED")
-    # Negative stock is a finding, and dated links leave old codes outside their dates.
-    tolerated = ["negative_stock", *(["old_sku"] if sku_by_date else [])]
+    # Dated links leave old codes outside their dates.
+    tolerated = [*TOLERATED, *(["old_sku"] if sku_by_date else [])]
     if fail_on_checks:
         checks.require_passed(report, tolerated)
     return Outcome(warehouse, counts, report)
+
+
+def validate(
+    spark: SparkSession, out_dir: str, *, tolerated: Sequence[str] = TOLERATED, fail_on_checks: bool = True
+) -> DataFrame:
+    """The check report over the tables that an earlier run left, without loading anything."""
+    require(spark)
+    warehouse = Warehouse.open(spark, out_dir)
+    needed = ("raw_sales_1c", "stg_sales", "stg_sku_links", "stg_plan_raw", "stg_plan_daily")
+    found = [warehouse.read(name) for name in (*needed, "mart_sales_plan_daily", "mart_mtd")]
+    stocked = warehouse.read("mart_stock_daily") if "mart_stock_daily" in warehouse.tables else None
+    report = checks.check_report(*found, stocked)
+    for row in report.orderBy("check").collect():
+        log.info("%s: %d, %s", row.check, row.n_bad, "passed" if row.passed else "FAILED")
+    if fail_on_checks:
+        checks.require_passed(report, tolerated)
+    return report

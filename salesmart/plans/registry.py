@@ -80,15 +80,20 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     # series
     "rolling_7_rows": lambda y: y.mart_rolling_7d,
+    "rolling_7_rows_by_ranges": lambda y: series.rolling_7_rows(y.sales_daily, by_ranges=True),
     "rolling_7_days": lambda y: series.rolling_7_days(y.sales_daily),
     "rolling_region_top5": lambda y: samples.region_sample(y.mart_rolling_7d, REGION),
     "mtd": lambda y: y.mart_mtd,
+    "mtd_by_ranges": lambda y: series.month_to_date(y.sales_daily, by_ranges=True),
     "mtd_region_top5": lambda y: samples.region_sample(y.mart_mtd, REGION),
     "mtd_first_week_region": lambda y: series.month_to_date(
         y.sales_daily, "1997-01-01", "1997-01-07"
     ).filter(F.col("region") == REGION),
     # stock
     "stock_per_movement": lambda y: y.mart_stock_daily,
+    "stock_per_movement_by_ranges": lambda y: stock.stock_per_movement(
+        y.stg_stock_movements, by_ranges=True
+    ),
     "stock_end_of_day": lambda y: stock.stock_end_of_day(y.stg_stock_movements),
     "stock_sample": lambda y: samples.stock_sample(y.mart_stock_daily),
     # checks
@@ -96,6 +101,10 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "check_plan_sum": lambda y: rounded(
         checks.plan_sum_mismatches(y.stg_plan, y.stg_plan_daily), "sum_daily_plan", "diff", places=4
     ),
+    "plan_days_of_months": lambda y: checks.plan_coverage(
+        y.stg_plan, y.stg_plan_daily.filter(F.dayofmonth("date") != 31)
+    ),
+    "check_plan_days": lambda y: checks.plan_coverage(y.stg_plan, y.stg_plan_daily),
     "check_plan_sum_weekly_norm": lambda y: rounded(
         checks.plan_sum_mismatches(y.stg_plan, y.stg_plan_daily_by_week),
         "sum_daily_plan",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import logging
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -61,8 +62,13 @@ def read_optional(
     spark: SparkSession, path: str, schema: T.StructType, sep: str | None = None
 ) -> DataFrame | None:
     """As ``read_csv``, or None with a warning where the path does not exist."""
+    return if_present(lambda: read_csv(spark, path, schema, sep), path)
+
+
+def if_present(read: Callable[[], DataFrame], path: str) -> DataFrame | None:
+    """What ``read`` gives, or None with a warning where its path does not exist."""
     try:
-        return read_csv(spark, path, schema, sep)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -4,7 +4,7 @@ import pytest
 
 from salesmart import schemas
 from salesmart.operators import checks
-from salesmart.plans.batch import run
+from salesmart.plans.batch import run, validate
 from salesmart.session import shuffle_partitions, size_shuffles
 from salesmart.sinks.warehouse import Warehouse, differing_rows
 from salesmart.sources import files
@@ -240,3 +240,131 @@ def test_rows_of_one_key_are_split_among_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     of_hot = stored.filter("k = 'HOT'").selectExpr("input_file_name() AS f").distinct().count()
     assert of_hot > 1 and stored.count() == 200_000
+
+
+def files_of(folder) -> dict[str, float]:
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_a_stopped_write_leaves_the_old_table(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.replace("mart", "t", spark.range(10).selectExpr("id AS a"), ["a"])
+    broken = spark.range(100).selectExpr("IF(id = 77, raise_error('stopped'), id) AS a")
+    with pytest.raises(Exception, match="stopped"):
+        warehouse.replace("mart", "t", broken, ["a"])
+    assert spark.read.parquet(str(tmp_path / "mart/t")).count() == 10
+    again = Warehouse.open(spark, str(tmp_path))
+    assert again.read("t").count() == 10
+    assert [p.name for p in (tmp_path / "mart").iterdir()] == ["t"]  # what it left is gone
+
+
+def test_a_run_stopped_between_the_renames_is_made_good(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.replace("mart", "t", spark.range(10).selectExpr("id AS a"))
+    rename = Warehouse._rename
+
+    def stop(self, source, to):
+        if "_new-" in source:
+            raise KeyboardInterrupt
+        rename(self, source, to)
+
+    monkeypatch.setattr(Warehouse, "_rename", stop)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.replace("mart", "t", spark.range(3).selectExpr("id AS a"))
+    monkeypatch.undo()
+    assert not (tmp_path / "mart/t").exists()
+    assert Warehouse.open(spark, str(tmp_path)).read("t").count() == 10
+    warehouse.replace("mart", "t", spark.range(3).selectExpr("id AS a"))
+    assert Warehouse.open(spark, str(tmp_path)).read("t").count() == 3
+
+
+def test_one_month_is_replaced_and_others_keep_their_files(spark, tmp_path):
+    days = spark.sql("SELECT explode(sequence(DATE'2025-01-01', DATE'2025-04-30')) AS date, 1 AS n")
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.replace("mart", "t", days, ["date"], "date")
+    before = files_of(tmp_path / "mart/t")
+    changed = days.selectExpr("date", "2 AS n").filter("date < '2025-03-01' OR date >= '2025-04-10'")
+    back = warehouse.replace_months("mart", "t", changed, ["2025-02", "2025-03"], "date", ["date"])
+    after = files_of(tmp_path / "mart/t")
+    other = {f for f in before if "2025-01" in f or "2025-04" in f}
+    assert other and all(after[f] == before[f] for f in other)
+    assert set(after) - other and not set(after) & (set(before) - other)
+    counts = {(r.m, r.n): r["count"] for r in back.selectExpr("month(date) AS m", "n").groupBy("m", "n").count().collect()}
+    assert counts == {(1, 1): 31, (2, 2): 28, (4, 1): 30}  # March had no rows any more
+    assert sorted(p.name for p in (tmp_path / "mart").iterdir()) == ["t"]
+    warehouse.replace("mart", "flat", days)
+    with pytest.raises(ValueError):
+        warehouse.replace_months("mart", "flat", days, ["2025-01"], "date")
+
+
+def test_a_run_for_some_months_leaves_the_daily_marts_of_others(spark, inputs, tmp_path):
+    folder, out = inputs(), tmp_path / "out"
+    first = run(spark, folder, str(out), marts_by_month=True)
+    report = rows_of(first.report)
+    before = files_of(out / "mart/mart_mtd")
+    again = run(spark, folder, str(out), marts_by_month=True, months=["2025-02"]).warehouse
+    after = files_of(out / "mart/mart_mtd")
+    assert {f: t for f, t in before.items() if "2025-01" in f} == {f: t for f, t in after.items() if "2025-01" in f}
+    assert not {f for f in before if "2025-02" in f} & set(after)
+    full = run(spark, folder, str(tmp_path / "full"), marts_by_month=True)
+    for name in ("mart_mtd", "mart_rolling_7d", "mart_stock_daily", "mart_sales_plan_daily"):
+        assert differing_rows(again.read(name), full.warehouse.read(name)).isEmpty()
+    assert rows_of(full.report) == report
+    with pytest.raises(ValueError):
+        run(spark, folder, str(out), months=["2025-02"])
+
+
+def test_counts_of_the_writes_are_the_tables_counts(spark, inputs, tmp_path):
+    outcome = run(spark, inputs(), str(tmp_path / "out"))
+    warehouse = outcome.warehouse
+    counted = {r.table: r.n_rows for r in outcome.counts.collect()}
+    assert set(warehouse.tables) - set(counted) == {"layer_counts", "check_report"}
+    assert counted == {name: warehouse.read(name).count() for name in counted}
+    assert counted["dup_docs"] == 1 and counted["raw_sales_1c"] == 5
+
+
+def test_a_bad_row_of_every_input_goes_to_quarantine(spark, inputs, tmp_path):
+    folder = inputs(
+        sales_1c=SALES + "6,oops,Брест,CH2,Shop,C9,SKU_002,Meat,1,1\n",
+        plan=PLAN
+        + "2025-13,Минск,CH1,Chain,Fish,10,1,1,1,1,1,1,1\n2025-01,Минск,CH1,Chain,Fish,ten,1,1,1,1,1,1,1\n"
+        + "2025-01,Минск,CH1,Chain,Milk,10,0,0,0,0,0,0,0\n2025-01,Минск,CH1,Chain,Eggs,10,1,,1,1,1,1,1\n",
+        sku_links=LINKS + "SKU_OLD_002,SKU_002,someday,\n",
+        stock_movements_optional=STOCK + "2025-01-03,W1,Main,SKU_001,income,many,2\n",
+        product_catalog_optional=CATALOG + "SKU_003,Cheese,Milk,cheap\n",
+    )
+    read = run(spark, folder, str(tmp_path / "out"), quarantine=True).warehouse.read
+    bad = {
+        name: rows_of(read(name).selectExpr("array_join(bad_columns, ',') AS bad"))
+        for name in ("bad_sales", "bad_plan", "bad_sku_links", "bad_stock_movements", "bad_product_catalog")
+    }
+    assert bad == {
+        "bad_sales": [("date",)],
+        "bad_plan": [("month",), ("plan_qty",)],
+        "bad_sku_links": [("valid_from",)],
+        "bad_stock_movements": [("qty",)],
+        "bad_product_catalog": [("base_price_byn",)],
+    }
+    assert rows_of(read("plan_not_spread"), "product_group", "reason") == [
+        ("Eggs", "a weight is missing"), ("Milk", "weights add up to 0"),
+    ]
+    counts = {name: read(name).count() for name in ("raw_plan", "stg_plan_raw", "raw_sku_links", "raw_stock_movements")}
+    assert counts == {"raw_plan": 4, "stg_plan_raw": 2, "raw_sku_links": 1, "raw_stock_movements": 2}
+
+
+def test_stored_tables_are_checked_and_asked_by_name(spark, inputs, tmp_path):
+    out = str(tmp_path / "out")
+    outcome = run(spark, inputs(), out, marts_by_month=True)
+    assert rows_of(validate(spark, out)) == rows_of(outcome.report)
+    opened = Warehouse.open(spark, out)
+    assert set(opened.tables) == set(outcome.warehouse.tables)
+    opened.register_tables("dwh_test")
+    other = spark.newSession()
+    mtd = other.sql("SELECT * FROM dwh_test.mart_mtd WHERE month = '2025-01'")
+    assert mtd.count() == outcome.warehouse.read("mart_mtd").filter("month = '2025-01'").count() > 0
+    assert other.table("dwh_test.stg_sales").schema == outcome.warehouse.read("stg_sales").schema
+    spark.read.parquet(f"{out}/stg/stg_plan_daily").limit(0).write.mode("overwrite").parquet(f"{out}/stg/none")
+    lost = spark.read.parquet(f"{out}/stg/stg_plan_daily").filter("date <> '2025-01-05'")
+    opened.replace("stg", "stg_plan_daily", lost)
+    with pytest.raises(checks.ChecksFailed, match="plan_days"):
+        validate(spark, out)

@@ -1,7 +1,7 @@
 import pytest
 
 from salesmart import schemas
-from salesmart.operators import checks, facts, marts, series, staging
+from salesmart.operators import checks, facts, marts, plan, series, staging
 from salesmart.operators.plan import allocate_monthly
 from tests.conftest import rows_of
 
@@ -81,3 +81,24 @@ def test_report_and_failure(make):
     with pytest.raises(checks.ChecksFailed, match="old_sku: 1"):
         checks.require_passed(bad)
     checks.require_passed(bad, tolerated=["old_sku"])
+
+
+def test_plan_days_are_checked_from_both_sides(spark, make):
+    weights = {w: 1 for w in schemas.WEIGHTS}
+    rows = [
+        {"chain_id": c, "region": r, "product_group": "g", "plan_month": "2025-02-01", "plan_qty": 28, **weights}
+        for c, r in (("kept", "r"), ("lost", "r"), ("short", None), ("twice", "r"), ("twice", "r"))
+    ]
+    monthly = make(schemas.STG_PLAN, *rows)
+    daily = plan.allocate_monthly(monthly)
+    assert checks.plan_coverage(monthly, daily).collect() == []
+    broken = daily.filter("chain_id <> 'lost' AND NOT (chain_id = 'short' AND date = '2025-02-03')")
+    unplanned = daily.filter("chain_id = 'kept' AND date < '2025-02-03'").selectExpr(
+        "add_months(date, 1) AS date", "region", "chain_id", "product_group", "plan_qty"
+    )
+    found = checks.plan_coverage(monthly, broken.unionByName(unplanned))
+    assert rows_of(found, "chain_id", "plan_month", "n_plan_rows", "n_day_rows", "n_expected") == [
+        ("kept", "2025-03-01", 0, 2, 0),
+        ("lost", "2025-02-01", 1, 0, 28),
+        ("short", "2025-02-01", 1, 27, 28),
+    ]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 
 from salesmart import schemas
 from salesmart.functions.ordering import ascending
-from salesmart.operators import series
+from salesmart.operators import facts, ranges, series, stock
+from salesmart.sinks.warehouse import differing_rows
 from tests.conftest import rows_of
 
 DAY = {"region": "R", "chain_id": "C1", "chain_name": "N", "product_group": "G"}
@@ -119,3 +121,59 @@ def test_month_change_starts_over(daily):
     )
     sums = [s for _, s in rows_of(series.month_to_date(df), "date", "mtd_actual_qty")]
     assert sums == [3, -2, 3]
+
+
+def test_a_hot_day_is_split_and_sums_stay(spark):
+    hot = spark.range(20_000).selectExpr(
+        "DATE'2025-03-05' AS date", "'W1' AS warehouse_id", "'Main' AS warehouse_name", "'S1' AS sku_id",
+        "IF(id % 3 = 0, 'outcome', 'income') AS operation_type",
+        "CAST(IF(id % 2 = 0, 1, id % 7) AS DECIMAL(12,2)) AS qty", "CAST(id % 2 AS DECIMAL(12,2)) AS unit_cost_byn",
+    )
+    others = spark.range(900).selectExpr(
+        "date_add(DATE'2025-03-01', CAST(id % 9 AS INT)) AS date", "concat('W', id % 4) AS warehouse_id", "'Main' AS warehouse_name",
+        "IF(id % 5 = 0, NULL, 'S1') AS sku_id", "'income' AS operation_type", "CAST(2 AS DECIMAL(12,2)) AS qty",
+        "CAST(1 AS DECIMAL(12,2)) AS unit_cost_byn",
+    )
+    moves = hot.unionByName(others)
+    cut = ranges.ranged(moves, [*stock.STOCK_KEYS, "date", *stock.WITHIN_DAY], 6)
+    of_day = cut.filter("warehouse_id = 'W1' AND date = '2025-03-05'").groupBy("_range").count().collect()
+    tasks = cut.select("_range").distinct().count()
+    assert tasks == 6 and len(of_day) >= 5 and max(r["count"] for r in of_day) < 1.5 * 20_900 / tasks
+    plain = stock.stock_per_movement(moves, ["date", *stock.WITHIN_DAY], parts=())
+    assert differing_rows(stock.stock_per_movement(moves, by_ranges=True), plain).isEmpty()
+    summed = series.running_sum(
+        cut.withColumn("_change", stock.stock_change()), stock.STOCK_KEYS, ["date", *stock.WITHIN_DAY, "_tie"],
+        "_change", "stock_qty", [["_range"]],
+    )
+    assert differing_rows(stock._valued(summed), plain).isEmpty()
+
+
+def test_sums_by_ranges_equal_the_plain_windows(spark, make):
+    daily = spark.range(3000).selectExpr(
+        "date_add(DATE'2025-01-28', CAST(id % 11 AS INT)) AS date", "IF(id % 13 = 0, NULL, 'North') AS region",
+        "concat('CH', id % 300) AS chain_id", "'Name' AS chain_name", "concat('G', id % 2) AS product_group",
+        "CAST(id % 17 - 3 AS DECIMAL(38,2)) AS actual_qty",
+    ).dropDuplicates(["date", "region", "chain_id", "product_group"])
+    daily = spark.createDataFrame(daily.collect(), daily.schema)
+    for by_days, by_ranges in (
+        (series.month_to_date(daily), series.month_to_date(daily, by_ranges=True)),
+        (series.rolling_7_rows(daily), series.rolling_7_rows(daily, by_ranges=True)),
+    ):
+        assert differing_rows(by_days, by_ranges).isEmpty()
+    assert series.month_to_date(daily.limit(0), by_ranges=True).collect() == []
+
+
+def test_sums_of_doubles_do_not_depend_on_the_partitions(spark):
+    rows = spark.range(40_000).selectExpr(
+        "DATE'2025-01-01' AS date", "'r' AS region", "concat('c', id % 3) AS chain_id", "'g' AS product_group",
+        "IF(id % 2 = 0, 1e9, 1) * sin(id) AS plan_qty",
+    )
+    found = set()
+    for n in (1, 3, 7):
+        dealt = rows.repartition(n, "plan_qty")
+        found.add(tuple(sorted((r.chain_id, r.plan_qty.hex()) for r in facts.plan_daily_agg(dealt).collect())))
+    assert len(found) == 1
+    exact = dict(next(iter(found)))
+    values = [(r.chain_id, r.plan_qty) for r in rows.collect()]
+    for chain in exact:
+        assert abs(float.fromhex(exact[chain]) - math.fsum(v for c, v in values if c == chain)) < 1e-6
