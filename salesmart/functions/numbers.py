@@ -23,8 +23,8 @@ def round_double(value: Column, digits: int) -> Column:
 def exact_sum(value: Column) -> Column:
     """Sum of doubles or floats that does not depend on the order in which rows are merged.
 
-    Each addend becomes a decimal of 18 places, whose sum is exact; only the total is a
-    double again. Good for totals below 10**20; a larger one, or an addend that is no
+    Each addend becomes the decimal that it is printed as, of 18 places, and decimals add up
+    exactly; only the total is a double again. Good for totals below 10**20; a larger one, or an addend that is no
     number, raises.
     """
     return F.sum(value.cast("double").cast(FIXED)).cast("double")
