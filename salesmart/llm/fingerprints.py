@@ -27,6 +27,7 @@ _LOG = BINS.bit_length() - 1
 _EMPTY = np.uint64(2**64 - 1)
 _tours = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BINS, BINS)), axis=1)
 _turn = np.empty_like(_tours)  # when the tour of a bin comes to another
+_salts = np.random.Generator(np.random.PCG64(9)).integers(1, 2**63, BINS, np.uint64)
 np.put_along_axis(_turn, _tours, np.arange(BINS)[None, :].repeat(BINS, 0), axis=1)
 
 
@@ -39,7 +40,7 @@ def bins_of(texts: pa.Array) -> np.ndarray:
     np.minimum.at(table, place, hashes & np.uint64(2 ** (64 - _LOG) - 1))
     table = table.reshape(len(texts), BINS)
     filled = table != _EMPTY
-    out = (table & np.uint64(2**BITS - 1)).astype(np.uint8)
+    taken = np.arange(BINS)[None, :].repeat(len(texts), 0)  # the bin whose value a bin has
     some = filled.any(axis=1)
     rows, cols = np.nonzero(~filled & some[:, None])
     for turn in range(24):
@@ -47,11 +48,15 @@ def bins_of(texts: pa.Array) -> np.ndarray:
             break
         source = _tours[cols, turn]
         hit = filled[rows, source]
-        out[rows[hit], cols[hit]] = out[rows[hit], source[hit]]
+        taken[rows[hit], cols[hit]] = source[hit]
         rows, cols = rows[~hit], cols[~hit]
     for row in np.unique(rows):  # texts of few shingles: the nearest of their filled bins
         held, empty = np.flatnonzero(filled[row]), cols[rows == row]
-        out[row, empty] = out[row, held[np.argmin(_turn[np.ix_(empty, held)], axis=1)]]
+        taken[row, empty] = held[np.argmin(_turn[np.ix_(empty, held)], axis=1)]
+    # Bits of a value differ from bin to bin, or two values with some bits in common by chance
+    # would agree in every bin that takes them.
+    values = np.take_along_axis(table, taken, axis=1) + _salts
+    out = (words.mix(values) & np.uint64(2**BITS - 1)).astype(np.uint8)
     out[~some] = 255
     return out
 
