@@ -6,9 +6,9 @@ tokenizer is known to cut it too, so that the ids of the parts are the ids of th
 * a tokenizer that drops white space (its pre-tokenizer removes whatever its pattern does
   not match, and the pattern matches no space) is cut at spaces and line ends;
 * a byte-level one with the usual pattern never lets a token run from a non-space into the
-  space that follows it, so it is cut there. The pattern looks at what follows a run of
-  white space, so a text with white space other than spaces and line feeds is only cut at a
-  single space between two ASCII letters;
+  space that follows it, so it is cut there: before every space or line feed, where none follows
+  another, else before every run of them. The pattern looks at what follows a run of white space,
+  so a text with other white space is only cut at a single space between two ASCII letters;
 * any other tokenizer gets whole texts.
 
 Special strings hold no space and are left in their part, where the library finds them.
@@ -19,19 +19,37 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
-from struct import pack
+from sys import byteorder
 
-CACHED_WORDS = 500_000  # of each of two generations
+CACHED_WORDS = 300_000  # of each of two generations
 LONGEST_CACHED = 64
 TOGETHER = 4_000
 
 _RUNS = re.compile("[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
+_PLAIN = "\n\n"  # before a part that is its own text, see ``_text_of``
 _TAIL = ".,;:!?*%&$#()[]{}|\"-_/\\+=~^@`"  # no apostrophe, which starts contractions; no <>
 _LETTER_GAP = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
+def _text_of(part: str) -> str:
+    """The text that a part of a text cut at runs of white space stands for.
+
+    Most parts follow a single space, which is not repeated in them.
+    """
+    if part.startswith(_PLAIN):
+        return part[len(_PLAIN) :]
+    return part if part.startswith("\n") else " " + part
+
+
+def _part_of(run: str) -> str:
+    if run[0] == " " and run[1:2].strip(" \n") or run[0] == "\n" and run[1:2].strip(" \n"):
+        return run[1:] if run[0] == " " else run
+    return _PLAIN + run
+
+
 class Encoder:
     """Encodes parts of texts; what is stored per part is made by ``value``."""
 
@@ -46,6 +64,7 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.cut = self._cut_of(spec)
+        self.lowers = self._lowers(spec.get("normalizer") or {})
         self.starts = "".join({t["content"][0] for t in spec.get("added_tokens") or ()})
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
@@ -55,7 +74,9 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         steps = pre.get("pretokenizers") or [pre]
         first = steps[0]
-        spaces = any(re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or ())
+        spaces = any(
+            re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens") or ()
+        )
         if spaces or spec.get("post_processor") not in (None,) and steps == [{}]:
             return "whole"
         if (
@@ -70,13 +91,25 @@ class Encoder:
                 return "run"
         return "whole"
 
+    @staticmethod
+    def _lowers(normalizer: dict) -> bool:
+        """Whether upper and lower case give the same ids, as a step of the normaliser says."""
+        steps = normalizer.get("normalizers") or [normalizer]
+        return any(n.get("type") == "Lowercase" or n.get("lowercase") is True for n in steps)
+
     def parts(self, text: str) -> list[str]:
         if self.cut == "space":
             return text.replace("\n", " ").split(" ")
         if self.cut == "run":
+            if not text:
+                return []
             if _ODD_SPACE.search(text):
-                return _LETTER_GAP.split(text)
-            return _RUNS.findall(text)
+                return [_PLAIN + run for run in _LETTER_GAP.split(text)]
+            if text[0] in " \n" or text[-1] in " \n" or any(two in text for two in ("  ", " \n", "\n ", "\n\n")):
+                return [_part_of(run) for run in _RUNS.findall(text)]
+            parts = text.replace("\n", " \n").split(" ")
+            parts[0] = _PLAIN + parts[0]
+            return parts
         return [text]
 
     def encode(self, texts: list[str]) -> list[list]:
@@ -84,15 +117,33 @@ class Encoder:
         parts = [self.parts(t) for t in texts]
         if len(self.new) > CACHED_WORDS:
             self.old, self.new = self.new, {}
+        missing = set().union(*parts).difference(self.new)
+        if self.old:
+            known = missing.intersection(self.old)
+            self.new.update((part, self.old[part]) for part in known)
+            missing -= known
+        long = self._learn(missing)
+        out = [list(map(self.new.__getitem__, p)) for p in parts]
+        for part in long:
+            del self.new[part]
+        return out
+
+    def _learn(self, missing: set[str]) -> list[str]:
+        """Get the values of parts; those too long to keep are returned."""
+        if self.cut == "space":
+            self._learn_words(missing)
+        else:
+            wanted = list(missing)
+            texts = [_text_of(p) for p in wanted] if self.cut == "run" else wanted
+            self.new.update(zip(wanted, self._values(texts), strict=True))
+        return [p for p in missing if len(p) > LONGEST_CACHED]
+
+    def _learn_words(self, missing: set[str]) -> None:
         new, old = self.new, self.old
-        missing = [w for w in set().union(*parts).difference(new)] if parts else []
-        long: dict[str, object] = {}
         composed: list[tuple[str, str, str]] = []
         unseen: dict[str, None] = {}
+        once: dict[str, object] = {}  # values of pieces too long to keep
         for word in missing:
-            if word in old:
-                new[word] = old[word]
-                continue
             base, tail = self._split(word)
             if base != word:
                 composed.append((word, base, tail))
@@ -103,26 +154,20 @@ class Encoder:
                     else:
                         unseen[piece] = None
         wanted = list(unseen)
-        for word, value in zip(wanted, self._values(wanted), strict=True):
-            (new if len(word) <= LONGEST_CACHED else long)[word] = value
+        for piece, value in zip(wanted, self._values(wanted), strict=True):
+            (new if len(piece) <= LONGEST_CACHED or piece in missing else once)[piece] = value
         if "" in missing:
             new[""] = self.value([])
         for word, base, tail in composed:
-            value = long[base] if base in long else new[base]
-            value = value + (long[tail] if tail in long else new[tail]) if tail else value
-            (new if len(word) <= LONGEST_CACHED else long)[word] = value
-        if long:
-            return [[new[w] if w in new else long[w] for w in p] for p in parts]
-        return [list(map(new.__getitem__, p)) for p in parts]
+            value = once[base] if base in once else new[base]
+            new[word] = value + (once[tail] if tail in once else new[tail]) if tail else value
 
     def _split(self, word: str) -> tuple[str, str]:
         """A word without the punctuation it ends in, and that, if the tokenizer parts them too.
 
-        Patterns of both kinds end a token between a letter or digit and punctuation. A tokenizer
+        The pattern of such a tokenizer ends a token between a letter or digit and punctuation. A tokenizer
         that lower-cases gets ASCII words in lower case.
         """
-        if self.cut == "whole":
-            return word, ""
         for start in self.starts:
             if start in word:
                 return word, ""
@@ -130,7 +175,7 @@ class Encoder:
         if not base or not base[-1].lower().isalnum():  # a letter, also in lower case
             base = word
         tail = word[len(base) :]
-        if self.cut == "space" and base.isascii() and not base.islower():
+        if self.lowers and base.isascii() and not base.islower():
             base = base.lower()
         return base, tail
 
@@ -150,7 +195,14 @@ def length_encoder(path: str) -> Encoder:
 @lru_cache(maxsize=4)
 def id_encoder(path: str) -> Encoder:
     """Values are the ids as little-endian unsigned 32-bit bytes."""
-    return Encoder(path, lambda ids: pack(f"<{len(ids)}I", *ids))
+    return Encoder(path, _packed)
+
+
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)  # of four bytes, as everywhere that numpy's uint32 has four
+    if byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @lru_cache(maxsize=4)

@@ -61,3 +61,46 @@ def test_query_matches_the_library(spark):
     library = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
     for key, row in by_key(QUERIES["op10_token_counts"](spark, SF)).items():
         assert row["n_tokens"] == len(library.encode(texts[key], add_special_tokens=False).ids)
+
+
+def test_case_counts_where_the_tokenizer_keeps_it(tmp_path):
+    import json
+
+    with open(public_tokenizers.path(FILES[0]), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["normalizer"] = None
+    path = str(tmp_path / "cased.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path, list)
+    assert encoder.cut == "space" and not encoder.lowers
+    for text in ("HELLO world", "Hello, WORLD! HELLO", "hello"):
+        ids = [i for part in encoder.encode([text])[0] for i in part]
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_that_take_spaces_forbid_cuts(tmp_path):
+    import json
+
+    with open(public_tokenizers.path(FILES[1]), encoding="utf-8") as file:
+        spec = json.load(file)
+    for token in spec["added_tokens"]:
+        token["rstrip"] = True
+    path = str(tmp_path / "greedy.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path, list)
+    text = "one <|endoftext|> two  <|endoftext|>\nthree"
+    assert [i for part in encoder.encode([text])[0] for i in part] == library.encode(text, add_special_tokens=False).ids
+
+
+def test_many_words_and_few_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 300)
+    rng = random.Random(4)
+    path = public_tokenizers.path(FILES[1])
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path, tokens._packed)
+    for _ in range(12):
+        texts = ["".join(rng.choice(["w", " ", " x", "\n", "é", "7", "<|endoftext|>", "y" * 70]) for _ in range(200)) for _ in range(30)]
+        texts += [" ".join(f"{rng.randrange(5000)}" for _ in range(200)) for _ in range(10)]
+        for text, parts in zip(texts, encoder.encode(texts), strict=True):
+            assert b"".join(parts) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
