@@ -32,6 +32,8 @@ MIN_DOCS = 2  # that contain an n-gram, unless that is this share of the languag
 FEW = 0.05
 CELLS_PER_GRAM = 16
 PROBES = 3
+PIECE = 1 << 17  # characters whose n-grams are worked on at once
+SLICE_BYTES = 1 << 20
 
 _STEPS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 8, np.uint64) * np.uint64(2) + np.uint64(1)
 _letters: np.ndarray | None = None
@@ -49,32 +51,66 @@ def _letter_table() -> np.ndarray:
     return _letters
 
 
-def gram_hashes(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order the n-grams' hashes and their text numbers."""
+def gram_hashes(texts: list[str], orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams' hashes and their text numbers, for each order of each piece of the texts.
+
+    Every n-gram comes once. Pieces are of ``PIECE`` characters, wherever texts begin and end; the
+    last letters of one are looked at again with the next.
+    """
     joined = " " + " ".join(texts) + " "
     ends = np.cumsum([len(t) + 1 for t in texts])  # of each text, its space included
-    codes = _letter_table()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    kept = codes != 0
-    kept[1:] |= codes[:-1] != 0
-    kept[0] = True
-    place = np.flatnonzero(kept)
-    codes = codes[place].astype(np.uint64)
-    owner = np.searchsorted(ends, place, side="right")
+    table = _letter_table()
+    before = 1  # the first space stays
+    held, held_owner = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for start in range(0, len(joined), PIECE):
+        piece = joined[start : start + PIECE].encode("utf-32-le", "surrogatepass")
+        codes = table[np.frombuffer(piece, np.uint32)]
+        kept = codes != 0
+        kept[1:] |= codes[:-1] != 0
+        kept[0] |= before != 0
+        before = codes[-1]
+        place = np.flatnonzero(kept)
+        fresh = codes[place].astype(np.uint64)
+        owner = np.minimum(np.searchsorted(ends, place + start, side="right"), len(texts) - 1)
+        for order in orders:
+            again = max(0, len(held) - order + 1)  # n-grams that end in this piece
+            codes = np.concatenate([held[again:], fresh])
+            owners = np.concatenate([held_owner[again:], owner])
+            count = len(codes) - order + 1
+            if count <= 0:
+                continue
+            valid = np.ones(count, bool)
+            total = np.full(count, np.uint64(order))
+            for j in range(order):
+                if 0 < j < order - 1:
+                    valid &= codes[j : j + count] != 0
+                total += codes[j : j + count] * _STEPS[j]
+            if order == 2:
+                valid &= (codes[:count] != 0) | (codes[1:] != 0)
+            at = np.flatnonzero(valid)
+            middle = at + (codes[at] == 0)  # a leading space belongs to the text before
+            yield mix(total[at]), owners[middle]
+        held = np.concatenate([held, fresh])[-max(orders) :]
+        held_owner = np.concatenate([held_owner, owner])[-max(orders) :]
+
+
+def gram_documents(texts: list[str], langs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order the distinct pairs of language (its number) and n-gram, and in how many texts."""
+    count = np.int64(len(texts))
+    width = np.int64(langs.max() + 1)
     for order in ORDERS:
-        count = len(codes) - order + 1
-        if count <= 0:
+        pieces = []
+        for hashes, owner in gram_hashes(texts, (order,)):
+            grams, number = np.unique(hashes, return_inverse=True)
+            pairs = np.unique(number * count + owner)  # an n-gram counts once a text
+            pieces.append((grams[pairs // count], pairs % count))
+        if not pieces:
             continue
-        valid = np.ones(count, bool)
-        total = np.full(count, np.uint64(order))
-        for j in range(order):
-            if 0 < j < order - 1:
-                valid &= codes[j : j + count] != 0
-            total += codes[j : j + count] * _STEPS[j]
-        if order == 2:
-            valid &= (codes[:count] != 0) | (codes[1:] != 0)
-        at = np.flatnonzero(valid)
-        middle = at + (codes[at] == 0)  # a leading space belongs to the text before
-        yield mix(total[at]), np.minimum(owner[middle], len(texts) - 1)
+        hashes, owner = (np.concatenate(c) for c in zip(*pieces))
+        grams, number = np.unique(hashes, return_inverse=True)
+        pairs = np.unique(number * count + owner)  # and so does one of several pieces
+        found, docs = np.unique(pairs // count * width + langs[pairs % count], return_counts=True)
+        yield found % width, grams[found // width], docs
 
 
 @dataclass
@@ -127,61 +163,75 @@ def build(contained: dict[str, np.ndarray]) -> Model:
     return model
 
 
-def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model of the rows' languages, from about ``sample`` distinct texts of each at most.
+@dataclass
+class Sample:
+    """Distinct texts of each language, stored, and how many rows and drawn texts a language has."""
 
-    Rows with NULL text or language are not used. The distinct texts of a language are counted
-    and sampled by their hash, however many rows have them, and each is used once; n-grams are counted per batch before they are shuffled. What the driver
-    gets is the n-grams that enough documents have: for each language at most the n-grams of a
-    document over ``MIN_SHARE``.
+    texts: DataFrame  # lang, text
+    rows: dict[str, int]
+    drawn: dict[str, int]
+
+
+def draw(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Sample:
+    """About ``sample`` distinct texts of each language at most, and all of fewer.
+
+    Rows with NULL text or language are left out. The distinct texts of a language are counted
+    and sampled by their hash, however many rows have them, and each is drawn once.
     """
-    spark = labelled.sparkSession
-    shared.bound_batches(spark)
-    rows = labelled.select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
-    ).filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("hash", F.xxhash64("text"))
+    rows = (
+        labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+        .filter("lang IS NOT NULL AND text IS NOT NULL")
+        .withColumn("hash", F.xxhash64("text"))
+    )
     texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("rows"))
     counts = texts.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("texts")).collect()
-    known = {r.lang: r["rows"] for r in counts}
-    if not known:
-        return build({})
     most = F.lit(0)
     for r in counts:
         most = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample / r["texts"]))).otherwise(most)
     few = rows.filter(F.pmod("hash", F.lit(1_000_003)) < most * 1_000_003)
-    drawn = few.groupBy("lang", "hash").agg(F.first("text").alias("text")).select("lang", "text")
+    once = few.groupBy("lang", "hash").agg(F.first("text").alias("text")).select("lang", "text")
+    # By hash, so that each of several tasks gets its share of the sample, not of its bytes.
+    spread = labelled.sparkSession.sparkContext.defaultParallelism
+    drawn = shared.stored(once.repartition(max(16, 2 * spread), F.xxhash64("text")), "sample")
+    found = {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()}
+    return Sample(drawn, {r.lang: r["rows"] for r in counts}, found)
+
+
+def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
+    """A model of the rows' languages, learned from what ``draw`` gives of them."""
+    return learn(draw(labelled, text=text, lang=lang, sample=sample))
+
+
+def learn(sample: Sample) -> Model:
+    """A model of the sample's languages.
+
+    N-grams are counted per slice of texts before they are shuffled. What the driver
+    gets is the n-grams that enough documents have: for each language at most the n-grams of a
+    document over ``MIN_SHARE``.
+    """
+    if not sample.drawn:
+        return build({})
+    shared.bound_batches(sample.texts.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.by_bytes(batch, "text"):
-                langs = np.array(part["lang"].to_pylist())
-                found = list(gram_hashes(part["text"].to_pylist()))
-                for name in sorted(set(langs)):
-                    mine = langs == name
-                    pairs = [np.empty(0, np.uint64)]
-                    for hashes, owner in found:
-                        own = mine[owner]
-                        if own.any():  # an n-gram counts once a document
-                            both = np.stack([hashes[own], owner[own].astype(np.uint64)])
-                            pairs.append(np.unique(both, axis=1)[0])
-                    grams, docs = np.unique(np.concatenate(pairs), return_counts=True)
+            for part in shared.by_bytes(batch, "text", SLICE_BYTES):
+                names, langs = np.unique(np.array(part["lang"].to_pylist(), object), return_inverse=True)
+                for number, grams, docs in gram_documents(part["text"].to_pylist(), langs):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([name] * len(grams), pa.string()),
+                            pa.array(names[number].tolist(), pa.string()),
                             pa.array(grams.view(np.int64)),
                             pa.array(docs.astype(np.int64)),
                         ],
                         ["lang", "gram", "docs"],
                     )
 
-    used = {
-        r.lang: r["texts"] for r in few.groupBy("lang").agg(F.count_distinct("hash").alias("texts")).collect()
-    }
     share = F.lit(0.0)
-    for name, number in used.items():
+    for name, number in sample.drawn.items():
         share = F.when(F.col("lang") == name, F.col("docs") / number).otherwise(share)
     shares = (
-        drawn.mapInArrow(count, "lang string, gram long, docs long")
+        sample.texts.mapInArrow(count, "lang string, gram long, docs long")
         .groupBy("lang", "gram")
         .agg(F.sum("docs").alias("docs"))
         .withColumn("share", share)
@@ -189,7 +239,7 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
     )
     table = shares.select("lang", "gram", "share").toPandas()
     table = table[table["share"] >= MIN_RATIO * table.groupby("gram")["share"].transform("max")]
-    order = sorted(used, key=lambda name: (-known[name], name))  # ties go to the commoner
+    order = sorted(sample.drawn, key=lambda name: (-sample.rows[name], name))  # ties go to the commoner
     return build(
         {name: table.loc[table["lang"] == name, "gram"].to_numpy(np.int64).view(np.uint64) for name in order}
     )
@@ -199,7 +249,8 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     """``key, lang_pred, score`` and the columns ``keep`` of every row, from its whole text.
 
     NULL texts and texts without a letter are ``und`` with score 0, as is all if no language
-    was learned. Repeated rows and keys each give a row; an empty table gives an empty one.
+    was learned. Repeated rows and keys each give a row; an empty table gives an empty one. A long
+    text is worked on piece by piece, which adds up to the same counts.
     """
     spark = docs.sparkSession
     shared.bound_batches(spark)
@@ -214,7 +265,7 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
         model = sent.value
         known = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for part in shared.by_bytes(batch, "text", 1 << 20):
+            for part in shared.by_bytes(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part["text"].to_pylist()]
                 best, score = model.predict(texts)
                 yield pa.RecordBatch.from_arrays(
@@ -235,20 +286,9 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     return out.withColumnsRenamed({f"c{i}": c for i, c in enumerate(carried)} | {"text": text})
 
 
-def usual_scores(
-    labelled: DataFrame, model: Model, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE
-) -> dict[str, float]:
-    """The median score of each language's own texts, of ``sample`` distinct ones at most about."""
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter(
-        "lang IS NOT NULL AND text IS NOT NULL"
-    ).withColumn("hash", F.xxhash64("text"))
-    counts = rows.groupBy("lang").agg(F.count_distinct("hash").alias("texts")).collect()
-    most = F.lit(0)
-    for r in counts:
-        most = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample / r["texts"]))).otherwise(most)
-    few = rows.filter(F.pmod("hash", F.lit(1_000_003)) < most * 1_000_003)
-    drawn = few.groupBy("lang", "hash").agg(F.first("text").alias("text"))
-    found = predict(drawn, model, key="lang").filter("lang = lang_pred")
+def usual_scores(sample: Sample, model: Model) -> dict[str, float]:
+    """The median score of each language's own texts in the sample."""
+    found = predict(sample.texts, model, key="lang").filter("lang = lang_pred")
     medians = found.groupBy("lang").agg(F.percentile_approx("score", 0.5).alias("score"))
     return {r.lang: r.score for r in medians.collect()}
 

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from salesmart.llm import language
-from tests.llm.helpers import by_key, table
+from salesmart.llm.queries import QUERIES
+from tests.llm.helpers import SF, by_key, table
 
 LABELLED = "doc_id long, text string, lang string"
 
@@ -65,6 +70,102 @@ def test_grams_do_not_cross_words_or_texts():
     assert one == two
 
 
+def grams_of(text: str) -> Counter:
+    """The n-grams of a text, of letters in lower case and single spaces."""
+    letters = "".join((c.lower() or c)[0] if c.isalpha() else " " for c in text)
+    line = " " + " ".join(letters.split()) + " " if letters.split() else " "
+    found = Counter()
+    for order in language.ORDERS:
+        for i in range(len(line) - order + 1):
+            gram = line[i : i + order]
+            if " " not in gram[1:-1] and (order > 2 or gram.strip()):
+                found[gram] += 1
+    return found
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1 << 17])
+def test_grams_of_pieces_are_those_of_the_text(monkeypatch, piece):
+    monkeypatch.setattr(language, "PIECE", piece)
+    rng = random.Random(piece)
+    texts = ["", "a", "  ", "x1y", "É. b", *("".join(rng.choices("abcD é1 .", k=30)) for _ in range(40))]
+    got = [Counter() for _ in texts]
+    for hashes, owner in language.gram_hashes(texts):
+        for h, o in zip(hashes.tolist(), owner.tolist()):
+            got[o][h] += 1
+    for text, found in zip(texts, got):
+        wanted = grams_of(text)
+        if text.strip() and wanted:  # one name for each n-gram, as often as it stands there
+            assert sorted(found.values()) == sorted(wanted.values()), text
+    whole = Counter()
+    for found in got:
+        whole.update(found)
+    assert len(whole) == len(set().union(*(grams_of(t) for t in texts)))
+
+
+def plain_model(rows: list[tuple]) -> dict[str, set[str]]:
+    """The n-grams that each language contains, by the rules and without filters."""
+    texts: dict[str, set[str]] = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            texts.setdefault(lang, set()).add(text)
+    docs = {lang: Counter(g for t in own for g in grams_of(t)) for lang, own in texts.items()}
+    share = {lang: {g: n / len(texts[lang]) for g, n in found.items()} for lang, found in docs.items()}
+    top: dict[str, float] = {}
+    for lang, found in share.items():
+        for gram, part in found.items():
+            if part >= language.MIN_SHARE and (docs[lang][gram] >= language.MIN_DOCS or part >= language.FEW):
+                top[gram] = max(part, top.get(gram, 0))
+    return {
+        lang: {
+            g for g, part in found.items()
+            if part >= language.MIN_SHARE and (docs[lang][g] >= language.MIN_DOCS or part >= language.FEW)
+            and part >= language.MIN_RATIO * top[g]
+        } for lang, found in share.items()
+    }
+
+
+def test_predictions_by_brute_force(spark):
+    """n-gram sets in place of the filters: the same languages, and scores up to false positives."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = plain_model([(d.text, d.lang) for d in docs if crc32(str(d.doc_id).encode()) % 4 != 2])
+    commonest = Counter(d.lang for d in docs if d.text is not None and crc32(str(d.doc_id).encode()) % 4 != 2)
+    order = sorted(learned, key=lambda lang: (-commonest[lang], lang))
+    found = by_key(QUERIES["op4_language"](spark, SF))
+    assert set(found) == {d.doc_id for d in docs}
+    near = 0
+    for d in docs:
+        grams = grams_of(d.text or "")
+        total = grams.total()
+        row = found[d.doc_id]
+        if not any(c.isalpha() for c in d.text or ""):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        shares = [sum(n for g, n in grams.items() if g in learned[lang]) / total for lang in order]
+        best = max(shares)
+        if sorted(shares)[-2] < best - 0.02:
+            near += 1
+            assert row["lang_pred"] == order[shares.index(best)]
+            assert abs(row["score"] - best) < 0.02
+    assert near > 0.9 * len(docs)
+
+
+def test_a_text_of_20_mb(spark):
+    extra = [(1000, "the dog and the cat " * 1_000_000, None), (1001, "hundundkatze" * 1_700_000, None)]
+    label = {r.doc_id: r.lang_pred for r in language.identify(table(spark, rows() + extra, LABELLED)).collect()}
+    assert label[1000] == "xx" and label[1001] == "yy"
+
+
+def test_training_slices_take_little_memory():
+    text = " ".join(f"wort{i % 977}und" for i in range(90_000))[: 1 << 20]
+    texts, langs = [text[i : i + 2000] for i in range(0, len(text), 2000)], np.zeros(525, np.int64)
+    tracemalloc.start()
+    for _ in language.gram_documents(texts, langs[: len(texts)]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+
+
 def test_copies_count_once_in_the_sample(spark):
     copied = [(i, f"{word} und nichts sonst", word) for i, word in enumerate(["abcd", "efgh", "ijkl", "mnop", "qrst"])]
     docs = table(spark, copied * 300, LABELLED)
