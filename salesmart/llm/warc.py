@@ -21,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,7 +45,7 @@ _NAMES = uuid.UUID("6b8f6b3e-51a5-4b0c-9a55-0d7c1f0c8a11")
 
 RECORD = (
     "record_id string, type string, uri string, date string, content_type string, ip string, "
-    "payload_digest string, payload_bytes long, page_id long, head binary, payload binary"
+    "payload_digest string, payload_bytes long, page_id long, head binary, payload binary, file string"
 )
 
 
@@ -99,7 +100,8 @@ class Stream:
         while len(self.held) < count:
             if not self._more():
                 raise ValueError(f"a record declares {count} bytes, {len(self.held)} are left")
-        out = bytes(self.held[:count])
+        with memoryview(self.held) as held:
+            out = bytes(held[:count])
         del self.held[:count]
         self.offset += count
         return out
@@ -114,19 +116,26 @@ def _http(block: bytes) -> tuple[bytes, bytes]:
     return b"", block
 
 
+@lru_cache
+def _field_pattern(name: str) -> re.Pattern[bytes]:
+    return re.compile(rb"(?im)^" + re.escape(name.encode()) + rb":[ \t]*(.*?)[ \t]*\r?$")
+
+
 def _field(head: bytes, name: str) -> str | None:
-    found = re.search(rb"(?im)^" + re.escape(name.encode()) + rb":[ \t]*(.*?)[ \t]*\r?$", head)
+    found = _field_pattern(name).search(head)
     return found[1].decode("utf-8", "replace") if found else None
 
 
+@lru_cache(4096)
 def _iso(date: str) -> str:
     digits = (re.sub(r"\D", "", date) + "00000101000000"[len(date) :])[:14]
     y, rest = digits[:4], [digits[i : i + 2] for i in range(4, 14, 2)]
     return f"{y}-{rest[0]}-{rest[1]}T{rest[2]}:{rest[3]}:{rest[4]}Z"
 
 
-def parse_arc(name: str, content: bytes) -> Iterator[dict]:
+def parse_arc(path: str, content: bytes) -> Iterator[dict]:
     """The records of an ARC file, as WARC fields; the version block gives none."""
+    name = path.rpartition("/")[2]
     stream, fields = Stream(content), ARC_FIELDS[1].split()
     while True:
         offset = stream.offset
@@ -161,6 +170,7 @@ def parse_arc(name: str, content: bytes) -> Iterator[dict]:
             "page_id": int(page) if page else None,
             "head": head,
             "payload": payload,
+            "file": path,
         }
 
 
@@ -169,8 +179,8 @@ def _lines(pairs: list[tuple[str, object]]) -> bytes:
 
 
 def warc_record(row: dict) -> bytes:
-    """A record without the separator that follows it."""
-    revisit = row["refers_to_id"] is not None
+    """A record without the separator that follows it; a revisit if ``refers_to_id`` is there."""
+    revisit = row.get("refers_to_id") is not None
     block = row["head"] + (b"" if revisit else row["payload"])
     fields = [
         ("WARC-Type", "revisit" if revisit else row["type"]),
@@ -182,16 +192,17 @@ def warc_record(row: dict) -> bytes:
         ("WARC-Block-Digest", f"sha1:{digest(block)}"),
         ("WARC-Profile", REVISIT_PROFILE if revisit else None),
         ("WARC-Refers-To", f"<{row['refers_to_id']}>" if revisit else None),
-        ("WARC-Refers-To-Target-URI", row["refers_to_uri"]),
-        ("WARC-Refers-To-Date", row["refers_to_date"]),
+        ("WARC-Refers-To-Target-URI", row.get("refers_to_uri")),
+        ("WARC-Refers-To-Date", row.get("refers_to_date")),
         ("Content-Type", row["content_type"]),
         ("Content-Length", len(block)),
     ]
     return f"{WARC_VERSION}\r\n".encode() + _lines(fields) + b"\r\n" + block
 
 
-def parse_warc(name: str, content: bytes) -> Iterator[dict]:
+def parse_warc(path: str, content: bytes) -> Iterator[dict]:
     """The records of a WARC file but ``warcinfo``; digests are checked."""
+    name = path.rpartition("/")[2]
     stream = Stream(content)
     while True:
         line = stream.line()
@@ -228,6 +239,7 @@ def parse_warc(name: str, content: bytes) -> Iterator[dict]:
             "page_id": int(page) if page else None,
             "head": head,
             "payload": payload,
+            "file": path,
             "refers_to_id": given["warc-refers-to"].strip("<>") if revisit else None,
         }
 
@@ -289,16 +301,20 @@ def write_arc(pages: DataFrame, path: str, *, date: str = DATE) -> None:
                 block = b"HTTP/1.1 200 OK\r\n" + _lines(head) + b"\r\n" + payload
                 yield record(_clean(url, "urn:page"), "text/html", block, "200")
 
-    _write(rows, captures, path, "\n")
+    _write(rows, captures, path, "\n", "BEST_SPEED")
 
 
-def _write(rows: DataFrame, records, path: str, separator: str) -> None:
+def _write(rows: DataFrame, records, path: str, separator: str, level: str = "DEFAULT_COMPRESSION") -> None:
     shared.bound_batches(rows.sparkSession)
     make = _Rows(_VALUE_ARROW)
     lines = rows.mapInArrow(lambda b: make.batches(records(b)), "value binary")
     lines.select(F.col("value").cast("string").alias("value")).write.option(
         "lineSep", separator
-    ).option("compression", "gzip").text(path)
+    ).option("compression", "gzip").option("zlib.compress.level", level).text(path)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def _read(spark: SparkSession, path: str, parse, schema: str, arrow: pa.Schema, columns) -> DataFrame:
@@ -310,13 +326,11 @@ def _read(spark: SparkSession, path: str, parse, schema: str, arrow: pa.Schema,
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for row in range(len(batch)):
-                name = batch["path"][row].as_py().rpartition("/")[2]
-                for found in parse(name, batch["content"][row].as_py()):
+                for found in parse(batch["path"][row].as_py(), batch["content"][row].as_py()):
                     yield {c: found[c] for c in wanted}
 
     kinds = dict(f.split() for f in schema.split(", "))
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(
+    return _files(spark, path).mapInArrow(
         lambda b: make.batches(records(b)), ", ".join(f"{c} {kinds[c]}" for c in wanted)
     )
 
@@ -332,7 +346,8 @@ def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None)
 
 
 def revisits(captures: DataFrame, *, min_bytes: int = 0) -> DataFrame:
-    """``record_id, refers_to_id, refers_to_uri, refers_to_date`` of captures to be revisits.
+    """``record_id, refers_to_id, refers_to_uri, refers_to_date`` of captures to be revisits,
+    and their ``file`` if the captures name it.
 
     Of captures with equal payload digest and length, of ``min_bytes`` or more, that with the
     largest ``page_id`` (NULL least, ties by record id) is the response. Per-payload maxima are
@@ -352,6 +367,7 @@ def revisits(captures: DataFrame, *, min_bytes: int = 0) -> DataFrame:
         .filter(F.col("record_id") != F.col("best.record_id"))
         .select(
             "record_id",
+            *(["file"] if "file" in captures.columns else []),
             F.col("best.record_id").alias("refers_to_id"),
             F.col("best.uri").alias("refers_to_uri"),
             F.col("best.date").alias("refers_to_date"),
@@ -360,13 +376,29 @@ def revisits(captures: DataFrame, *, min_bytes: int = 0) -> DataFrame:
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_bytes: int = 0) -> None:
-    """Write the captures of ARC files as WARC files, repeated payloads as revisits."""
-    thin = read_arc(spark, arc_path, ["record_id", "uri", "date", "payload_digest", "payload_bytes", "page_id"])
-    links = revisits(thin, min_bytes=min_bytes)
-    rows = read_arc(spark, arc_path).join(links, "record_id", "left")
+    """Write the captures of ARC files as WARC files, repeated payloads as revisits.
+
+    The captures are first read without their payloads to find the revisits. These then meet
+    the files, not the captures: what is shuffled is a compressed file and the list of its
+    revisits, which is no longer than the file that one task parses anyway.
+    """
+    thin = read_arc(
+        spark, arc_path, ["record_id", "uri", "date", "payload_digest", "payload_bytes", "page_id", "file"]
+    )
+    lists = revisits(thin, min_bytes=min_bytes).groupBy("file").agg(
+        F.collect_list(F.struct("record_id", "refers_to_id", "refers_to_uri", "refers_to_date")).alias("links")
+    )
+    files = _files(spark, arc_path)
+    # A file is a task's work however small it is packed, so the partitions go by number, not size.
+    spread = max(1, 2 * files.select("path").count())
+    rows = (
+        files.repartition(spread, "path")
+        .join(lists.withColumnRenamed("file", "path"), "path", "left")
+        .select("path", "content", "links")
+    )
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        number = TaskContext.get().partitionId()
+        number, begun = TaskContext.get().partitionId(), False
         text = b"software: salesmart\r\nformat: WARC File Format 1.1\r\n"
         info = [
             ("WARC-Type", "warcinfo"),
@@ -375,11 +407,14 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_bytes: in
             ("Content-Type", "application/warc-fields"),
             ("Content-Length", len(text)),
         ]
-        yield {"value": f"{WARC_VERSION}\r\n".encode() + _lines(info) + b"\r\n" + text}
         for batch in batches:
-            for part in shared.by_bytes(batch, "payload"):
-                for row in part.to_pylist():
-                    yield {"value": warc_record(row)}
+            for at in range(len(batch)):
+                if not begun:
+                    yield {"value": f"{WARC_VERSION}\r\n".encode() + _lines(info) + b"\r\n" + text}
+                    begun = True
+                links = {link["record_id"]: link for link in batch["links"][at].as_py() or ()}
+                for found in parse_arc(batch["path"][at].as_py(), batch["content"][at].as_py()):
+                    yield {"value": warc_record(found | links.get(found["record_id"], {}))}
 
     _write(rows, records, warc_path, "\r\n\r\n")
 
