@@ -276,12 +276,50 @@ FROM (SELECT plan_month, chain_id, region, product_group, 1 AS p, 0 AS d FROM st
 GROUP BY plan_month, chain_id, region, product_group
 HAVING n_day_rows <> n_expected OR n_plan_rows = 0"""
 
+_END = "COALESCE(valid_to, DATE '9999-12-31')"
+_LINK_OVERLAPS = f"""
+SELECT old_sku_id, current_sku_id, valid_from, valid_to,
+       NULLIF(reach, DATE '9999-12-31') AS covered_to
+FROM (SELECT *, MAX({_END}) OVER (
+        PARTITION BY old_sku_id ORDER BY valid_from, {_END}, current_sku_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+      FROM link_history WHERE valid_from <= {_END}) AS swept
+WHERE valid_from <= reach"""
+_LINK_CHAINS = """
+SELECT code AS old_sku_id, CASE WHEN circle IS NULL THEN reached END AS final_sku_id,
+       CASE WHEN circle IS NULL THEN n WHEN reached = code THEN len(circle) END::BIGINT AS n_steps,
+       CASE WHEN circle IS NOT NULL THEN CASE WHEN reached = code THEN 'cycle' ELSE 'into_cycle' END
+            WHEN n = 1 THEN 'direct' ELSE 'chain' END AS status,
+       list_min(circle) AS cycle_id
+FROM (
+  WITH RECURSIVE step AS (
+    SELECT 'SKU_' || CAST(p_partkey AS VARCHAR) AS code,
+           'SKU_' || CAST(CASE WHEN p_size <= 5 AND p_partkey % 7 = 0
+                               THEN p_partkey * 3 ELSE p_partkey // 3 END
+                          AS VARCHAR) AS next
+    FROM part
+  ),
+  walk AS (
+    SELECT code, next AS reached, [code] AS path FROM step
+    UNION ALL
+    SELECT w.code, s.next, list_append(w.path, w.reached)
+    FROM walk w JOIN step s ON s.code = w.reached WHERE NOT list_contains(w.path, w.reached)
+  )
+  SELECT code, reached, len(path) AS n,
+         CASE WHEN list_contains(path, reached)
+              THEN path[list_position(path, reached):] END AS circle
+  FROM walk
+  WHERE list_contains(path, reached) OR reached NOT IN (SELECT code FROM step)
+) AS walked"""
+
 _FINALS = {
     "stg_sales": f"SELECT {_SALES_OUT} FROM stg_sales",
     "stg_sku_links": (
         "SELECT trim(old_sku_id) AS old_sku_id, trim(current_sku_id) AS current_sku_id, "
         "valid_from, valid_to FROM raw_sku_links"
     ),
+    "link_overlaps": _LINK_OVERLAPS,
+    "link_chains": _LINK_CHAINS,
     "stg_plan": f"SELECT {_PLAN_COLUMNS} FROM stg_plan",
     "stg_stock_movements": (
         "SELECT date, warehouse_id, warehouse_name, sku_id, operation_type, "

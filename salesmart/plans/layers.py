@@ -56,6 +56,10 @@ class Layers:
     def stg_sku_link_history(self) -> DataFrame:
         return staging.stg_sku_links(starschema.sku_link_history(self.spark, self.sf_dir))
 
+    @cached_property
+    def stg_sku_supersessions(self) -> DataFrame:
+        return staging.stg_sku_links(starschema.sku_supersessions(self.spark, self.sf_dir))
+
     @cached_property
     def stg_sales(self) -> DataFrame:
         return staging.stg_sales(self.raw_sales, self.stg_sku_links)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.numbers import round_double
-from salesmart.operators import checks, marts, samples, series, staging, stock
+from salesmart.operators import checks, links, marts, samples, series, staging, stock
 from salesmart.plans.layers import REGION, Layers
 from salesmart.sinks.warehouse import row_counts
 
@@ -117,6 +117,8 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
         staging.clean_sales(y.raw_quantities), y.stg_sku_links
     ),
     "old_skus_left_asof": lambda y: checks.old_skus(y.stg_sales_asof, y.stg_sku_link_history),
+    "link_overlaps": lambda y: links.overlapping_links(y.stg_sku_link_history),
+    "link_chains": lambda y: links.link_chains(y.stg_sku_supersessions),
     "check_mart_keys": lambda y: checks.duplicate_mart_keys(y.mart_sales_plan_daily),
     "check_null_profile": lambda y: checks.null_profile(y.mart_sales_plan_daily),
     "check_returns": lambda y: checks.returns_profile(y.stg_quantities),

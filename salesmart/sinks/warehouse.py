@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.ordering import ascending
+from salesmart.operators.curve import curve_position
+from salesmart.sinks.scratch import stored
 
-MONTH = "month"
+MONTH, CURVE = "month", "_curve"
 LAYERS = ("raw", "stg", "mart", "quarantine", "audit")
 # Names that readers pass over, as they begin with an underscore.
 _NEW, _OLD = "_new-{id}-{name}", "_old-{id}-{name}"
@@ -56,6 +58,8 @@ class Warehouse:
         df: DataFrame,
         order: Sequence[str] = (),
         by_month_of: str | None = None,
+        cluster: Sequence[str] = (),
+        files: int | None = None,
     ) -> DataFrame:
         """Write ``df`` as the new content of the table and return the stored table.
 
@@ -63,12 +67,15 @@ class Warehouse:
         file and from file to file, with no single-task global sort. The other columns
         only split the rows of a key that has very many of them.
         ``by_month_of`` names a date column to partition the directory by month; the
-        range then starts with the month, so a task writes few directories. Rows are counted
-        as they are written.
+        range then starts with the month, so a task writes few directories. ``cluster`` names
+        columns to lay the rows by on a curve through all of them, before ``order``: filters
+        on any one of these skip files. ``files`` is the number of ranges, else as many as
+        the session has shuffle partitions. Rows are counted as they are written.
         """
         path = self.path(layer, name)
         aside = self._beside(path, _NEW)
-        columns, schema = df.columns, self._write(df, name, aside, order, by_month_of)
+        columns = df.columns
+        schema = self._write(df, name, aside, order, by_month_of, cluster, files)
         self._swap(aside, path)
         self.tables[name] = (layer, schema)
         return self.read(name).select(*columns)
@@ -102,17 +109,29 @@ class Warehouse:
         return self.read(name).select(*df.columns)
 
     def _write(
-        self, df: DataFrame, name: str, path: str, order: Sequence[str], by_month_of: str | None
+        self,
+        df: DataFrame,
+        name: str,
+        path: str,
+        order: Sequence[str],
+        by_month_of: str | None,
+        cluster: Sequence[str] = (),
+        files: int | None = None,
     ) -> T.StructType:
         columns = df.columns
         keys = list(order)
+        if cluster:
+            df = stored(df, name)
+            df = df.withColumn(CURVE, curve_position(df, cluster))
+            keys = [CURVE, *keys]
         if by_month_of:
             df = df.withColumn(MONTH, F.date_format(by_month_of, "yyyy-MM"))
             keys = [MONTH, *keys]
         if keys:
             rest = [c for c in columns if c not in keys]
-            df = df.repartitionByRange(*ascending([*keys, *rest]))
-            df = df.sortWithinPartitions(*ascending(keys))
+            by = ascending([*keys, *rest])
+            df = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+            df = df.sortWithinPartitions(*ascending(keys)).drop(CURVE)
         # Above the range exchange: what lies below it is run once more, to sample the ranges.
         counted = Observation(f"{name}-{uuid.uuid4().hex}")
         writer = df.observe(counted, F.count(F.lit(1)).alias("n_rows")).write

@@ -1,0 +1,131 @@
+"""Overlapping links, chains and circles, against plain Python."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart import schemas
+from salesmart.operators import links as sanity
+from salesmart.operators.ranges import ranged
+from salesmart.operators.staging import replace_sku
+from tests.conftest import rows_of
+
+FIELDS = "old_sku_id string, current_sku_id string, valid_from date, valid_to date"
+OPEN = "9999-12-31"
+
+
+def linked(spark, rows):
+    texts = spark.createDataFrame(rows, "old_sku_id string, current_sku_id string, f string, t string")
+    return texts.select(
+        "old_sku_id", "current_sku_id", F.col("f").cast("date").alias("valid_from"), F.col("t").cast("date").alias("valid_to")
+    )
+
+
+def plain_overlaps(rows):
+    found = []
+    for code in {r[0] for r in rows if r[0] is not None}:
+        mine = [r for r in rows if r[0] == code and r[2] is not None and r[2] <= (r[3] or OPEN)]
+        mine.sort(key=lambda r: (r[2], r[3] or OPEN, r[1] is None, r[1] or ""))
+        reach = None
+        for r in mine:
+            end = r[3] or OPEN
+            if reach is not None and r[2] <= reach:
+                found.append((*r, None if reach == OPEN else reach))
+            reach = end if reach is None else max(reach, end)
+    return found
+
+
+def plain_chains(step):
+    out = []
+    for code in step:
+        path, at = [code], step[code]
+        while at in step and at not in path:
+            path.append(at)
+            at = step[at]
+        if at not in step:
+            out.append((code, at, len(path), "direct" if len(path) == 1 else "chain", None))
+        else:
+            circle = path[path.index(at) :]
+            on = at == code
+            out.append((code, None, len(circle) if on else None, "cycle" if on else "into_cycle", min(circle)))
+    return out
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_overlaps_planted(spark):
+    rows = [
+        ("A", "1", "2024-01-01", "2024-01-31"),
+        ("A", "2", "2024-01-31", "2024-02-10"),  # one day
+        ("A", "3", "2024-02-11", None),
+        ("A", "4", "2025-01-01", "2025-01-02"),  # within the open one
+        ("B", "1", "2024-01-01", None),
+        ("C", "1", "2024-01-01", "2023-01-01"),  # never in force
+        ("C", "2", "2022-01-01", "2024-06-01"),
+        ("D", "1", None, None),
+        (None, "1", "2024-01-01", None),
+        (None, "2", "2024-01-01", None),
+        ("E", "1", "2024-01-01", "2024-02-01"),
+        ("E", "1", "2024-01-01", "2024-02-01"),  # the same again
+    ]
+    found = rows_of(sanity.overlapping_links(linked(spark, rows)))
+    assert [(r[0], r[1], r[4]) for r in found] == [
+        ("A", "2", "2024-01-31"),
+        ("A", "4", None),
+        ("E", "1", "2024-02-01"),
+    ]
+
+
+def test_overlaps_of_a_hot_code_are_many_tasks_work(spark, monkeypatch):
+    rng = random.Random(3)
+    day = lambda n: f"{2000 + n // 336}-{1 + n // 28 % 12:02d}-{1 + n % 28:02d}"
+    rows = []
+    for n in range(1500):
+        start = rng.randrange(6000)
+        end = rng.choice([None, *[start + rng.randrange(-2, 9)] * 400])
+        code = "hot" if n % 3 else f"c{rng.randrange(60)}"
+        rows.append((code, rng.choice("xyz"), day(start), None if end is None else day(max(end, 0))))
+    monkeypatch.setattr(sanity, "ranged", lambda df, order: ranged(df, order, 9))
+    found = rows_of(sanity.overlapping_links(linked(spark, rows)))
+    assert ordered(found) == ordered(plain_overlaps(rows)) and len(found) > 300
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_and_circles(spark, seed):
+    rng = random.Random(seed)
+    step = {f"c{i:03d}": f"c{i + 1:03d}" for i in range(70)}  # a chain of 70
+    step |= {f"d{i}": f"d{(i + 1) % 5}" for i in range(5)} | {"self": "self", "tail": "t2", "t2": "d3"}
+    step |= {f"r{i}": f"r{rng.randrange(60)}" for i in range(40)}
+    step |= {f"many{i}": "c000" for i in range(50)}
+    rows = [(a, b, "2024-01-01", None) for a, b in step.items()]
+    found = rows_of(sanity.link_chains(linked(spark, rows)))
+    expected = plain_chains(step)
+    assert ordered(found) == ordered(expected)
+
+
+def test_the_link_in_force_last_is_followed(spark):
+    rows = [
+        ("A", "X", "2024-01-01", None),
+        ("A", "B", "2024-02-01", "2024-03-01"),
+        ("B", "C", "2024-01-01", "2024-02-01"),
+        ("B", "D", "2024-01-01", "2024-02-01"),
+        (None, "A", "2024-01-01", None),
+        ("Z", None, "2024-01-01", None),
+    ]
+    found = rows_of(sanity.link_chains(linked(spark, rows)))
+    assert found == [("A", "D", 2, "chain", None), ("B", "D", 1, "direct", None)]
+
+
+def test_no_links(spark, make):
+    empty = spark.createDataFrame([], FIELDS)
+    assert sanity.link_chains(empty).count() == 0 and sanity.overlapping_links(empty).count() == 0
+
+
+def test_sales_get_the_end_of_the_chain(spark, make):
+    rows = [("A", "B", "2024-01-01", None), ("B", "C", "2024-01-01", None), ("P", "Q", "2024-01-01", None), ("Q", "P", "2024-01-01", None)]
+    sales = make(schemas.STG_SALES, *({"doc_id": str(i), "sku_id": s} for i, s in enumerate("ABCPX")))
+    done = replace_sku(sales, sanity.resolved_links(linked(spark, rows)))
+    assert [r[1] for r in rows_of(done, "doc_id", "sku_id")] == ["C", "C", "C", "P", "X"]
