@@ -294,10 +294,10 @@ SELECT code AS old_sku_id, CASE WHEN circle IS NULL THEN reached END AS final_sk
 FROM (
   WITH RECURSIVE step AS (
     SELECT 'SKU_' || CAST(p_partkey AS VARCHAR) AS code,
-           'SKU_' || CAST(CASE WHEN p_size <= 5 AND p_partkey % 7 = 0
+           'SKU_' || CAST(CASE WHEN p_size <= 5 AND p_partkey > 100
                                THEN p_partkey * 3 ELSE p_partkey // 3 END
                           AS VARCHAR) AS next
-    FROM part
+    FROM part WHERE p_partkey > 0
   ),
   walk AS (
     SELECT code, next AS reached, [code] AS path FROM step

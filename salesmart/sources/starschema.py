@@ -138,12 +138,12 @@ def sku_link_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sku_supersessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A link from every part's code to another's, so that links lead on and into circles.
 
-    Parts of small size whose number 7 divides give way to the part of three times the
-    number, the others to that of a third of it; codes beyond the last part, and that of part 0, are no old codes.
+    Parts of small size, but for the first hundred, give way to the part of three times
+    their number, the others to that of a third of it; codes beyond the last part, and that of part 0, are no old codes.
     """
     key = F.col("p_partkey").cast("long")
-    thrice = (F.col("p_size") <= RECODED_SIZE) & (key % 7 == 0)
-    return table(spark, sf_dir, "part").select(
+    thrice = (F.col("p_size") <= RECODED_SIZE) & (key > 100)
+    return table(spark, sf_dir, "part").filter(key > 0).select(
         _current_code(key).alias("old_sku_id"),
         _current_code(F.when(thrice, key * 3).otherwise(F.expr("p_partkey div 3"))).alias("current_sku_id"),
         F.lit("1996-01-01").cast("date").alias("valid_from"),
