@@ -23,7 +23,8 @@ from salesmart.llm import links, shared, words
 EDITS = 2
 MIN_CHARS = 20  # shorter lines are allowed fewer edits; left out altogether without ``short``
 _SALT = np.uint64(0xA24BAED4963EE407)
-_BLANK = np.array([9, 11, 12, 13, 32], np.uint32)
+_BLANKS = "\t\v\f\r "
+_BLANK = np.array([ord(c) for c in _BLANKS], np.uint32)
 _BASE = 0x9E3779B97F4A7C15
 _KEPT = 1 << 21  # powers that a worker keeps; those of longer texts are made anew
 PIECE = 1 << 20  # characters of a text whose lines are worked on at once, or one line's
@@ -247,49 +248,83 @@ def lines_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_ch
     )
 
 
+def _texts_of(ids: DataFrame, found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, data`` of the lines ``ids``, each taken from the first place that has it.
+
+    ``found`` knows the places, so only texts that hold a wanted line reach Python.
+    """
+    line = F.explode("lines").alias("line")
+    places = found.select("key", "version", line).select(
+        F.col("line.id").alias("id"), F.struct("key", "version", F.col("line.number").alias("number")).alias("place")
+    )
+    # Stored, so that the planner knows its size before it decides whether texts are shuffled.
+    wanted = shared.stored(
+        places.join(ids, "id", "left_semi")
+        .groupBy("id")
+        .agg(F.min("place").alias("place"))
+        .groupBy(F.col("place.key").alias("key"), F.col("place.version").alias("version"))
+        .agg(F.collect_list(F.struct(F.col("place.number").alias("number"), "id")).alias("wanted")),
+        "wanted",
+    )
+    rows = docs.select(F.col(key).alias("key"), _version(text).alias("version"), F.col(text).alias("text"))
+    same = F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.version") == F.col("w.version"))
+    holding = rows.alias("d").join(wanted.alias("w"), same).select("d.text", "w.wanted")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in shared.by_bytes(batch, "text", 2 << 20):
+                name, data = [], []
+                for body, places in zip(part["text"], part["wanted"]):
+                    all_lines = body.as_py().split("\n")
+                    for place in places.as_py():
+                        name.append(place["id"])
+                        data.append(all_lines[place["number"]].strip(_BLANKS).encode("utf-8", "surrogatepass"))
+                yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(data, pa.binary())], ["id", "data"])
+
+    # Rows equal in key and text each give the same lines.
+    return holding.mapInArrow(take, "id long, data binary").dropDuplicates(["id"])
+
+
 def similar_lines(
-    docs: DataFrame, *, text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = True
+    docs: DataFrame,
+    found: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    short: bool = True,
 ) -> DataFrame:
-    """``id, component`` of distinct lines within their allowed edits of another, or by way of others."""
+    """``id, component`` of distinct lines within their allowed edits of another, or by way of others.
+
+    ``found`` is what ``lines_of`` gives for ``docs``, of all lines that may be allowed an edit.
+    """
     spark = docs.sparkSession
     most = allowance(edits, min_chars, short)
     shared.bound_batches(spark)
-    rows = docs.select(F.col(text).alias("text"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _pieces(batches):
-            for token, name in found.tokens(found.chosen(most), most):
+        for piece in _pieces(batches):
+            for token, name in piece.tokens(piece.chosen(most), most):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token), pa.array(name), pa.array(np.zeros(len(name), np.int32))],
                     ["token", "id", "salt"],
                 )
 
-    lists = shared.stored(links.shared_lists(rows.mapInArrow(post, "token long, id long, salt int")), "lists")
-
-    def held(ids: DataFrame, schema: str, columns) -> DataFrame:
-        wanted = links.id_filter(spark, ids)
-
-        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for found in _pieces(batches):
-                at = found.chosen(most)
-                yield columns(found, at[links.may_hold(wanted.value, found.id[at])])
+    tokens = docs.select(F.col(text).alias("text")).mapInArrow(post, "token long, id long, salt int")
+    lists = shared.stored(links.shared_lists(tokens), "lists")
+    texts = shared.stored(_texts_of(lists.select("id").distinct(), found, docs, key, text), "texts")
 
-        return rows.mapInArrow(make, schema).join(ids, "id", "left_semi").dropDuplicates(["id"])
-
-    def sketch_columns(found: _Lines, at: np.ndarray) -> pa.RecordBatch:
-        bits = [b.tobytes() for b in found.sketch(at)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found.id[at]), pa.array(found.size[at]), pa.array(bits, pa.binary())], ["id", "size", "sketch"]
-        )
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in shared.by_bytes(batch, "data", 1 << 20):
+                piece = _Lines([d.decode("utf-8", "surrogatepass") for d in part["data"].to_pylist()])
+                bits = [b.tobytes() for b in piece.sketch(np.arange(len(part)))]
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"], pa.array(piece.size), pa.array(bits, pa.binary())], ["id", "size", "sketch"]
+                )
 
-    def text_columns(found: _Lines, at: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found.id[at]), pa.array([found.text(i) for i in at], pa.binary())], ["id", "data"]
-        )
-
-    items = shared.stored(
-        held(lists.select("id").distinct(), "id long, size long, sketch binary", sketch_columns), "items"
-    )
+    items = shared.stored(texts.mapInArrow(sketch, "id long, size long, sketch binary"), "items")
 
     def near(a, b, differing):
         # An edit takes away and brings in two letter pairs at most.
@@ -300,7 +335,7 @@ def similar_lines(
         one, other = a.decode("utf-8", "surrogatepass"), b.decode("utf-8", "surrogatepass")
         return within(one, other, int(most[min(len(one), len(other), min_chars)]))
 
-    return links.classes(lists, items, lambda ids: held(ids, "id long, data binary", text_columns), near, same)
+    return links.classes(lists, items, lambda ids: texts.join(ids, "id", "left_semi"), near, same)
 
 
 def repeated_lines(
@@ -325,25 +360,27 @@ def repeated_lines(
     """
     least = min(1, min_chars) if short else min_chars
     found = shared.stored(lines_of(docs, key=key, text=text, min_chars=least).dropDuplicates(["key", "version"]), "lines")
-    alike = similar_lines(docs, text=text, edits=edits, min_chars=min_chars, short=short)
+    alike = similar_lines(docs, found, key=key, text=text, edits=edits, min_chars=min_chars, short=short)
     places = found.select("key", "version", F.explode("lines").alias("line")).select(
         "key", "version", F.col("line.number").alias("number"), F.col("line.id").alias("id")
     )
     named = places.join(alike, "id", "left").select(
         F.coalesce("component", "id").alias("grp"), F.struct("key", "version", "number").alias("place")
     )
-    first = (
-        named.groupBy("grp").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
-    repeated = (
-        named.join(first, "grp")
-        .filter(~F.col("place").eqNullSafe(F.col("first")))
-        .groupBy(F.col("place.key").alias("key"), F.col("place.version").alias("version"))
-        .agg(F.array_sort(F.collect_list("place.number")).alias("removed"))
+    # The places that stay are one a class; a class's other places never meet.
+    stay = (
+        named.groupBy("grp")
+        .agg(F.min("place").alias("first"))
+        .groupBy(F.col("first.key").alias("key"), F.col("first.version").alias("version"))
+        .agg(F.collect_list("first.number").alias("numbers"))
     )
-    same = F.col("f.key").eqNullSafe(F.col("r.key")) & (F.col("f.version") == F.col("r.version"))
-    return found.alias("f").join(repeated.alias("r"), same, "left").select(
-        "f.key", "f.version", "f.n_lines", F.coalesce("r.removed", F.array().cast("array<int>")).alias("removed")
+    same = F.col("f.key").eqNullSafe(F.col("s.key")) & (F.col("f.version") == F.col("s.version"))
+    none = F.array().cast("array<int>")
+    return found.alias("f").join(stay.alias("s"), same, "left").select(
+        "f.key",
+        "f.version",
+        "f.n_lines",
+        F.array_except("f.lines.number", F.coalesce("s.numbers", none)).alias("removed"),
     )
 
 
