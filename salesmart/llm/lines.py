@@ -248,27 +248,38 @@ def lines_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_ch
     )
 
 
-def _texts_of(ids: DataFrame, found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, data`` of the lines ``ids``, each taken from the first place that has it.
+def _firsts(found: DataFrame) -> DataFrame:
+    """``id, place`` of each distinct line of ``lines_of``: the first place that has it.
 
-    ``found`` knows the places, so only texts that hold a wanted line reach Python.
+    Minima are combined before they are shuffled: a very common line is one row a task.
     """
-    line = F.explode("lines").alias("line")
-    places = found.select("key", "version", line).select(
-        F.col("line.id").alias("id"), F.struct("key", "version", F.col("line.number").alias("number")).alias("place")
-    )
-    # Stored, so that the planner knows its size before it decides whether texts are shuffled.
+    places = found.select("key", "version", F.explode("lines").alias("line"))
+    place = F.struct("key", "version", F.col("line.number").alias("number"))
+    return places.groupBy(F.col("line.id").alias("id")).agg(F.min(place).alias("place"))
+
+
+def _texts_of(ids: DataFrame, firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, data`` of the lines ``ids``, each taken from its first place.
+
+    Of the texts about only those that hold such a place are shuffled, by a filter of bounded size.
+    """
+    spark = docs.sparkSession
     wanted = shared.stored(
-        places.join(ids, "id", "left_semi")
-        .groupBy("id")
-        .agg(F.min("place").alias("place"))
+        firsts.join(ids, "id", "left_semi")
         .groupBy(F.col("place.key").alias("key"), F.col("place.version").alias("version"))
         .agg(F.collect_list(F.struct(F.col("place.number").alias("number"), "id")).alias("wanted")),
         "wanted",
     )
+    held = links.id_filter(spark, wanted.select(F.col("version").alias("id")))
     rows = docs.select(F.col(key).alias("key"), _version(text).alias("version"), F.col(text).alias("text"))
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(links.may_hold(held.value, batch["version"].to_numpy())))
+
+    holding = rows.mapInArrow(hold, rows.schema)
     same = F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.version") == F.col("w.version"))
-    holding = rows.alias("d").join(wanted.alias("w"), same).select("d.text", "w.wanted")
+    holding = holding.alias("d").join(wanted.alias("w"), same).select("d.text", "w.wanted")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +298,7 @@ def _texts_of(ids: DataFrame, found: DataFrame, docs: DataFrame, key: str, text:
 
 def similar_lines(
     docs: DataFrame,
-    found: DataFrame,
+    firsts: DataFrame,
     *,
     key: str = "doc_id",
     text: str = "text",
@@ -297,7 +308,7 @@ def similar_lines(
 ) -> DataFrame:
     """``id, component`` of distinct lines within their allowed edits of another, or by way of others.
 
-    ``found`` is what ``lines_of`` gives for ``docs``, of all lines that may be allowed an edit.
+    ``firsts`` has the first place of every line of ``docs`` that may be allowed an edit.
     """
     spark = docs.sparkSession
     most = allowance(edits, min_chars, short)
@@ -313,7 +324,7 @@ def similar_lines(
 
     tokens = docs.select(F.col(text).alias("text")).mapInArrow(post, "token long, id long, salt int")
     lists = shared.stored(links.shared_lists(tokens), "lists")
-    texts = shared.stored(_texts_of(lists.select("id").distinct(), found, docs, key, text), "texts")
+    texts = shared.stored(_texts_of(lists.select("id").distinct(), firsts, docs, key, text), "texts")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,13 +371,9 @@ def repeated_lines(
     """
     least = min(1, min_chars) if short else min_chars
     found = shared.stored(lines_of(docs, key=key, text=text, min_chars=least).dropDuplicates(["key", "version"]), "lines")
-    alike = similar_lines(docs, found, key=key, text=text, edits=edits, min_chars=min_chars, short=short)
-    places = found.select("key", "version", F.explode("lines").alias("line")).select(
-        "key", "version", F.col("line.number").alias("number"), F.col("line.id").alias("id")
-    )
-    named = places.join(alike, "id", "left").select(
-        F.coalesce("component", "id").alias("grp"), F.struct("key", "version", "number").alias("place")
-    )
+    firsts = shared.stored(_firsts(found), "firsts")
+    alike = similar_lines(docs, firsts, key=key, text=text, edits=edits, min_chars=min_chars, short=short)
+    named = firsts.join(alike, "id", "left").select(F.coalesce("component", "id").alias("grp"), "place")
     # The places that stay are one a class; a class's other places never meet.
     stay = (
         named.groupBy("grp")
