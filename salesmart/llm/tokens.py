@@ -21,13 +21,16 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from itertools import compress, count
 from sys import byteorder
 
 CACHED_WORDS = 300_000  # of each of two generations
 LONGEST_CACHED = 64
 TOGETHER = 4_000
+WORDS_TOGETHER = 256  # that follow one another in one text
 
 _RUNS = re.compile("[ \n]*[^ \n]+|[ \n]+")
+_SPACES = ("\u0120", "\u010a")  # how a byte-level vocabulary writes a space and a line feed
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _PLAIN = "\n\n"  # before a part that is its own text, see ``_text_of``
 _TAIL = ".,;:!?*%&$#()[]{}|\"-_/\\+=~^@`"  # no apostrophe, which starts contractions; no <>
@@ -66,6 +69,9 @@ class Encoder:
         self.cut = self._cut_of(spec)
         self.lowers = self._lowers(spec.get("normalizer") or {})
         self.starts = "".join({t["content"][0] for t in spec.get("added_tokens") or ()})
+        special = {t["id"] for t in spec.get("added_tokens") or ()}
+        vocabulary = self.tokenizer.get_vocab() if self.cut == "run" else {}
+        self.spaced = {i for token, i in vocabulary.items() if token.startswith(_SPACES) and i not in special}
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -132,12 +138,22 @@ class Encoder:
         """Get the values of parts; those too long to keep are returned."""
         if self.cut == "space":
             self._learn_words(missing)
+        elif self.cut == "run":
+            self._learn_runs(missing)
         else:
             wanted = list(missing)
-            texts = [_text_of(p) for p in wanted] if self.cut == "run" else wanted
-            self.new.update(zip(wanted, self._values(texts), strict=True))
+            self.new.update(zip(wanted, self._values(wanted), strict=True))
         return [p for p in missing if len(p) > LONGEST_CACHED]
 
+    def _learn_runs(self, missing: set[str]) -> None:
+        """Learn parts that a white space precedes; those with others inside, or special strings, one by one."""
+        odd = {p for p in missing if p.startswith(_PLAIN)}
+        for start in self.starts:
+            odd.update([p for p in missing if start in p])
+        alone, together = list(odd), list(missing - odd)
+        self.new.update(zip(alone, self._values([_text_of(p) for p in alone]), strict=True))
+        self.new.update(zip(together, self._spaced_values(together), strict=True))
+
     def _learn_words(self, missing: set[str]) -> None:
         new, old = self.new, self.old
         composed: list[tuple[str, str, str]] = []
@@ -179,6 +195,23 @@ class Encoder:
             base = base.lower()
         return base, tail
 
+    def _spaced_values(self, words: list[str]) -> list:
+        """Values of parts that stand for a word and the one space or line feed before it, encoded together.
+
+        The ids of such a part begin with the one token of it that begins with white space; should
+        their number ever differ from the parts', these are encoded one by one.
+        """
+        out = []
+        for start in range(0, len(words), WORDS_TOGETHER):
+            some = [_text_of(word) for word in words[start : start + WORDS_TOGETHER]]
+            ids = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+            begins = list(compress(count(), map(self.spaced.__contains__, ids)))
+            if len(begins) != len(some):
+                out.extend(self._values(some))
+                continue
+            out.extend([self.value(ids[a:b]) for a, b in zip(begins, [*begins[1:], len(ids)])])
+        return out
+
     def _values(self, words: list[str]) -> list:
         out = []
         for start in range(0, len(words), TOGETHER):
@@ -198,6 +231,12 @@ def id_encoder(path: str) -> Encoder:
     return Encoder(path, _packed)
 
 
+def forget() -> None:
+    """Let go of this worker's encoders and the words they keep, as it turns to other work."""
+    length_encoder.cache_clear()
+    id_encoder.cache_clear()
+
+
 def _packed(ids: list[int]) -> bytes:
     packed = array("I", ids)  # of four bytes, as everywhere that numpy's uint32 has four
     if byteorder == "big":

@@ -104,3 +104,21 @@ def test_many_words_and_few_kept(monkeypatch):
         texts += [" ".join(f"{rng.randrange(5000)}" for _ in range(200)) for _ in range(10)]
         for text, parts in zip(texts, encoder.encode(texts), strict=True):
             assert b"".join(parts) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_words_learned_together_have_the_ids_of_the_library(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library, rng = tokens.Encoder(path, list), Tokenizer.from_file(path), random.Random(5)
+    some = ["a", "Bé", "12", "½", "Ⅷ", "一", "́", "'s", "...", " ", "  ", "\n", " \n", "\t", "\u00a0", "<|endoftext|>", "<", "Ġ"]
+    texts = ["".join(rng.choices(some, k=rng.randrange(40))) for _ in range(2_000)]
+    texts += [" ".join(f"wort{rng.random()}x" for _ in range(50)) for _ in range(20)]
+    alone = []
+    monkeypatch.setattr(encoder, "_values", lambda words, real=encoder._values: alone.extend(words) or real(words))
+    got = [sum(parts, []) for parts in encoder.encode(texts)]
+    assert got == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert not any(w.startswith(" wort") for w in alone)
