@@ -17,15 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm import shared
+from salesmart.llm import shared, tokens
 from salesmart.llm.words import mix
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
-SAMPLE = 3_000  # distinct training texts of each language, at most about
 MIN_SHARE = 0.01  # of a language's documents, that contain an n-gram
 MIN_RATIO = 0.2  # of the largest such share in any language
 MIN_DOCS = 2  # that contain an n-gram, unless that is this share of the language's:
@@ -33,9 +32,12 @@ FEW = 0.05
 CELLS_PER_GRAM = 16
 PROBES = 3
 PIECE = 1 << 17  # characters whose n-grams are worked on at once
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+OWNER_BITS = 11  # of a 64-bit word for a text's number in its slice, the others for the n-gram's name
+SCORE_PLACES = 6  # of the scores whose median is taken
 
 _STEPS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 8, np.uint64) * np.uint64(2) + np.uint64(1)
+_NAME = np.uint64((1 << (64 - OWNER_BITS)) - 1)
 _letters: np.ndarray | None = None
 
 
@@ -52,7 +54,7 @@ def _letter_table() -> np.ndarray:
 
 
 def gram_hashes(texts: list[str], orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The n-grams' hashes and their text numbers, for each order of each piece of the texts.
+    """The n-grams' hashes (53 bits) and their text numbers, for each order of each piece of the texts.
 
     Every n-gram comes once. Pieces are of ``PIECE`` characters, wherever texts begin and end; the
     last letters of one are looked at again with the next.
@@ -89,28 +91,31 @@ def gram_hashes(texts: list[str], orders: tuple[int, ...] = ORDERS) -> Iterator[
                 valid &= (codes[:count] != 0) | (codes[1:] != 0)
             at = np.flatnonzero(valid)
             middle = at + (codes[at] == 0)  # a leading space belongs to the text before
-            yield mix(total[at]), owners[middle]
+            yield mix(total[at]) & _NAME, owners[middle]
         held = np.concatenate([held, fresh])[-max(orders) :]
         held_owner = np.concatenate([held_owner, owner])[-max(orders) :]
 
 
 def gram_documents(texts: list[str], langs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order the distinct pairs of language (its number) and n-gram, and in how many texts."""
-    count = np.int64(len(texts))
-    width = np.int64(langs.max() + 1)
-    for order in ORDERS:
-        pieces = []
-        for hashes, owner in gram_hashes(texts, (order,)):
-            grams, number = np.unique(hashes, return_inverse=True)
-            pairs = np.unique(number * count + owner)  # an n-gram counts once a text
-            pieces.append((grams[pairs // count], pairs % count))
-        if not pieces:
+    """The distinct pairs of language (its number) and n-gram, and in how many texts.
+
+    Texts go by language, so that one sort of (n-gram, text) also has each n-gram's languages together.
+    """
+    order = np.argsort(langs, kind="stable")
+    bits = np.uint64(OWNER_BITS)
+    for start in range(0, len(texts), 1 << OWNER_BITS):
+        own = order[start : start + (1 << OWNER_BITS)]
+        found = [hashes << bits | owner.astype(np.uint64) for hashes, owner in gram_hashes([texts[i] for i in own])]
+        if not found:
             continue
-        hashes, owner = (np.concatenate(c) for c in zip(*pieces))
-        grams, number = np.unique(hashes, return_inverse=True)
-        pairs = np.unique(number * count + owner)  # and so does one of several pieces
-        found, docs = np.unique(pairs // count * width + langs[pairs % count], return_counts=True)
-        yield found % width, grams[found // width], docs
+        pairs = np.concatenate(found)
+        del found
+        pairs.sort()
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]  # an n-gram counts once a text
+        lang = langs[own][(pairs & np.uint64((1 << OWNER_BITS) - 1)).view(np.int64)]
+        grams = pairs >> bits
+        first = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (lang[1:] != lang[:-1])))
+        yield lang[first], grams[first], np.diff(np.append(first, len(pairs)))
 
 
 @dataclass
@@ -165,18 +170,18 @@ def build(contained: dict[str, np.ndarray]) -> Model:
 
 @dataclass
 class Sample:
-    """Distinct texts of each language, stored, and how many rows and drawn texts a language has."""
+    """Distinct texts of each language, and how many rows and distinct texts a language has."""
 
     texts: DataFrame  # lang, text
     rows: dict[str, int]
     drawn: dict[str, int]
 
 
-def draw(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Sample:
-    """About ``sample`` distinct texts of each language at most, and all of fewer.
+def draw(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int | None = None) -> Sample:
+    """All distinct texts of each language, or about ``sample`` of each at most if that is given.
 
-    Rows with NULL text or language are left out. The distinct texts of a language are counted
-    and sampled by their hash, however many rows have them, and each is drawn once.
+    Rows with NULL text or language are left out. The distinct texts of a language go by their
+    hash, however many rows have them, and each is drawn once.
     """
     rows = (
         labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
@@ -185,6 +190,10 @@ def draw(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample:
     )
     texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("rows"))
     counts = texts.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("texts")).collect()
+    held = {r.lang: r["rows"] for r in counts}
+    if sample is None:
+        once = rows.groupBy("lang", "hash").agg(F.first("text").alias("text")).select("lang", "text")
+        return Sample(once, held, {r.lang: r["texts"] for r in counts})
     most = F.lit(0)
     for r in counts:
         most = F.when(F.col("lang") == r.lang, F.lit(min(1.0, sample / r["texts"]))).otherwise(most)
@@ -193,11 +202,10 @@ def draw(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample:
     # By hash, so that each of several tasks gets its share of the sample, not of its bytes.
     spread = labelled.sparkSession.sparkContext.defaultParallelism
     drawn = shared.stored(once.repartition(max(16, 2 * spread), F.xxhash64("text")), "sample")
-    found = {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()}
-    return Sample(drawn, {r.lang: r["rows"] for r in counts}, found)
+    return Sample(drawn, held, {r.lang: r["count"] for r in drawn.groupBy("lang").count().collect()})
 
 
-def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
+def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int | None = None) -> Model:
     """A model of the rows' languages, learned from what ``draw`` gives of them."""
     return learn(draw(labelled, text=text, lang=lang, sample=sample))
 
@@ -212,36 +220,33 @@ def learn(sample: Sample) -> Model:
     if not sample.drawn:
         return build({})
     shared.bound_batches(sample.texts.sparkSession)
+    names = list(sample.drawn)
+    numbers = {name: number for number, name in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
             for part in shared.by_bytes(batch, "text", SLICE_BYTES):
-                names, langs = np.unique(np.array(part["lang"].to_pylist(), object), return_inverse=True)
+                langs = np.array([numbers[name] for name in part["lang"].to_pylist()], np.int64)
                 for number, grams, docs in gram_documents(part["text"].to_pylist(), langs):
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(names[number].tolist(), pa.string()),
-                            pa.array(grams.view(np.int64)),
-                            pa.array(docs.astype(np.int64)),
-                        ],
+                        [pa.array(number), pa.array(grams.view(np.int64)), pa.array(docs.astype(np.int64))],
                         ["lang", "gram", "docs"],
                     )
 
-    share = F.lit(0.0)
-    for name, number in sample.drawn.items():
-        share = F.when(F.col("lang") == name, F.col("docs") / number).otherwise(share)
+    texts = F.array(*[F.lit(float(sample.drawn[name])) for name in names])
     shares = (
-        sample.texts.mapInArrow(count, "lang string, gram long, docs long")
+        sample.texts.mapInArrow(count, "lang long, gram long, docs long")
         .groupBy("lang", "gram")
         .agg(F.sum("docs").alias("docs"))
-        .withColumn("share", share)
+        .withColumn("share", F.col("docs") / F.get(texts, F.col("lang").cast("int")))
         .filter((F.col("share") >= MIN_SHARE) & ((F.col("docs") >= MIN_DOCS) | (F.col("share") >= FEW)))
     )
     table = shares.select("lang", "gram", "share").toPandas()
     table = table[table["share"] >= MIN_RATIO * table.groupby("gram")["share"].transform("max")]
     order = sorted(sample.drawn, key=lambda name: (-sample.rows[name], name))  # ties go to the commoner
     return build(
-        {name: table.loc[table["lang"] == name, "gram"].to_numpy(np.int64).view(np.uint64) for name in order}
+        {name: table.loc[table["lang"] == numbers[name], "gram"].to_numpy(np.int64).view(np.uint64) for name in order}
     )
 
 
@@ -262,6 +267,7 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     sent = spark.sparkContext.broadcast(model)  # of bounded size, see ``train``
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         model = sent.value
         known = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
@@ -286,11 +292,29 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     return out.withColumnsRenamed({f"c{i}": c for i, c in enumerate(carried)} | {"text": text})
 
 
-def usual_scores(sample: Sample, model: Model) -> dict[str, float]:
-    """The median score of each language's own texts in the sample."""
-    found = predict(sample.texts, model, key="lang").filter("lang = lang_pred")
-    medians = found.groupBy("lang").agg(F.percentile_approx("score", 0.5).alias("score"))
-    return {r.lang: r.score for r in medians.collect()}
+def usual_scores(scored: DataFrame, *, text: str = "text", lang: str = "lang") -> dict[str, float]:
+    """The median score of each language's distinct texts that are taken for it, to six places.
+
+    ``scored`` has ``lang_pred`` and ``score`` beside the text and its label. Counts by score
+    are added up, so that a language's window has a row for each score of so many places.
+    """
+    own = (
+        scored.filter(F.col(text).isNotNull())
+        .select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("hash"), "lang_pred", "score")
+        .filter(F.col("lang") == F.col("lang_pred"))
+        .groupBy("lang", "hash")
+        .agg(F.floor(F.max("score") * 10**SCORE_PLACES).alias("score"))
+    )
+    counts = own.groupBy("lang", "score").agg(F.count("*").alias("texts"))
+    so_far = Window.partitionBy("lang").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    medians = (
+        counts.withColumn("upto", F.sum("texts").over(so_far))
+        .withColumn("all", F.sum("texts").over(Window.partitionBy("lang")))
+        .filter(F.col("upto") * 2 >= F.col("all"))
+        .groupBy("lang")
+        .agg(F.min("score").alias("score"))
+    )
+    return {r.lang: r.score / 10**SCORE_PLACES for r in medians.collect()}
 
 
 def held_out(key: Column) -> Column:

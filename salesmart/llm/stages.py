@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, jaccard, language, lines, packing
+from salesmart.llm import decontaminate, jaccard, language, lines, packing, shared
 
 LEAST_SCORE = 0.5  # of the usual score of its language, that a document must reach
 
@@ -31,16 +31,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The limit of a language is a share of its labelled texts' median score. Where nothing was
     learned, all documents with a letter stay.
     """
-    sample = language.draw(docs)
-    model = language.learn(sample)
+    model = language.train(docs)
     if not model.masks.any():
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    least = F.lit(LEAST_SCORE)
-    for name, usual in language.usual_scores(sample, model).items():
-        least = F.when(F.col("lang_pred") == name, F.lit(LEAST_SCORE * usual)).otherwise(least)
     labels = ("lang_pred", "score")
     rows = docs.withColumnsRenamed({c: f"__{c}" for c in docs.columns if c in labels})
-    found = language.predict(rows, model, keep=tuple(rows.columns))
+    found = shared.stored(language.predict(rows, model, keep=tuple(rows.columns)), "scored")
+    least = F.lit(LEAST_SCORE)
+    for name, usual in language.usual_scores(found).items():
+        least = F.when(F.col("lang_pred") == name, F.lit(LEAST_SCORE * usual)).otherwise(least)
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least))
     return kept.select(*[F.col(f"__{c}" if c in labels else c).alias(c) for c in docs.columns])
 

@@ -173,3 +173,16 @@ def test_copies_count_once_in_the_sample(spark):
     others = [(k, f"seltene worte {k}", "de") for k in range(3)]
     model = language.train(table(spark, copied[:1] * 400 + [(9, "ganz viele kopien", "de")] * 400 + others, LABELLED))
     assert model.predict(["seltene worte"])[1][0] > 0.9
+
+
+def test_all_distinct_texts_are_learned_from(spark):
+    docs = table(spark, [(k, f"wort {k}", "de") for k in range(4_000)] + [(0, "wort 0", "de")] * 5, LABELLED)
+    drawn = language.draw(docs)
+    assert drawn.drawn == {"de": 4_000} and drawn.rows == {"de": 4_005} and drawn.texts.count() == 4_000
+
+
+def test_usual_scores_are_medians_of_distinct_texts(spark):
+    rows = [(f"t{k}", "xx", "xx", k / 1000) for k in range(101)] + [("t0", "xx", "xx", 0.0)] * 500
+    rows += [("other", "yy", "xx", 0.9), ("none", None, "xx", 0.9), (None, "xx", "xx", 0.9)]
+    scored = spark.createDataFrame(rows, "text string, lang string, lang_pred string, score double")
+    assert language.usual_scores(scored) == {"xx": 0.05}
