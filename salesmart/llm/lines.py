@@ -27,7 +27,8 @@ _BLANKS = "\t\v\f\r "
 _BLANK = np.array([ord(c) for c in _BLANKS], np.uint32)
 _BASE = 0x9E3779B97F4A7C15
 _KEPT = 1 << 21  # powers that a worker keeps; those of longer texts are made anew
-PIECE = 1 << 20  # characters of a text whose lines are worked on at once, or one line's
+PIECE = 1 << 18  # characters of a text whose lines are worked on at once, or one line's
+SLICE_BYTES = 1 << 19  # of texts that are; arrays of their characters take some 70 times as much
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -189,14 +190,14 @@ class _Lines:
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, _Lines]]:
     for batch in batches:
-        for part in shared.by_bytes(batch, "text", 2 << 20):
+        for part in shared.by_bytes(batch, "text", SLICE_BYTES):
             yield part, _Lines([t or "" for t in part["text"].to_pylist()])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE) -> Iterator[_Lines]:
     """The lines of all texts, whichever text they are of; long texts in pieces, cut between lines."""
     for batch in batches:
-        for part in shared.by_bytes(batch, "text", 2 << 20):
+        for part in shared.by_bytes(batch, "text", SLICE_BYTES):
             texts = [t for t in part["text"].to_pylist() if t]
             for text in texts:
                 if len(text) <= 2 * most:
@@ -283,7 +284,7 @@ def _texts_of(ids: DataFrame, firsts: DataFrame, docs: DataFrame, key: str, text
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.by_bytes(batch, "text", 2 << 20):
+            for part in shared.by_bytes(batch, "text", SLICE_BYTES):
                 name, data = [], []
                 for body, places in zip(part["text"], part["wanted"]):
                     all_lines = body.as_py().split("\n")
@@ -316,7 +317,9 @@ def similar_lines(
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _pieces(batches):
-            for token, name in piece.tokens(piece.chosen(most), most):
+            found = list(piece.tokens(piece.chosen(most), most))
+            if found:
+                token, name = (np.concatenate(c) for c in zip(*found))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token), pa.array(name), pa.array(np.zeros(len(name), np.int32))],
                     ["token", "id", "salt"],
@@ -328,7 +331,7 @@ def similar_lines(
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.by_bytes(batch, "data", 1 << 20):
+            for part in shared.by_bytes(batch, "data", SLICE_BYTES):
                 piece = _Lines([d.decode("utf-8", "surrogatepass") for d in part["data"].to_pylist()])
                 bits = [b.tobytes() for b in piece.sketch(np.arange(len(part)))]
                 yield pa.RecordBatch.from_arrays(
