@@ -75,12 +75,13 @@ def link_chains(links: DataFrame) -> DataFrame:
 
     Pointer jumping: a round doubles how far each code looks, so a chain of n links takes
     log2(n) joins. A chain has a code at every distance from its end; a round in which no code
-    gets to an end has only circles left.
+    gets to an end has only circles left. The joins are asked to merge sorted rows: a broadcast
+    in each round would send all codes through the driver as often as there are rounds.
     """
     step = stored(successors(links), "successors")
     codes = step.select(F.col("code").alias("_old"))
     state = stored(
-        step.join(codes, F.col("next") == F.col("_old"), "left").select(
+        step.hint("merge").join(codes, F.col("next") == F.col("_old"), "left").select(
             "code", F.col("next").alias("at"), F.lit(1).cast("long").alias("n_steps"),
             F.col("_old").isNotNull().alias("open"),
         ),
@@ -90,7 +91,7 @@ def link_chains(links: DataFrame) -> DataFrame:
     while n_open and n_open != left:
         further = state.select(F.col("code").alias("_at"), F.col("at").alias("_to"), "n_steps", "open")
         moved = (
-            state.filter("open").alias("s")
+            state.filter("open").alias("s").hint("merge")
             .join(further.alias("t"), F.col("s.at") == F.col("t._at"))
             .select("s.code", F.col("t._to").alias("at"), (F.col("s.n_steps") + F.col("t.n_steps")).alias("n_steps"), "t.open")
         )
@@ -105,7 +106,7 @@ def link_chains(links: DataFrame) -> DataFrame:
     )
     if not n_open:
         return ended
-    return ended.unionByName(_circles(step.join(state.filter("open").select("code"), "code"), n_open))
+    return ended.unionByName(_circles(step.hint("merge").join(state.filter("open").select("code"), "code"), n_open))
 
 
 def _circles(step: DataFrame, number: int) -> DataFrame:
@@ -119,22 +120,24 @@ def _circles(step: DataFrame, number: int) -> DataFrame:
     while looked < number:
         ahead = stored(ahead, "circles")
         further = ahead.select(F.col("code").alias("_at"), F.col("at").alias("_to"), F.col("least").alias("_least"))
-        ahead = ahead.join(further, F.col("at") == F.col("_at")).select(
+        ahead = ahead.hint("merge").join(further, F.col("at") == F.col("_at")).select(
             "code", F.col("_to").alias("at"), F.least("least", "_least").alias("least")
         )
         looked *= 2
     ahead = stored(ahead, "circles")
     on_circle = stored(
-        ahead.join(ahead.select(F.col("at").alias("code")).distinct(), "code", "left_semi").select(
+        ahead.hint("merge").join(ahead.select(F.col("at").alias("code")).distinct(), "code", "left_semi").select(
             F.col("code").alias("at"), F.col("least").alias("cycle_id")
         ),
         "circles",
     )
     lengths = on_circle.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("_length"))
-    known = on_circle.join(lengths, "cycle_id").select("at", "cycle_id", "_length")
+    known = on_circle.hint("merge").join(lengths, "cycle_id").select("at", "cycle_id", "_length")
     in_circle = known.select(F.col("at").alias("code"), F.lit(True).alias("_on"))
     return (
-        ahead.join(known, "at")
+        ahead.hint("merge")
+        .join(known, "at")
+        .hint("merge")
         .join(in_circle, "code", "left")
         .select(
             F.col("code").alias("old_sku_id"),

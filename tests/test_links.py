@@ -129,3 +129,11 @@ def test_sales_get_the_end_of_the_chain(spark, make):
     sales = make(schemas.STG_SALES, *({"doc_id": str(i), "sku_id": s} for i, s in enumerate("ABCPX")))
     done = replace_sku(sales, sanity.resolved_links(linked(spark, rows)))
     assert [r[1] for r in rows_of(done, "doc_id", "sku_id")] == ["C", "C", "C", "P", "X"]
+
+
+def test_no_join_of_links_goes_through_the_driver(spark):
+    rows = [("A", "B", "2024-01-01", None), ("B", "C", "2024-01-01", None), ("P", "Q", "2024-01-01", None), ("Q", "P", "2024-01-01", None)]
+    found = sanity.link_chains(linked(spark, rows))
+    assert len(found.collect()) == 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
