@@ -280,7 +280,9 @@ def _texts_of(ids: DataFrame, firsts: DataFrame, docs: DataFrame, key: str, text
 
     holding = rows.mapInArrow(hold, rows.schema)
     same = F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.version") == F.col("w.version"))
-    holding = holding.alias("d").join(wanted.alias("w"), same).select("d.text", "w.wanted")
+    # By merging, so that a shuffle parts ``hold`` from ``take``: a task that runs both has two Python
+    # workers, which stay, and an executor then holds twice as many for all that follows.
+    holding = holding.alias("d").join(wanted.hint("merge").alias("w"), same).select("d.text", "w.wanted")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -162,3 +162,14 @@ def test_pieces_hold_every_line():
     got = Counter(p.text(i) for p in pieces for i in range(len(p.size)) if p.size[i])
     assert got == Counter(line.encode() for t in texts for line in t.split("\n") if line)
     assert len(pieces) > 5
+
+
+def test_no_task_has_two_python_workers(spark):
+    rows = table(spark, [(k, "a line of many letters\nanother line, longer than that") for k in range(3)])
+    found = lines.lines_of(rows)
+    firsts = lines._firsts(found)
+    texts = lines._texts_of(firsts.select("id").limit(1), firsts, rows, "doc_id", "text")
+    assert [bytes(r.data) for r in texts.collect()][0] in (b"a line of many letters", b"another line, longer than that")
+    plan = texts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    python = [at for at, line in enumerate(plan) if "MapInArrow" in line]
+    assert len(python) == 2 and any("Exchange" in line for line in plan[python[0] : python[1]])
