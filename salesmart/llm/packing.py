@@ -46,10 +46,10 @@ def pieces(
         encoder = tokens.id_encoder(tokenizer)
         for batch in batches:
             for part in shared.by_bytes(batch, "text"):
-                encoded = encoder.encode([t or "" for t in part["text"].to_pylist()])
+                encoded = encoder.totals([t or "" for t in part["text"].to_pylist()], b"".join)
                 owner, piece, start, length, crc = [], [], [], [], []
-                for row, parts in enumerate(encoded):
-                    ids = memoryview(b"".join(parts) + end)
+                for row, body in enumerate(encoded):
+                    ids = memoryview(body + end)
                     total = len(ids) // 4
                     first = total % capacity or min(total, capacity)
                     begin, stop, number = 0, first, 0

@@ -21,9 +21,11 @@ import os
 import re
 from array import array
 from functools import lru_cache
-from itertools import compress, count
+from itertools import pairwise
 from sys import byteorder
 
+import numpy as np
+
 CACHED_WORDS = 300_000  # of each of two generations
 LONGEST_CACHED = 64
 TOGETHER = 4_000
@@ -31,7 +33,7 @@ WORDS_TOGETHER = 256  # that follow one another in one text
 
 _RUNS = re.compile("[ \n]*[^ \n]+|[ \n]+")
 _SPACES = ("\u0120", "\u010a")  # how a byte-level vocabulary writes a space and a line feed
-_ODD_SPACE = re.compile(r"[^\S \n]")
+_ODD_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]  # none is beyond
 _PLAIN = "\n\n"  # before a part that is its own text, see ``_text_of``
 _TAIL = ".,;:!?*%&$#()[]{}|\"-_/\\+=~^@`"  # no apostrophe, which starts contractions; no <>
 _LETTER_GAP = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
@@ -54,9 +56,12 @@ def _part_of(run: str) -> str:
 
 
 class Encoder:
-    """Encodes parts of texts; what is stored per part is made by ``value``."""
+    """Encodes parts of texts; what is stored per part is made by ``value``.
+
+    ``values`` makes those of all parts that lie between consecutive ``ends`` in an array of ids.
+    """
 
-    def __init__(self, path: str, value):
+    def __init__(self, path: str, value, values=None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -64,6 +69,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.value = value
+        self.values = values or (lambda ids, ends: [value(ids[a:b].tolist()) for a, b in pairwise(ends)])
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.cut = self._cut_of(spec)
@@ -71,7 +77,8 @@ class Encoder:
         self.starts = "".join({t["content"][0] for t in spec.get("added_tokens") or ()})
         special = {t["id"] for t in spec.get("added_tokens") or ()}
         vocabulary = self.tokenizer.get_vocab() if self.cut == "run" else {}
-        self.spaced = {i for token, i in vocabulary.items() if token.startswith(_SPACES) and i not in special}
+        self.spaced = np.zeros(1 + max(vocabulary.values(), default=0), bool)  # ids of tokens that begin with white space
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACES) and i not in special]] = True
         self.new: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -109,27 +116,31 @@ class Encoder:
         if self.cut == "run":
             if not text:
                 return []
-            if _ODD_SPACE.search(text):
+            if any(map(text.__contains__, _ODD_SPACES)):  # each far quicker than a pattern
                 return [_PLAIN + run for run in _LETTER_GAP.split(text)]
-            if text[0] in " \n" or text[-1] in " \n" or any(two in text for two in ("  ", " \n", "\n ", "\n\n")):
-                return [_part_of(run) for run in _RUNS.findall(text)]
             parts = text.replace("\n", " \n").split(" ")
+            if "" in parts or "\n" in parts:  # white space at an end or beside other
+                return [_part_of(run) for run in _RUNS.findall(text)]
             parts[0] = _PLAIN + parts[0]
             return parts
         return [text]
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its parts, in order."""
+        return self.totals(texts, list)
+
+    def totals(self, texts: list[str], total) -> list:
+        """For each text what ``total`` makes of the values of its parts, in order."""
         parts = [self.parts(t) for t in texts]
         if len(self.new) > CACHED_WORDS:
             self.old, self.new = self.new, {}
         missing = set().union(*parts).difference(self.new)
         if self.old:
-            known = missing.intersection(self.old)
+            known = [part for part in missing if part in self.old]  # not all old words are gone through
             self.new.update((part, self.old[part]) for part in known)
-            missing -= known
+            missing.difference_update(known)
         long = self._learn(missing)
-        out = [list(map(self.new.__getitem__, p)) for p in parts]
+        out = [total(map(self.new.__getitem__, p)) for p in parts]
         for part in long:
             del self.new[part]
         return out
@@ -203,13 +214,15 @@ class Encoder:
         """
         out = []
         for start in range(0, len(words), WORDS_TOGETHER):
-            some = [_text_of(word) for word in words[start : start + WORDS_TOGETHER]]
-            ids = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
-            begins = list(compress(count(), map(self.spaced.__contains__, ids)))
-            if len(begins) != len(some):
-                out.extend(self._values(some))
+            some = words[start : start + WORDS_TOGETHER]
+            # As ``_text_of`` has it: a space before each that does not begin with a line feed.
+            text = (" " + " ".join(some)).replace(" \n", "\n")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*np.flatnonzero(self.spaced[ids]).tolist(), len(ids)]
+            if len(ends) != len(some) + 1 or ends[0]:
+                out.extend(self._values([_text_of(word) for word in some]))
                 continue
-            out.extend([self.value(ids[a:b]) for a, b in zip(begins, [*begins[1:], len(ids)])])
+            out.extend(self.values(ids, ends))
         return out
 
     def _values(self, words: list[str]) -> list:
@@ -222,13 +235,13 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def length_encoder(path: str) -> Encoder:
-    return Encoder(path, len)
+    return Encoder(path, len, lambda ids, ends: [b - a for a, b in pairwise(ends)])
 
 
 @lru_cache(maxsize=4)
 def id_encoder(path: str) -> Encoder:
     """Values are the ids as little-endian unsigned 32-bit bytes."""
-    return Encoder(path, _packed)
+    return Encoder(path, _packed, _cut_packed)
 
 
 def forget() -> None:
@@ -244,6 +257,11 @@ def _packed(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def _cut_packed(ids: np.ndarray, ends: list[int]) -> list[bytes]:
+    packed = ids.tobytes()
+    return [packed[4 * a : 4 * b] for a, b in pairwise(ends)]
+
+
 @lru_cache(maxsize=4)
 def sentence_pieces(path: str):
     import sentencepiece
@@ -255,4 +273,4 @@ def lengths(path: str, texts: list[str]) -> list[int]:
     """Token counts of texts, as the library of the file's kind gives them."""
     if path.endswith(".model"):
         return [len(x) for x in sentence_pieces(path).encode(texts, num_threads=1)]
-    return [sum(x) for x in length_encoder(path).encode(texts)]
+    return length_encoder(path).totals(texts, sum)

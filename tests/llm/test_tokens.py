@@ -122,3 +122,25 @@ def test_words_learned_together_have_the_ids_of_the_library(monkeypatch):
     got = [sum(parts, []) for parts in encoder.encode(texts)]
     assert got == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
     assert not any(w.startswith(" wort") for w in alone)
+
+
+def test_words_known_of_old_are_looked_up_one_by_one(monkeypatch):
+    """What has to be gone through are the new texts' words, not all that are kept."""
+
+    class Kept(dict):
+        def __iter__(self):
+            raise AssertionError("all old words were gone through")
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 3)
+    encoder, library = tokens.id_encoder.__wrapped__(path), Tokenizer.from_file(path)
+    texts = ["one two three four\nfive", "two five,\nsix seven eight", "nine\u2003ten one", "one\n\ntwo  six", "\nsix one "]
+    for text in texts:
+        ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.totals([text], b"".join) == [ids]
+        encoder.old = Kept(encoder.old)
+    assert [tokens.lengths(path, [t]) for t in texts] == [[len(library.encode(t).ids)] for t in texts]
+
+
+def test_white_space_other_than_spaces_and_line_feeds():
+    assert {c for c in map(chr, range(0x110000)) if c.isspace()} - {" ", "\n"} == set(tokens._ODD_SPACES)
