@@ -14,6 +14,8 @@ from salesmart.schemas import MART_STOCK, TOTAL
 STOCK_KEYS = ["warehouse_id", "sku_id"]
 # Movements of one day: in the order of their columns, incoming before outgoing.
 WITHIN_DAY = ["operation_type", "qty", "unit_cost_byn", "warehouse_name"]
+# Movements of a product in a warehouse that one task may sort.
+MOST_TOGETHER = 1 << 20
 
 
 def stock_change() -> Column:
@@ -35,7 +37,7 @@ def stock_per_movement(
     """Balance after each movement, valued at that movement's unit cost.
 
     A product that moves very often in one warehouse is worked on day by day; give
-    finer ``parts`` where single days are that large. ``by_ranges`` splits the movements by
+    finer ``parts`` where single days are that large, none where no product moves so often. ``by_ranges`` splits the movements by
     their number instead, also those of one day, at the price of storing them once.
     """
     changes = movements.withColumn("_change", stock_change())
@@ -43,10 +45,22 @@ def stock_per_movement(
         order = ["date", *within_day]
         balance = ranged_running_sum(changes, STOCK_KEYS, order, "_change", "stock_qty")
     else:
-        balance = running_sum(changes, STOCK_KEYS, within_day, "_change", "stock_qty", parts)
+        order = within_day if parts else ["date", *within_day]
+        balance = running_sum(changes, STOCK_KEYS, order, "_change", "stock_qty", parts)
     return _valued(balance)
 
 
+def parts_needed(movements: DataFrame, most: int = MOST_TOGETHER) -> Sequence[Sequence[str]]:
+    """The ``parts`` of ``stock_per_movement``: none where no product moves over ``most`` times.
+
+    Products that move on a day or two each would have as many carried rows as movements. This counts
+    the movements at once; the driver gets one number.
+    """
+    counts = movements.groupBy(*STOCK_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.agg(F.max("_n").alias("_n")).first()["_n"]
+    return (("date",),) if (largest or 0) > most else ()
+
+
 def stock_end_of_day(movements: DataFrame, within_day: Sequence[str] = WITHIN_DAY) -> DataFrame:
     """Balance at the end of each day with movements, valued at the day's last cost.
 

@@ -205,7 +205,7 @@ def run(
 
     def check() -> DataFrame:
         report = checks.check_report(
-            raw_sales, sales, links, monthly, daily_plan, mart, mtd, stock_mart
+            raw_sales, sales, links, monthly, daily_plan, mart, mtd, stock_mart, plan_days=True
         )
         return save("audit", "check_report", report)
 
@@ -230,7 +230,7 @@ def validate(
     needed = ("raw_sales_1c", "stg_sales", "stg_sku_links", "stg_plan_raw", "stg_plan_daily")
     found = [warehouse.read(name) for name in (*needed, "mart_sales_plan_daily", "mart_mtd")]
     stocked = warehouse.read("mart_stock_daily") if "mart_stock_daily" in warehouse.tables else None
-    report = checks.check_report(*found, stocked)
+    report = checks.check_report(*found, stocked, plan_days=True)
     for row in report.orderBy("check").collect():
         log.info("%s: %d, %s", row.check, row.n_bad, "passed" if row.passed else "FAILED")
     if fail_on_checks:

@@ -1,13 +1,14 @@
-"""Every layer over the star-schema stand-ins, as one lazy plan each."""
+"""Every layer over the star-schema stand-ins, as one lazy plan each unless ``once`` is set."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import checks, facts, marts, plan, series, staging, stock
+from salesmart.sinks import scratch
 from salesmart.sources import starschema
 
 # The region of the sample queries.
@@ -16,24 +17,44 @@ REGION = "ASIA"
 
 @dataclass
 class Layers:
-    """Raw, staging and mart tables of one directory; nothing runs until asked for."""
+    """Raw, staging and mart tables of one directory; nothing runs until asked for.
+
+    With ``once`` what several layers read is stored as soon as one of them is asked for: the
+    joined lines, the de-duplicated sales, the monthly plan and the daily totals. That is for what
+    covers many layers in one plan, each of which would compute those anew. With ``customers`` too
+    the sales are de-duplicated only with their customers, whose columns come last in the document order.
+    """
 
     spark: SparkSession
     sf_dir: str
+    once: bool = False
+    customers: bool = False
+
+    def stored_once(self, customers: bool = False) -> Layers:
+        return replace(self, once=True, customers=customers)
+
+    def _shared(self, df: DataFrame, name: str) -> DataFrame:
+        return scratch.stored(df, name) if self.once else df
+
+    @cached_property
+    def lines(self) -> DataFrame | None:
+        """The line items with part and supplier, where they are stored."""
+        return scratch.stored(starschema.lines(self.spark, self.sf_dir), "lines") if self.once else None
 
     # raw ---------------------------------------------------------------------------
     @cached_property
     def raw_sales(self) -> DataFrame:
-        return starschema.sales(self.spark, self.sf_dir)
+        return starschema.sales(self.spark, self.sf_dir, lines=self.lines)
 
     @cached_property
     def raw_quantities(self) -> DataFrame:
         """Sales without the last columns of the document order: customer and revenue."""
-        return starschema.sales(self.spark, self.sf_dir, with_customer=False).drop("revenue_byn")
+        sold = starschema.sales(self.spark, self.sf_dir, with_customer=False, lines=self.lines)
+        return sold.drop("revenue_byn")
 
     @cached_property
     def raw_plan(self) -> DataFrame:
-        return starschema.plan(self.spark, self.sf_dir)
+        return self._shared(starschema.plan(self.spark, self.sf_dir, self.lines), "plan")
 
     @cached_property
     def raw_sku_links(self) -> DataFrame:
@@ -41,7 +62,7 @@ class Layers:
 
     @cached_property
     def raw_stock_movements(self) -> DataFrame:
-        return starschema.stock_movements(self.spark, self.sf_dir)
+        return starschema.stock_movements(self.spark, self.sf_dir, self.lines)
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -62,11 +83,13 @@ class Layers:
 
     @cached_property
     def stg_sales(self) -> DataFrame:
-        return staging.stg_sales(self.raw_sales, self.stg_sku_links)
+        return self._shared(staging.stg_sales(self.raw_sales, self.stg_sku_links), "sales")
 
     @cached_property
     def stg_quantities(self) -> DataFrame:
-        return staging.stg_sales(self.raw_quantities, self.stg_sku_links)
+        if self.once and self.customers:
+            return self.stg_sales.drop("customer_id", "revenue_byn")
+        return self._shared(staging.stg_sales(self.raw_quantities, self.stg_sku_links), "sales")
 
     @cached_property
     def stg_sales_asof(self) -> DataFrame:
@@ -99,7 +122,7 @@ class Layers:
     # daily totals ------------------------------------------------------------------
     @cached_property
     def sales_daily(self) -> DataFrame:
-        return facts.sales_daily(self.stg_quantities)
+        return self._shared(facts.sales_daily(self.stg_quantities), "daily")
 
     @cached_property
     def plan_daily_agg(self) -> DataFrame:
@@ -134,7 +157,10 @@ class Layers:
 
     @cached_property
     def mart_stock_daily(self) -> DataFrame:
-        return stock.stock_per_movement(self.stg_stock_movements)
+        movements = self.stg_stock_movements
+        if not self.once:
+            return stock.stock_per_movement(movements)
+        return stock.stock_per_movement(movements, parts=stock.parts_needed(movements))
 
     # report ------------------------------------------------------------------------
     @cached_property
@@ -148,6 +174,7 @@ class Layers:
             mart=self.mart_sales_plan_daily,
             mtd=self.mart_mtd,
             stock=self.mart_stock_daily,
+            plan_days=True,
         )
 
     def counted(self) -> dict[str, tuple[str, DataFrame]]:

@@ -124,8 +124,8 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "check_returns": lambda y: checks.returns_profile(y.stg_quantities),
     "check_negative_stock": lambda y: checks.negative_stock(y.mart_stock_daily),
     "check_mtd_first_day": lambda y: checks.mtd_first_day_breaks(y.mart_mtd),
-    "check_report": lambda y: y.check_report,
-    "layer_counts": lambda y: row_counts(y.counted()),
+    "check_report": lambda y: y.stored_once().check_report,
+    "layer_counts": lambda y: row_counts(y.stored_once(customers=True).counted()),
 }
 
 

@@ -42,7 +42,29 @@ def _current_code(part_key: Column) -> Column:
 RECODED_SIZE = 5
 
 
-def sales(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their part and supplier: the columns that sales and stock movements take.
+
+    Store it where several of them are wanted, so that the line items meet the parts once.
+    """
+    return _supplied(spark, sf_dir).select(
+        *[f"l_{c}" for c in ("orderkey", "linenumber", "partkey", "suppkey", "shipdate")],
+        *[f"l_{c}" for c in ("quantity", "extendedprice", "returnflag", "linestatus")],
+        *["p_size", "p_type", "p_brand", "p_retailprice", "s_name", "s_nationkey"],
+    )
+
+
+def _supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+    )
+
+
+def sales(
+    spark: SparkSession, sf_dir: str, with_customer: bool = True, lines: DataFrame | None = None
+) -> DataFrame:
     """Line items as sales documents, padded strings and all.
 
     Tables are joined one after another to the line items: the planner knows the size of
@@ -51,12 +73,10 @@ def sales(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataF
 
     The customer comes from the orders by a left join on their unique key, which no other
     column depends on; without it that join, the only one between two large tables, is
-    not made.
+    not made. ``lines`` is what :func:`lines` gives, if that is at hand.
     """
     joined = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+        (_supplied(spark, sf_dir) if lines is None else lines)
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
     )
@@ -85,9 +105,9 @@ def sales(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataF
     )
 
 
-def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plan(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Each month's plan: the quantity sold a year before net of returns, at least 0."""
-    sold = sales(spark, sf_dir, with_customer=False)
+    sold = sales(spark, sf_dir, with_customer=False, lines=lines)
     month = F.trunc("date", "month").alias("sold_in")
     return (
         sold.groupBy(month, "region", "chain_id", "chain_name", "product_group")
@@ -160,26 +180,21 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stock_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stock_movements(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
     """Line items as movements of a brand in a supplier's warehouse."""
-    line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier")
     operation = (
         F.when(F.col("l_returnflag") == "R", F.lit("adjust"))
         .when(F.col("l_linestatus") == "F", F.lit(" income"))
         .otherwise(F.lit("outcome "))
     )
-    return (
-        line.join(part, F.col("p_partkey") == F.col("l_partkey"))
-        .join(supplier, F.col("s_suppkey") == F.col("l_suppkey"))
-        .select(
-            F.col("l_shipdate").cast("date").alias("date"),
-            F.concat(F.lit("WH"), F.col("l_suppkey").cast("string")).alias("warehouse_id"),
-            F.concat("s_name", F.lit(" ")).alias("warehouse_name"),
-            F.concat(F.lit("SKU_"), "p_brand").alias("sku_id"),
-            operation.alias("operation_type"),
-            F.col("l_quantity").cast(MONEY).alias("qty"),
-            F.col("p_retailprice").cast(MONEY).alias("unit_cost_byn"),
-        )
+    return (_supplied(spark, sf_dir) if lines is None else lines).select(
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.concat(F.lit("WH"), F.col("l_suppkey").cast("string")).alias("warehouse_id"),
+        F.concat("s_name", F.lit(" ")).alias("warehouse_name"),
+        F.concat(F.lit("SKU_"), "p_brand").alias("sku_id"),
+        operation.alias("operation_type"),
+        F.col("l_quantity").cast(MONEY).alias("qty"),
+        F.col("p_retailprice").cast(MONEY).alias("unit_cost_byn"),
     )

@@ -107,3 +107,14 @@ def test_long_series_are_shuffled_by_day(spark, name, keys):
     partitioned_by = exchanges[0].split("hashpartitioning(")[1]
     found = [part.split("#")[0].strip() for part in partitioned_by.split(",")][: len(keys)]
     assert tuple(found) == keys
+
+
+@pytest.mark.parametrize("name", ["check_report", "layer_counts"])
+def test_reports_read_the_line_items_once(spark, monkeypatch, name):
+    from salesmart.sources import starschema
+
+    read, table = [], starschema.table
+    monkeypatch.setattr(starschema, "table", lambda s, d, n: read.append(n) or table(s, d, n))
+    report = QUERIES[name](spark, SF_DIR)
+    assert read.count("lineitem") == 1
+    assert not [f for f in report.inputFiles() if f.endswith("lineitem.parquet")]

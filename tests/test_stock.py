@@ -105,3 +105,19 @@ def test_long_series_in_parts_equals_the_plain_window(moves, parts):
     )
     found = stock.stock_per_movement(df, order, parts)
     assert rows_of(found) == rows_of(expected, *found.columns)
+
+
+def test_parts_go_by_the_most_frequent_product(make):
+    rows = [
+        {"date": f"2025-01-0{day}" if day else None, "warehouse_id": w, "warehouse_name": n, "sku_id": "S",
+         "operation_type": op, "qty": qty, "unit_cost_byn": 2}
+        for w in ("A", None)
+        for day, n, op, qty in ((1, "x", "income", 5), (1, "y", "outcome", 5), (2, "x", "adjust", 1),
+                                (2, None, "income", 3), (0, "x", "outcome", 1), (0, "x", "income", None))
+    ]
+    moves = make(schemas.RAW_STOCK_MOVEMENTS, *rows)
+    assert stock.parts_needed(moves, most=5) == (("date",),) and stock.parts_needed(moves, most=6) == ()
+    assert stock.parts_needed(moves.limit(0)) == ()
+    whole, by_day = (stock.stock_per_movement(moves, parts=p) for p in ((), (("date",),)))
+    assert whole.schema == by_day.schema
+    assert rows_of(whole) == rows_of(by_day) and len(rows_of(whole)) > 2
