@@ -8,7 +8,9 @@ tokenizer is known to cut it too, so that the ids of the parts are the ids of th
 * a byte-level one with the usual pattern never lets a token run from a non-space into the
   space that follows it, so it is cut there: before every space or line feed, where none follows
   another, else before every run of them. The pattern looks at what follows a run of white space,
-  so a text with other white space is only cut at a single space between two ASCII letters;
+  so a text with other white space is only cut at a single space between two ASCII letters. In the
+  first case the punctuation that a word ends in is cut off too, as the pattern does after a letter
+  or digit;
 * any other tokenizer gets whole texts.
 
 Special strings hold no space and are left in their part, where the library finds them.
@@ -21,12 +23,13 @@ import os
 import re
 from array import array
 from functools import lru_cache
-from itertools import pairwise
+from itertools import accumulate, chain, pairwise
 from sys import byteorder
 
 import numpy as np
+import pyarrow as pa
 
-CACHED_WORDS = 300_000  # of each of two generations
+CACHED_WORDS = 500_000  # of each of two generations
 LONGEST_CACHED = 64
 TOGETHER = 4_000
 WORDS_TOGETHER = 256  # that follow one another in one text
@@ -36,6 +39,8 @@ _SPACES = ("\u0120", "\u010a")  # how a byte-level vocabulary writes a space and
 _ODD_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]  # none is beyond
 _PLAIN = "\n\n"  # before a part that is its own text, see ``_text_of``
 _TAIL = ".,;:!?*%&$#()[]{}|\"-_/\\+=~^@`"  # no apostrophe, which starts contractions; no <>
+_TAILS = re.compile(f"[{re.escape(_TAIL)}](?<=[^\\W_].)[{re.escape(_TAIL)}]*(?![^ ])")  # begins with a set: quickly found
+_TAIL_APART = rf" {_PLAIN}\g<0>"
 _LETTER_GAP = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
@@ -118,7 +123,10 @@ class Encoder:
                 return []
             if any(map(text.__contains__, _ODD_SPACES)):  # each far quicker than a pattern
                 return [_PLAIN + run for run in _LETTER_GAP.split(text)]
-            parts = text.replace("\n", " \n").split(" ")
+            spaced = text.replace("\n", " \n")
+            if not any(map(text.__contains__, self.starts)):  # a special string may end in punctuation
+                spaced = _TAILS.sub(_TAIL_APART, spaced)
+            parts = spaced.split(" ")
             if "" in parts or "\n" in parts:  # white space at an end or beside other
                 return [_part_of(run) for run in _RUNS.findall(text)]
             parts[0] = _PLAIN + parts[0]
@@ -134,16 +142,24 @@ class Encoder:
         parts = [self.parts(t) for t in texts]
         if len(self.new) > CACHED_WORDS:
             self.old, self.new = self.new, {}
-        missing = set().union(*parts).difference(self.new)
+        # Arrow numbers the parts, so that only distinct ones are looked up among all that are kept.
+        numbered = pa.array(list(chain.from_iterable(parts)), pa.large_string()).dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.new.get, distinct))
+        unknown = [at for at, value in enumerate(found) if value is None]
+        missing = {distinct[at] for at in unknown}
         if self.old:
             known = [part for part in missing if part in self.old]  # not all old words are gone through
             self.new.update((part, self.old[part]) for part in known)
             missing.difference_update(known)
         long = self._learn(missing)
-        out = [total(map(self.new.__getitem__, p)) for p in parts]
+        for at in unknown:
+            found[at] = self.new[distinct[at]]
         for part in long:
             del self.new[part]
-        return out
+        values = np.fromiter(found, object, len(found))[numbered.indices.to_numpy()]
+        ends = accumulate(map(len, parts), initial=0)
+        return [total(values[start:stop].tolist()) for start, stop in pairwise(ends)]
 
     def _learn(self, missing: set[str]) -> list[str]:
         """Get the values of parts; those too long to keep are returned."""

@@ -144,3 +144,27 @@ def test_words_known_of_old_are_looked_up_one_by_one(monkeypatch):
 
 def test_white_space_other_than_spaces_and_line_feeds():
     assert {c for c in map(chr, range(0x110000)) if c.isspace()} - {" ", "\n"} == set(tokens._ODD_SPACES)
+
+
+def test_punctuation_at_the_end_of_a_word_is_learned_once(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library, rng = tokens.id_encoder.__wrapped__(path), Tokenizer.from_file(path), random.Random(6)
+    learned = []
+    monkeypatch.setattr(encoder, "_learn", lambda missing, real=encoder._learn: learned.extend(missing) or real(missing))
+    tails = ["", ",", ".", "!!", "...", "%%%", "$$$", "_", "'", "',", "'s.", "<", "<|endoftext|>", "<|endoftext|>.", "…"]
+    words = ["Haus", "très", "x²", "一", "7", "_", "x́", "-", "(a)", "a.b"]
+    texts = [f"{a}{t}{gap}{b}{u}" for a in words for t in tails for b in ("x", "é") for u in tails[:6] for gap in (" ", "\n", "  ")]
+    texts += [" ".join(rng.choice(words) + rng.choice(tails[:11]) for _ in range(rng.randrange(60))) for _ in range(300)]
+    ids = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.totals(texts, b"".join) == ids
+    learned.clear()
+    encoder.totals(["so strasse, strasse. strasse!! strasse"], b"".join)
+    assert [part for part in learned if "strasse" in part] == ["strasse"]
+
+
+def test_letters_and_digits_end_a_token_before_punctuation():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ends = [c for c in map(chr, range(0x110000)) if c.isalnum()]
+    ids = lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    after = ids([",."])[0]
+    assert ids([f" a{c},." for c in ends]) == [found + after for found in ids([f" a{c}" for c in ends])]
